@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import exact_dedup
+from tarifa.llm import exact_dedup, mixing
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -12,8 +12,13 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLES = {
