@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tarifa.llm import exact_dedup, mixing
+from tarifa.llm import exact_dedup, mixing, simhash
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
+def op2_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
@@ -17,6 +21,7 @@ def op7_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_mixing": op7_mixing,
 }
