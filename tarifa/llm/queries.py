@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import exact_dedup, mixing, simhash
+from tarifa.llm import bpe, exact_dedup, mixing, simhash
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -20,10 +20,21 @@ def op7_mixing(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_byte_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_mixing": op7_mixing,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES = {
