@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import bpe, chat, exact_dedup, mixing, simhash, url_rules
+from tarifa.llm import bpe, chat, exact_dedup, mixing, simhash, topk, url_rules
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -34,6 +34,10 @@ def op6_chat(spark, sf_dir):
     return chat.digests(chat.formatted(rows))
 
 
+def op9_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     import public_tokenizers
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op4_url_rules": op4_url_rules,
     "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
+    "op9_topk": op9_topk,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
@@ -70,4 +75,12 @@ ORACLES = {
                      CAST(sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
               FROM c GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM s""",
+    "op9_topk": """
+        WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+              FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
