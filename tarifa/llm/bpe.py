@@ -10,9 +10,9 @@ each row its first state, and a second pass along all rows gives the states,
 and with them where pre-tokens start.
 
 *Merging.* Each slice is looked up in a cache of merged slices. A miss is merged
-by rank, the leftmost of the lowest ranks first, with a heap over linked
-neighbours, so a slice of n bytes costs n log n. The cache is emptied
-when it has ``CACHED`` slices.
+by rank, the leftmost of the lowest ranks first; a slice of over ``LONG`` bytes
+with a heap over linked neighbours, so that n bytes cost n log n. The cache is
+emptied when it has ``CACHED`` slices.
 
 *Decoding.* Ids become bytes by the offsets of the vocabulary's entries in one
 array; the token offsets of each text are kept by the encoder.
@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from tarifa.llm.common import by_bytes, type_of
 
 ROW = 128
-CACHED = 1 << 20
+LONG = 256
+CACHED = 1 << 19
 
 # Code points with the White_Space property, and the endings split off after an apostrophe.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -134,6 +135,17 @@ def starts_of(symbol: np.ndarray) -> np.ndarray:
     return found.T.ravel()[:n]
 
 
+class _Cache(dict):
+    """Merged slices; a slice that is missing is merged when it is asked for."""
+
+    def __init__(self, merge):
+        self.merge = merge
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        found = self[piece] = self.merge(piece.encode())
+        return found
+
+
 class Vocabulary:
     """Ranks of a file of lines ``base64 rank``."""
 
@@ -144,12 +156,32 @@ class Vocabulary:
         self.tokens: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.bytes = [bytes([b]) for b in range(256)]
+        self.cache = _Cache(self.merge)
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
+        """By rank, the leftmost of the lowest first."""
+        rank = self.ranks.get(piece)
+        if rank is not None:
+            return (rank,)
+        if len(piece) > LONG:
+            return self.merge_long(piece)
+        get, last = self.ranks.get, len(self.tokens)
+        parts = [self.bytes[b] for b in piece]
+        pairs = [get(a + b, last) for a, b in zip(parts, parts[1:])]
+        while pairs and (low := min(pairs)) < last:
+            i = pairs.index(low)
+            parts[i] += parts.pop(i + 1)
+            pairs.pop(i)
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], last)
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], last)
+        return tuple([get(p) for p in parts])
+
+    def merge_long(self, piece: bytes) -> tuple[int, ...]:
+        """The same with a heap over linked neighbours."""
         ranks = self.ranks
-        if piece in ranks:
-            return (ranks[piece],)
         n = len(piece)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that begins at each byte
         alive = [True] * n
@@ -195,10 +227,7 @@ class Vocabulary:
         cached = self.cache
         if len(cached) > CACHED:
             cached.clear()
-        for piece in set(pieces):
-            if piece not in cached:
-                cached[piece] = self.merge(piece.encode())
-        found = [cached[p] for p in pieces]
+        found = list(map(cached.__getitem__, pieces))
         ids = np.fromiter(chain.from_iterable(found), np.int32)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         upto = np.append(0, np.cumsum(sizes))
@@ -227,12 +256,19 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, offsets: bool) -> Iter
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _decode(batches: Iterator[pa.RecordBatch], path: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     own = vocabulary(path)
     for batch in batches:
         ids = batch.column("ids")
-        texts = [own.decode(x) for x in ids.to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), ids, pa.array(texts, pa.binary())], names=["id", "ids", "decoded"])
+        values, upto = np.asarray(ids.values), np.asarray(ids.offsets).tolist()
+        start, texts, size = 0, [], 0
+        for i in range(batch.num_rows):
+            texts.append(own.decode(values[upto[i] : upto[i + 1]].tolist()))
+            size += len(texts[-1])
+            if size > most or i + 1 == batch.num_rows:
+                part = batch.slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), pa.array(texts, pa.binary())], names=["id", "ids", "decoded"])
+                start, texts, size = i + 1, [], 0
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
