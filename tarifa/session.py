@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,12 +25,27 @@ def session(app: str = "tarifa", master: str | None = None, **conf: str) -> Spar
     } | {k.replace("__", "."): v for k, v in conf.items()}
     for k, v in settings.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    return shipped(b.getOrCreate())
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give executors this package, once for each Spark application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        here = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="tarifa-code-")
+        shutil.copytree(here, f"{folder}/code/tarifa", ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/tarifa", "zip", f"{folder}/code"))
+        _SHIPPED.add(app)
+    return spark
+
+
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the input tables; only Spark's reader touches the path."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
