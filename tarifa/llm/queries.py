@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import bpe, chat, exact_dedup, mixing, simhash, topk, url_rules
+from tarifa.llm import bpe, chat, exact_dedup, mixing, quality, simhash, topk, url_rules
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -34,6 +34,10 @@ def op6_chat(spark, sf_dir):
     return chat.digests(chat.formatted(rows))
 
 
+def op8_quality(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_url_rules": op4_url_rules,
     "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_byte_bpe": op10_byte_bpe,
 }
