@@ -215,7 +215,7 @@ def _indexed(docs: DataFrame, id_col: str, text_col: str, whole: bool, capacity:
         owner.setdefault(bucket, min(share - 1, upto * share // max(1, total)))
         dealt.append((p, owner[bucket]))
         upto += counts.get(p, (0, 0))[1]
-    slot = spark.createDataFrame(dealt, "slot long, owner int")
+    slot = written(spark.createDataFrame(dealt, "slot long, owner int"), "exact-dedup-slots")  # so that its size is known to the planner
     owned = heads.withColumn("slot", prefix).join(slot, "slot").drop("slot", "rid", "sha")
     return entries, owned.repartitionById(share, F.col("owner")).sortWithinPartitions("hash", "head")
 
