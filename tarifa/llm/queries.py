@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import bpe, chat, exact_dedup, mixing, quality, simhash, topk, url_rules
+from tarifa.llm import bpe, chat, exact_dedup, mixing, quality, simhash, substrings, topk, url_rules
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -27,6 +27,10 @@ def op4_url_rules(spark, sf_dir):
     return url_rules.judged(table(spark, sf_dir, "pages"), URL_LIST)
 
 
+def op5_substrings(spark, sf_dir):
+    return substrings.removed(table(spark, sf_dir, "documents"))
+
+
 def op6_chat(spark, sf_dir):
     clash = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", clash), (-1, 1, "assistant", clash)], "conv_id long, turn long, role string, text string")
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_rules": op4_url_rules,
+    "op5_substrings": op5_substrings,
     "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
