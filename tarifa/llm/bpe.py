@@ -41,7 +41,7 @@ from tarifa.llm.common import by_bytes, type_of
 
 ROW = 128
 LONG = 256
-CACHED = 1 << 19
+CACHED = 1 << 18
 
 # Code points with the White_Space property, and the endings split off after an apostrophe.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -286,7 +286,18 @@ def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     return source.mapInArrow(partial(_decode, path=path), f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
+def _both(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    yield from _decode(_encode(batches, path, False), path)
+
+
+def encoded_and_decoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decoded(encoded(...))`` in one Python worker: (id, ids, decoded)."""
+    kind = type_of(docs, id_col)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return source.mapInArrow(partial(_both, path=path), f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+
+
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Digests of both directions, one row a document."""
-    both = decoded(encoded(docs, path, id_col, text_col), path, id_col)
+    both = encoded_and_decoded(docs, path, id_col, text_col)
     return both.select(id_col, F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
