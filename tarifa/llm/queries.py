@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tarifa.llm import bpe, chat, exact_dedup, mixing, quality, simhash, substrings, topk, url_rules
+from tarifa.llm import bpe, chat, exact_dedup, html_text, mixing, quality, simhash, substrings, topk, url_rules
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
+def op1_html_text(spark, sf_dir):
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("mark")
 
@@ -57,6 +61,7 @@ def op10_byte_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_rules": op4_url_rules,
