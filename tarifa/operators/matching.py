@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tarifa.functions import similarity, text
 from tarifa.session import written
@@ -237,10 +236,11 @@ def new_products(listings: DataFrame, matches: DataFrame, row_id: str = "scraped
     fit. The id is a hash of the key, so reruns agree.
     """
     rows = prepared(listings, row_id).join(matches.where("is_new").select("row_id"), "row_id", "left_semi")
-    named = Window.partitionBy("norm")
     brand = F.when(F.col("brand_norm") != "", F.col("brand_norm"))
     # a name with one known brand takes in the rows without a brand
-    only = F.when(F.min(brand).over(named) == F.max(brand).over(named), F.min(brand).over(named))
+    known = rows.where(brand.isNotNull() & (F.col("norm") != "")).groupBy("norm").agg(F.min("brand_norm").alias("_low"), F.max("brand_norm").alias("_high"))
+    rows = rows.join(known.where("_low = _high").select("norm", F.col("_low").alias("_only")), "norm", "left")
+    only = F.col("_only")
     key = F.when(F.col("ean").isNotNull(), F.concat(F.lit("ean:"), "ean")).when(F.col("norm") != "", F.concat(F.lit("name:"), "norm", F.lit("|"), F.coalesce(brand, only, F.lit("")))).otherwise(F.concat(F.lit("row:"), "row_id"))
     return rows.select("row_id", F.md5(key).alias("master_id"))
 
