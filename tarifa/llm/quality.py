@@ -10,7 +10,7 @@ the chunk; the least and the mean number of all chunks are combined into one pro
 Training is on the driver, with Adam, from a bounded sample: ``SAMPLE`` labelled
 rows of each class, those with the smallest hashes of their ids, and of each
 ``SAMPLE_CHUNKS`` chunks at most, spread over the whole text and cut out by the
-executors. Seeds are fixed. Scoring is one pass over all documents without a
+executors; a short piece of each is learned as well. Seeds are fixed. Scoring is one pass over all documents without a
 shuffle, and reads every byte.
 
 Defined cases: a null text counts as empty; an empty text is one chunk of length
@@ -205,6 +205,18 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs
     return model
 
 
+def with_crops(samples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 11) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """The samples and a short piece of each, so that short texts are not rare: from anywhere in a good text, from the second half of a bad one."""
+    rng, out = np.random.default_rng(seed), list(samples)
+    for (chunks, lengths), label in zip(samples, labels.tolist(), strict=True):
+        k = rng.integers(0 if label else len(chunks) // 2, len(chunks))
+        n = int(min(lengths[k], rng.integers(4, CHUNK)))
+        piece = np.full((1, CHUNK), PAD, np.uint16)
+        piece[0, :n] = chunks[k, :n]
+        out.append((piece, np.array([n])))
+    return out, np.concatenate([labels, labels])
+
+
 def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -226,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not first:
         return None
     samples = [(np.frombuffer(bytes(r["chunks"]), np.uint16).reshape(-1, CHUNK), np.array(r["lengths"])) for r in first]
-    return fit(samples, np.array([r["label"] for r in first]))
+    return fit(*with_crops(samples, np.array([r["label"] for r in first])))
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
