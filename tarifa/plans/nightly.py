@@ -28,12 +28,25 @@ def listings_from(records: DataFrame, default_currency: str = "MAD") -> DataFram
     return with_columns_of(rows.withColumns(as_text), schemas.LISTING)
 
 
+def known_by_url(listings: DataFrame, offers: DataFrame, row_id: str = "scraped_url_id") -> DataFrame:
+    """Matches (tier 0) of listings whose page is an offer already: it is the product that it was."""
+    own = offers.select(F.col("product_url").alias("url"), "master_id", "match_confidence").dropDuplicates(["url"])
+    found = listings.select(F.col(row_id).cast("string").alias("row_id"), "url").join(own, "url").dropDuplicates(["row_id"])
+    return found.select("row_id", "master_id", F.lit(0).alias("tier"), F.col("match_confidence").alias("confidence"), F.lit(False).alias("needs_review"), F.lit(False).alias("is_new"))
+
+
 def resolve(listings: DataFrame, known: Catalogue, now: Column, priorities: dict[str, int] | None = None, thresholds: matching.Thresholds = matching.Thresholds()) -> tuple[Catalogue, DataFrame]:
-    """The catalogue after a run over the listings, and the matches of the run."""
+    """The catalogue after a run over the listings, and the matches of the run.
+
+    Pages that are offers already keep their product; the cascade, which never gives a site a
+    product that it carries, sees the others.
+    """
     links = known.offers.select("domain", "master_id")
-    found = written(matching.match(listings, known.masters, links, thresholds=thresholds), "matches")
-    ids = written(matching.new_products(listings, found), "new-products")
-    made = gold.new_masters(listings, found, ids, now)
+    seen_before = written(known_by_url(listings, known.offers), "known-pages")
+    fresh = listings.join(seen_before.select(F.col("row_id").alias("scraped_url_id")), "scraped_url_id", "left_anti")
+    found = written(matching.match(fresh, known.masters, links, thresholds=thresholds).unionByName(seen_before), "matches")
+    ids = written(matching.new_products(fresh, found), "new-products")
+    made = gold.new_masters(fresh, found, ids, now)
     whole = found.join(ids.withColumnRenamed("master_id", "new_id"), "row_id", "left").withColumn("master_id", F.coalesce("master_id", "new_id")).drop("new_id")
     masters = gold.enriched(known.masters, listings, found, now, priorities or {}).unionByName(made, allowMissingColumns=True)
     offers = gold.offers_after(known.offers, listings, whole, now)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,3 +145,27 @@ def api_urls(documents: DataFrame, url_field: str = "url", body_col: str = "body
 
 def table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+@F.pandas_udf(T.StringType())
+def _unpacked(content: pd.Series) -> pd.Series:
+    def one(b: bytes) -> str | None:
+        try:
+            return (gzip.decompress(b) if b[:2] == b"\x1f\x8b" else b).decode("utf-8", "replace")
+        except (OSError, EOFError):
+            return None  # a broken file doesn't fail the job
+
+    return content.map(one)
+
+
+def documents(spark: SparkSession, path: str) -> DataFrame:
+    """(url, xml) of captured files; those that begin like gzip are unpacked, whatever their name."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), _unpacked("content").alias("xml"))
+
+
+def with_site(rows: DataFrame, sites: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with the id of their domain's site, and the number of rows of each domain that has none."""
+    known = sites.select("domain", F.col("site_id").alias("_site"))
+    out = rows.join(known, "domain", "left").withColumn("site_id", F.coalesce("_site", "site_id") if "site_id" in rows.columns else F.col("_site"))
+    missing = out.where("_site is null").groupBy("domain").agg(F.count("*").alias("errors"))
+    return out.where("_site is not null").drop("_site"), missing
