@@ -67,4 +67,17 @@ def written(df, what: str):
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the tables that ``written`` has made; call it when their results are stored. Returns their number."""
+    conf, number = spark._jsc.hadoopConfiguration(), 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        number += bool(path.getFileSystem(conf).delete(path, True))
+    return number
