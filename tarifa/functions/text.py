@@ -83,9 +83,14 @@ def extract_volume(name: Column) -> Column:
 
 def fingerprint(brand: Column, name: Column, native: bool = True) -> Column:
     """brand_volume_word: the word is the first of the sorted name that is neither the brand nor an amount."""
-    own = F.replace(normalise_name(brand, native), F.lit(" "), F.lit(""))
-    words = F.filter(normalised_tokens(name, native), lambda w: (w != own) & ~w.rlike("^[0-9]+[a-z]+$"))
-    whole = F.concat(own, F.lit("_"), extract_volume(name), F.lit("_"), F.try_element_at(words, F.lit(1)))
+    return fingerprint_of(normalise_name(brand, native), normalised_tokens(name, native), extract_volume(name))
+
+
+def fingerprint_of(brand_norm: Column, tokens: Column, volume: Column) -> Column:
+    """The same from columns that are there already."""
+    own = F.replace(brand_norm, F.lit(" "), F.lit(""))
+    words = F.filter(tokens, lambda w: (w != own) & ~w.rlike("^[0-9]+[a-z]+$"))
+    whole = F.concat(own, F.lit("_"), volume, F.lit("_"), F.try_element_at(words, F.lit(1)))
     return F.when((own != "") & (F.size(words) > 0), whole)
 
 

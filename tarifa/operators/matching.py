@@ -41,24 +41,26 @@ class Thresholds:
 MATCH = ["row_id", "master_id", "tier", "confidence", "needs_review"]
 
 
+def _keyed(rows: DataFrame, name: Column, brand: Column, keep: list[Column], norm: str, brand_norm: str, fingerprint: str) -> DataFrame:
+    """Name keys in two projections, so that a name's words are made once a row."""
+    first = rows.select(*keep, text.normalised_tokens(F.coalesce(name, F.lit(""))).alias("_words"), text.normalise_name(brand).alias(brand_norm), text.extract_volume(name).alias("_volume"))
+    keys = [F.array_join("_words", " ").alias(norm), F.col(brand_norm), text.fingerprint_of(F.col(brand_norm), F.col("_words"), F.col("_volume")).alias(fingerprint)]
+    return first.select(*[c for c in first.columns if c not in ("_words", "_volume", brand_norm)], *keys)
+
+
 def prepared(listings: DataFrame, row_id: str = "scraped_url_id") -> DataFrame:
     """The listings' keys of all tiers."""
-    name, brand = F.coalesce("raw_name", F.lit("")), F.coalesce("raw_brand", F.lit(""))
-    vector = [c for c in ("name_embedding",) if c in listings.columns]
-    return listings.select(
-        F.col(row_id).cast("string").alias("row_id"), "domain", "site_id", text.valid_ean(F.trim("raw_ean")).alias("ean"), F.col("raw_sku").alias("sku"),
-        text.normalise_name(name).alias("norm"), text.normalise_name(brand).alias("brand_norm"), text.fingerprint(brand, name).alias("fingerprint"), *vector,
-    )
+    vector = [F.col(c) for c in ("name_embedding",) if c in listings.columns]
+    keep = [F.col(row_id).cast("string").alias("row_id"), F.col("domain"), F.col("site_id"), text.valid_ean(F.trim("raw_ean")).alias("ean"), F.col("raw_sku").alias("sku"), *vector]
+    return _keyed(listings, F.col("raw_name"), F.col("raw_brand"), keep, "norm", "brand_norm", "fingerprint")
 
 
 def indexed(masters: DataFrame) -> DataFrame:
     """Active products with the same keys and their place in (brand, name, id)."""
     name, brand = F.coalesce("name", F.lit("")), F.coalesce("brand", F.lit(""))
-    vector = [c for c in ("name_embedding",) if c in masters.columns]
-    return masters.where(F.col("status").isin("active", "under_review")).select(
-        F.col("id").alias("master_id"), F.struct(brand.alias("b"), name.alias("n"), "id").alias("place"), text.text_or_null(F.trim("ean")).alias("m_ean"),
-        text.normalise_name(name).alias("m_norm"), text.normalise_name(brand).alias("m_brand"), text.fingerprint(brand, name).alias("m_fingerprint"), *[F.col(c).alias("m_embedding") for c in vector],
-    )
+    vector = [F.col(c).alias("m_embedding") for c in ("name_embedding",) if c in masters.columns]
+    keep = [F.col("id").alias("master_id"), F.struct(brand.alias("b"), name.alias("n"), "id").alias("place"), text.text_or_null(F.trim("ean")).alias("m_ean"), *vector]
+    return _keyed(masters.where(F.col("status").isin("active", "under_review")), name, brand, keep, "m_norm", "m_brand", "m_fingerprint")
 
 
 def _last(index: DataFrame, key: str) -> DataFrame:
@@ -148,9 +150,14 @@ def fuzzy_candidates(left: DataFrame, right: DataFrame, least: float, same_brand
 
 
 def by_similarity(rows: DataFrame, index: DataFrame, links: DataFrame | None, least: float) -> DataFrame:
-    found = _off_site(fuzzy_candidates(rows, index, least), links)
+    """Rows that share name, brand and site have the same answer, so it is looked for once."""
+    key = F.to_json(F.struct("norm", "brand_norm", "domain"))
+    asked = rows.where("norm != ''").select("norm", "brand_norm", "domain").distinct().withColumn("row_id", key)
+    found = _off_site(fuzzy_candidates(asked, index, least), links)
     best = found.groupBy("row_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "place", "master_id")).alias("b"))
-    return _result(best.select("row_id", F.col("b.master_id").alias("master_id"), (-F.col("b.s")).alias("score")), 3, F.round(F.col("score") / 100, 4))
+    best = best.select(F.col("row_id").alias("key"), F.col("b.master_id").alias("master_id"), (-F.col("b.s")).alias("score"))
+    own = rows.select("row_id", key.alias("key")).join(best, "key")
+    return _result(own, 3, F.round(F.col("score") / 100, 4))
 
 
 def nearest(rows: DataFrame, index: DataFrame, links: DataFrame | None, least: float, block_rows: int = 8192, part_rows: int = 1024) -> DataFrame:
