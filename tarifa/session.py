@@ -29,7 +29,7 @@ def session(app: str = "tarifa", master: str | None = None, **conf: str) -> Spar
 
 
 def shipped(spark: SparkSession) -> SparkSession:
-    """Give executors this package, once for each Spark application."""
+    """Give executors this package, once for each Spark application, and Arrow batches a size for rows of texts."""
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         here = os.path.dirname(os.path.abspath(__file__))
@@ -37,9 +37,14 @@ def shipped(spark: SparkSession) -> SparkSession:
         shutil.copytree(here, f"{folder}/code/tarifa", ignore=shutil.ignore_patterns("__pycache__"))
         spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/tarifa", "zip", f"{folder}/code"))
         _SHIPPED.add(app)
+    if int(spark.conf.get(BATCH, "10000")) == 10_000:  # Spark's own value: with long texts, too much for JVM and Python to hold at once
+        spark.conf.set(BATCH, "2000")
     return spark
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 _SHIPPED: set[str] = set()
 
 
