@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifa.llm import bpe, exact_dedup, mixing, quality, queries, simhash
-from tarifa.session import table, written
+from tarifa.session import shipped, table, written
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,21 +21,25 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of exact copies."""
+    shipped(spark)
     return exact_dedup.kept_rows(docs)
 
 
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    shipped(spark)
     return simhash.kept_rows(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for."""
+    shipped(spark)
     return mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document in the mix, and the digest of what they decode to."""
+    shipped(spark)
     both = bpe.encoded_and_decoded(docs, queries.tokenizer_path())
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

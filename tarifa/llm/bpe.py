@@ -41,7 +41,7 @@ from tarifa.llm.common import by_bytes, type_of
 
 ROW = 128
 LONG = 256
-CACHED = 1 << 18
+CACHED = 1 << 17
 
 # Code points with the White_Space property, and the endings split off after an apostrophe.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -244,7 +244,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, offsets: bool) -> Iterator[pa.RecordBatch]:
     own = vocabulary(path)
-    for batch in by_bytes(batches, "text", 4 << 20):
+    for batch in by_bytes(batches, "text", 2 << 20):
         ids, upto = own.encode(pc.fill_null(batch.column("text"), "").to_pylist())
         columns, names = [batch.column("id"), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids))], ["id", "ids"]
         if offsets:
@@ -256,7 +256,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, offsets: bool) -> Iter
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _decode(batches: Iterator[pa.RecordBatch], path: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _decode(batches: Iterator[pa.RecordBatch], path: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     own = vocabulary(path)
     for batch in batches:
         ids = batch.column("ids")

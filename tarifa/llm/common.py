@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,7 +23,14 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+def trim() -> None:
+    """Give freed memory back to the system: Spark keeps its Python workers, idle ones too."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` has about ``most`` bytes in each, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -33,6 +42,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 2
             total += n
         if start < len(sizes):
             yield batch.slice(start)
+        trim()
 
 
 def type_of(df: DataFrame, column: str) -> str:

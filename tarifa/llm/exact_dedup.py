@@ -55,7 +55,7 @@ def _better(a: tuple, b: tuple) -> bool:
 def _entries(schema: pa.Schema, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", 16 << 20):
             texts = [t.translate(None, WS) for t in as_bytes(batch.column("text"))]
             points = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
             ids = batch.column("id").to_pylist()
@@ -76,7 +76,7 @@ def _entries(schema: pa.Schema, whole: bool):
                 "hash": pa.array([_signed(xxhash.xxh64_intdigest(t)) for t in texts], pa.int64()),
                 "n": pa.array([number[t] if f else 0 for t, f in zip(texts, first, strict=True)], pa.int64()),
                 "points": pa.array(points, pa.int64()),
-                "text": pa.array([t if f else None for t, f in zip(texts, first, strict=True)], pa.binary()),
+                "text": pa.array([(b"" if whole else t) if f else None for t, f in zip(texts, first, strict=True)], pa.binary()),  # a whole row has it already
             }
             if whole:
                 columns["row"] = pc.if_else(pa.array(first), batch.column("row"), pa.scalar(None, batch.column("row").type))
@@ -122,8 +122,12 @@ def directory(counts: dict[int, tuple[int, int]], depth: int, capacity: int) ->
     return [rank.setdefault(s, len(rank)) for s in fine]
 
 
-def _owners(schema: pa.Schema, whole: bool):
-    """Streams entries in hash order; a chain holds ids of its members and one best row a text."""
+def _owners(schema: pa.Schema, text_col: str | None = None):
+    """Streams entries in hash order; a chain holds ids of its members and one best row a text.
+
+    With ``text_col``, entries have whole rows, whose text it is, and the rows that stay are the result.
+    """
+    whole = text_col is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_now, chain, members = None, [], []  # chain: [text, n, best, best's row]
@@ -150,9 +154,11 @@ def _owners(schema: pa.Schema, whole: bool):
             out, out_rows = [], []
 
         out, out_rows, batch = [], [], None
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", rows=256 if whole else 4096):
             hashes, heads = batch.column("hash").to_pylist(), batch.column("head").to_pylist()
             texts, ns = batch.column("text").to_pylist(), batch.column("n").to_pylist()
+            if whole:
+                texts = [t.translate(None, WS) for t in as_bytes(batch.column("row").field(text_col))]
             ids, points = batch.column("id").to_pylist(), batch.column("points").to_pylist()
             for i, h in enumerate(hashes):
                 if h != hash_now:
@@ -207,7 +213,7 @@ def _indexed(docs: DataFrame, id_col: str, text_col: str, whole: bool, capacity:
     number = heads.count()
     depth = max(0, min(24, math.ceil(math.log2(max(1, number / capacity))) + 4)) if number else 0
     prefix = F.shiftrightunsigned("hash", 64 - depth) if depth else F.lit(0).cast("long")
-    counts = {r[0]: (r[1], r[2]) for r in heads.groupBy(prefix.alias("p")).agg(F.count("*"), F.sum(F.length("text") + 64)).collect()}
+    counts = {r[0]: (r[1], r[2]) for r in heads.groupBy(prefix.alias("p")).agg(F.count("*"), F.sum(F.col("points") + 64)).collect()}
     slots = directory(counts, depth, capacity)
     share = partitions(spark)
     total, upto, owner, dealt = sum(b for _, b in counts.values()), 0, {}, []
@@ -225,7 +231,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     entries, owned = _indexed(docs, id_col, text_col, False, capacity)
     out = T.StructType([T.StructField("head", T.LongType()), T.StructField("keep_rid", T.LongType()), T.StructField("keep_id", docs.schema[id_col].dataType), T.StructField("group_size", T.LongType())])
     arrow = pa.schema([("head", pa.int64()), ("keep_rid", pa.int64()), ("keep_id", _arrow_type(docs, id_col)), ("group_size", pa.int64())])
-    groups = owned.mapInArrow(_owners(arrow, False), out)
+    groups = owned.mapInArrow(_owners(arrow), out)
     return (
         entries.select("rid", "head", "id", "sha")
         .join(groups, "head")
@@ -237,7 +243,7 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     """The documents that stay, with all their columns."""
     _, owned = _indexed(docs, id_col, text_col, True, capacity)
     rows = T.StructType([owned.schema["row"]])
-    return owned.mapInArrow(_owners(pa.schema([]), True), rows).select("row.*").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return owned.mapInArrow(_owners(pa.schema([]), text_col), rows).select("row.*").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _arrow_type(docs: DataFrame, column: str) -> pa.DataType:

@@ -165,10 +165,11 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
     """The mix itself: each row as often as it is taken, all columns kept."""
-    plan = copies(docs, id_col, text_col, source_col, seed).select(F.struct("id", "source", "size").alias("key"), "m", "copies")
-    key = F.struct(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), words(F.col(text_col)).alias("size"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("k"))
-    joined = rows.join(plan, F.col("k").eqNullSafe(F.col("key")))
-    alone = F.when(F.col("m") == 1, F.lit(1)).otherwise(F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row"))))
-    own = F.floor(F.col("copies") / F.col("m")) + F.when(alone - 1 < F.col("copies") % F.col("m"), 1).otherwise(0)
-    return joined.select("row", own.cast("int").alias("times")).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("i")).select("row.*")
+    key = lambda *columns: F.to_json(F.struct(*[c.alias(n) for c, n in zip(columns, ("id", "source", "size"), strict=True)]))  # noqa: E731  never null: the join and the window are dealt alike
+    plan = copies(docs, id_col, text_col, source_col, seed).select(key(F.col("id"), F.col("source"), F.col("size")).alias("key"), "m", "copies")
+    own = key(F.col(id_col), F.col(source_col).cast("string"), words(F.col(text_col)))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("key"))
+    place = F.when(F.col("m") == 1, F.lit(1)).otherwise(F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row"))))
+    times = F.floor(F.col("copies") / F.col("m")) + F.when(place - 1 < F.col("copies") % F.col("m"), 1).otherwise(0)
+    joined = rows.join(plan, "key")
+    return joined.select("row", times.cast("int").alias("times")).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("i")).select("row.*")

@@ -307,6 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns."""
-    keep = near_duplicates(docs, id_col, text_col).where("kept").select(F.struct(F.col(id_col).alias("id"), "mark").alias("key")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark")).alias("k"))
-    return rows.join(keep, F.col("k").eqNullSafe(F.col("key")), "left_semi").dropDuplicates(["k"]).select("row.*")
+    key = lambda id_, mark: F.to_json(F.struct(id_.alias("id"), mark.alias("mark")))  # noqa: E731  one column, never null: the join and what follows are dealt alike
+    keep = near_duplicates(docs, id_col, text_col).where("kept").select(key(F.col(id_col), F.col("mark")).alias("k"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).alias("k"))
+    return rows.join(keep, "k", "left_semi").dropDuplicates(["k"]).select("row.*")

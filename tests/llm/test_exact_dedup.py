@@ -50,7 +50,7 @@ def test_colliding_hashes_are_told_apart(nasty, monkeypatch):
     """With one hash for all, the chains of bytes still decide."""
     import pyarrow as pa
 
-    owners = exact_dedup._owners(pa.schema([("head", pa.int64()), ("keep_rid", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64())]), False)
+    owners = exact_dedup._owners(pa.schema([("head", pa.int64()), ("keep_rid", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64())]))
     batch = pa.RecordBatch.from_pydict({"head": [1, 2, 3], "hash": [9, 9, 9], "text": [b"a", b"b", b"a"], "n": [1, 1, 2], "id": [4, 5, 6], "points": [1, 1, 1]})
     rows = [r for b in owners(iter([batch])) for r in b.to_pylist()]
     assert sorted((r["head"], r["keep_id"], r["group_size"]) for r in rows) == [(1, 4, 3), (2, 5, 1), (3, 4, 3)]
