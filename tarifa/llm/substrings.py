@@ -275,14 +275,14 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def suffix_order(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` symbols at least (symbols below 512), then of position."""
+    """Suffixes in order of their first ``depth`` symbols at least (symbols below 512); equal ones in any order."""
     n = len(text)
     key = np.zeros(n, np.int64)
     for j in range(7):
         key[: n - j] |= text[j:].astype(np.int64) << 9 * (6 - j)
     size = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_ = key[order]
         fresh = np.ones(n, np.int64)
         fresh[1:] = sorted_[1:] != sorted_[:-1]
@@ -325,7 +325,7 @@ def shared_prefixes(text: np.ndarray, order: np.ndarray, length: int = LENGTH) -
             c = symbol[rows]
             keep = c > 0
             key, to = of[keep] * 512 + c[keep], step[rows[keep]]
-            by = np.argsort(key, kind="stable")
+            by = np.argsort(key)
             key, to = key[by], to[by]
             if len(key):
                 at = np.flatnonzero(np.diff(key, prepend=-1))
