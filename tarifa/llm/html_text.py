@@ -12,8 +12,10 @@ form, comment and so on goes even if its text is the page's own. Where a page
 declares an article, only that is left; where not, what differencing left, without
 blocks that consist of links.
 
-Alignment moves hashes of lines only. A host with over ``crowd`` pages is dealt
-into buckets by the hash of its paths, so no task gets a host that holds a third of all pages.
+Alignment moves hashes of lines only. Pages are dealt into ranges of (host, path, key)
+of about ``crowd`` pages, so that a host (or a path) that holds a third of all pages is
+many tasks' work. A range gets the last page of the range before it and the first of the one after it, so
+every page meets its nearest URL, whatever the number of ranges.
 The alignment works on the lines that both pages have and is bit-parallel.
 
 Defined cases: a null html is empty, and has no text; a null URL has an empty
@@ -29,6 +31,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,7 @@ from pyspark.sql.window import Window
 from tarifa.llm.common import by_bytes, type_of
 from tarifa.session import written
 
-CROWD = 256
+CROWD = 2048
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 # Fixed values of HTML: elements without an end, with raw text, and block elements.
@@ -277,14 +280,30 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("host"), batch.column("path"), pa.array(lines, pa.list_(pa.int64()))], names=["key", "host", "path", "lines"])
 
 
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DataType, list[dict]]]:
+    """(type of the keys, rows) of each part; the rows are in order of part."""
+    kinds: list[pa.DataType] = []
+
+    def rows():
+        for batch in batches:
+            kinds[:] = [batch.schema.field("key").type]
+            yield from batch.to_pylist()
+
+    for _, group in groupby(rows(), key=lambda r: r["part"]):
+        own = list(group)
+        yield kinds[0], own
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        columns = [batch.column(c).to_pylist() for c in ("path", "lines", "path_before", "lines_before", "path_after", "lines_after")]
-        for path, lines, path1, lines1, path2, lines2 in zip(*columns, strict=True):
-            near = [(-_prefix(path, p), i, x) for i, (p, x) in enumerate(((path1, lines1), (path2, lines2))) if x is not None and x != lines]
-            out.append(common_lines(lines, min(near)[2]) if near else [])
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.list_(pa.int32()))], names=["key", "shared"])
+    for kind, rows in _ranges(batches):
+        keys, out = [], []
+        for i, row in enumerate(rows):
+            if row["at"] != 1:  # of the range beside
+                continue
+            beside = [(-_prefix(row["path"], x["path"]), n, x["lines"]) for n, x in enumerate((rows[i - 1] if i else None, rows[i + 1] if i + 1 < len(rows) else None)) if x and x["host"] == row["host"] and x["lines"] != row["lines"]]
+            keys.append(row["key"])
+            out.append(common_lines(row["lines"], min(beside)[2]) if beside else [])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(out, pa.list_(pa.int32()))], names=["key", "shared"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,10 +316,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shared_lines(pages: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(key, shared): places of the lines that a page shares with its nearest neighbour; ``pages``: key, host, path, html."""
     read = written(pages.mapInArrow(_hashes, f"key {type_of(pages, 'key')}, host string, path string, lines array<bigint>").dropDuplicates(["key"]), "html-lines")
-    hosts = read.groupBy("host").agg(F.ceil(F.count("*") / crowd).alias("buckets"))
-    dealt = read.join(hosts, "host").withColumn("bucket", F.struct("host", F.pmod(F.xxhash64("path"), "buckets").alias("part")))  # one column, or rows would stay dealt by host
-    order = Window.partitionBy("bucket").orderBy("path", "key")
-    near = dealt.select("key", "path", "lines", *[f("path").over(order).alias(f"path_{n}") for n, f in (("before", F.lag), ("after", F.lead))], *[f("lines").over(order).alias(f"lines_{n}") for n, f in (("before", F.lag), ("after", F.lead))])
+    parts = max(1, -(-read.count() // crowd))
+    dealt = written(read.repartitionByRange(parts, "host", "path", "key").withColumn("part", F.spark_partition_id()), "html-ranges")
+    page, place = F.struct("key", "host", "path", "lines"), F.struct("host", "path", "key")
+    edges = written(dealt.groupBy("part").agg(F.min_by(page, place).alias("first"), F.max_by(page, place).alias("last")), "html-edges")  # one row a range
+    order = Window.orderBy("part")
+    beside = edges.select("part", F.lag("last").over(order).alias("before"), F.lead("first").over(order).alias("after"))
+    beside = beside.selectExpr("part", "stack(2, 0, before, 2, after) AS (at, p)").where("p is not null").select("part", "at", "p.*")
+    parts = (edges.agg(F.max("part")).first()[0] or 0) + 1
+    rows = dealt.withColumn("at", F.lit(1)).unionByName(beside)
+    near = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "at", "host", "path", "key")
     return near.mapInArrow(_align, f"key {type_of(pages, 'key')}, shared array<int>")
 
 

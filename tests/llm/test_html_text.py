@@ -66,6 +66,17 @@ def test_shared_lines_go_where_no_article_is_declared(spark):
         assert got[10] == "Our shop\n\nCall us now\n\nAlone."
 
 
+def test_each_page_meets_its_nearest_url_at_any_number_of_ranges(spark):
+    """A hot host: lines of a section are shared within it only, and many pages have one path."""
+    page = lambda section, i: f"<body><p>Shop</p><p>Menu of section {section}</p><p>Own story {i} of {section}, told here at some length.</p></body>"
+    rows = [(1000 * s + i, f"http://hot.com/{s:02}/{i}", page(s, i), *[1] * 5) for s in range(12) for i in range(4)]
+    rows += [(50_000 + i, f"http://hot.com/index.php?id={i}", page("index", i), *[1] * 5) for i in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    results = [{r.page_id: r.text for r in html_text.extracted(df, crowd=crowd).collect()} for crowd in (10_000, 20, 5, 1)]
+    assert all(r == results[0] for r in results)
+    assert len(results[0]) == len(rows) and all(re.fullmatch(r"Own story .* length\.", text) for text in results[0].values())
+
+
 def test_copies_of_an_article_stay(spark):
     page = "<nav>m</nav><article><h1>T</h1><p>Same text.</p></article>"
     rows = [(i, f"http://h.com/{i}", page.replace(">m<", f">m{i}<"), *[1] * 5) for i in range(5)]
