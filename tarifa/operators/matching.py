@@ -55,6 +55,17 @@ def prepared(listings: DataFrame, row_id: str = "scraped_url_id") -> DataFrame:
     return _keyed(listings, F.col("raw_name"), F.col("raw_brand"), keep, "norm", "brand_norm", "fingerprint")
 
 
+def with_own_keys(rows: DataFrame, column: str, what: str) -> DataFrame:
+    """The rows, written, each with a key of its own for its id in ``column``, as ids repeat (a page scraped on several days). Keys are in order of id."""
+    own = F.concat_ws(".", F.hex(F.xxhash64(*rows.columns)), F.monotonically_increasing_id().cast("string"))
+    return written(rows.withColumn(column, F.concat_ws("\x1f", F.col(column).cast("string"), own)), what)
+
+
+def with_ids(rows: DataFrame, column: str) -> DataFrame:
+    """Keys of ``with_own_keys`` back to ids."""
+    return rows.withColumn(column, F.when(F.contains(F.col(column), F.lit("\x1f")), F.regexp_replace(column, "\x1f[^\x1f]*$", "")))
+
+
 def indexed(masters: DataFrame) -> DataFrame:
     """Active products with the same keys and their place in (brand, name, id)."""
     name, brand = F.coalesce("name", F.lit("")), F.coalesce("brand", F.lit(""))
@@ -215,8 +226,8 @@ def by_vector(rows: DataFrame, index: DataFrame, links: DataFrame | None, t: Thr
 
 
 def match(listings: DataFrame, masters: DataFrame, links: DataFrame | None = None, skus: DataFrame | None = None, thresholds: Thresholds = Thresholds(), row_id: str = "scraped_url_id") -> DataFrame:
-    """One row a listing: MATCH and ``is_new``. links: (domain, master_id) that exist already."""
-    rows, index = written(prepared(listings, row_id), "match-rows"), written(indexed(masters), "match-index")
+    """One row a listing, also where ids repeat: MATCH and ``is_new``. links: (domain, master_id) that exist already."""
+    rows, index = with_own_keys(prepared(listings, row_id), "row_id", "match-rows"), written(indexed(masters), "match-index")
     tiers = [lambda r: by_ean(r, index)]
     if thresholds.sku_tier and skus is not None:
         tiers.append(lambda r: by_sku(r, skus))
@@ -233,14 +244,14 @@ def match(listings: DataFrame, masters: DataFrame, links: DataFrame | None = Non
         found = own if found is None else found.unionByName(own)
         left = left.join(own.select("row_id"), "row_id", "left_anti")
     new = left.select("row_id", F.lit(None).cast("string").alias("master_id"), F.lit(6).alias("tier"), F.lit(0.0).alias("confidence"), F.lit(False).alias("needs_review"))
-    return found.unionByName(new).withColumn("is_new", F.col("tier") == 6)
+    return with_ids(found.unionByName(new), "row_id").withColumn("is_new", F.col("tier") == 6)
 
 
 def new_products(listings: DataFrame, matches: DataFrame, row_id: str = "scraped_url_id") -> DataFrame:
     """(row_id, master_id): unmatched listings of one run that are the same product share an id.
 
     They are the same by identifier, else by normalised name with brands that
-    fit. The id is a hash of the key, so reruns agree.
+    fit. The id is a hash of the key, so reruns agree. Ids of listings must not repeat here.
     """
     rows = prepared(listings, row_id).join(matches.where("is_new").select("row_id"), "row_id", "left_semi")
     brand = F.when(F.col("brand_norm") != "", F.col("brand_norm"))

@@ -39,8 +39,9 @@ def resolve(listings: DataFrame, known: Catalogue, now: Column, priorities: dict
     """The catalogue after a run over the listings, and the matches of the run.
 
     Pages that are offers already keep their product; the cascade, which never gives a site a
-    product that it carries, sees the others.
+    product that it carries, sees the others. Each listing takes part, also where ids repeat.
     """
+    listings = matching.with_own_keys(listings, "scraped_url_id", "listings")
     links = known.offers.select("domain", "master_id")
     seen_before = written(known_by_url(listings, known.offers), "known-pages")
     fresh = listings.join(seen_before.select(F.col("row_id").alias("scraped_url_id")), "scraped_url_id", "left_anti")
@@ -52,4 +53,4 @@ def resolve(listings: DataFrame, known: Catalogue, now: Column, priorities: dict
     offers = gold.offers_after(known.offers, listings, whole, now)
     seen = listings.select(F.col("url").alias("product_url")).distinct()
     log = gold.appended(known.log, gold.price_log_rows(offers.join(seen, "product_url", "left_semi"), now))
-    return Catalogue(masters, offers, log), whole
+    return Catalogue(masters, offers, log), matching.with_ids(whole, "row_id")

@@ -386,7 +386,7 @@ def _(spark, sf_dir):
 
 @query("match_fuzzy_topk")
 def _(spark, sf_dir):
-    return matching.by_similarity(_rows(spark, sf_dir).dropDuplicates(["row_id"]), matching.indexed(kit.masters(spark, sf_dir)), None, 90.0)
+    return matching.by_similarity(_rows(spark, sf_dir), matching.indexed(kit.masters(spark, sf_dir)), None, 90.0)
 
 
 VEC = "v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)"

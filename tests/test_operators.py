@@ -53,6 +53,27 @@ def test_fingerprint_tier(spark):
     assert got["r"] == (4, "m", 0.92, False, False)
 
 
+def test_every_listing_of_a_repeated_id_is_matched(spark):
+    known = [("m1", "Serum eclat visage", "", "4006000099422"), ("m2", "Cleanance Gel Nettoyant", "AVENE", "")]
+    kinds = {("x", "", "4006000099422"): (1, "m1"), ("Gel nettoyant Cleanance", "Avène", ""): (3, "m2"), ("Gel nettoyant Cleanances", "", ""): (3, "m2"), ("nothing like it", "", ""): (6, None)}
+    rows = [(i, name, brand, ean, "", "1", "a.ma") for i in ("one", "two", "a:b", None) for name, brand, ean in kinds] + [("one", "nothing like it", "", "", "", "1", "a.ma")]
+    got = matching.match(listing(spark, *rows), masters(spark, *known)).collect()
+    want = [(r[0], *kinds[r[1:4]]) for r in rows]
+    assert sorted(((r.row_id, r.tier, r.master_id) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_fuzzy_query_keeps_repeated_ids(spark, sf_dir):
+    """Against each row alone: a row's match does not hang on others of its id."""
+    from tarifa.queries import QUERIES, _rows
+
+    index = matching.indexed(testkit.masters(spark, sf_dir))
+    rows = _rows(spark, sf_dir).withColumn("id", F.col("row_id")).withColumn("row_id", F.to_json(F.struct("row_id", "norm", "brand_norm", "domain")))
+    alone = matching.by_similarity(rows.dropDuplicates(["row_id"]), index, None, 90.0)
+    want = rows.groupBy("row_id", "id").count().join(alone, "row_id").groupBy("id", "master_id").agg(F.sum("count").alias("n"))
+    got = QUERIES["match_fuzzy_topk"](spark, sf_dir).groupBy(F.col("row_id").alias("id"), "master_id").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
 def test_no_masters(spark):
     got = tiers(spark, [("r", "x y z", "", "", "", "1", "a")], [])
     assert got["r"] == (6, None, 0.0, False, True)
@@ -141,6 +162,20 @@ def test_snapshots(spark, tmp_path):
     assert t.read().count() == 5 and first.count() == 3
 
 
+def test_a_run_with_repeated_ids(spark):
+    from tarifa.sources.readers import with_columns_of
+
+    def run(ids):
+        pages = [(i, "1", f"http://a.ma/{n}", name, "a.ma", 10.0 + n, float(n)) for n, (i, name) in enumerate(zip(ids, ["Gel Doux", "Shampooing Frais", "Creme Riche"], strict=True))]
+        rows = with_columns_of(spark.createDataFrame(pages, "scraped_url_id string, site_id string, url string, raw_name string, domain string, raw_price double, fetched_at_utc double"), schemas.LISTING)
+        none = nightly.Catalogue(*[spark.createDataFrame([], s) for s in (schemas.MASTER, schemas.SITE_PRODUCT, schemas.PRICE_LOG)])
+        after, found = nightly.resolve(rows, none, now())
+        return sorted((r.product_url, r.master_id, r.current_price) for r in after.offers.collect()), sorted(str(r.row_id) for r in found.collect())
+
+    same, ids = run(["u", "u", None])
+    assert (same, ids) == (run(["u", "v", "w"])[0], ["None", "u", "u"]) and len(same) == 3
+
+
 def offers(spark, *rows):
     return spark.createDataFrame(list(rows), schemas.SITE_PRODUCT)
 
