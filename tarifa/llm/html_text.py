@@ -2,8 +2,11 @@
 
 Each page is read into text lines, one a block. Pages of a host are ordered by
 URL path, and each is paired with the neighbour with which its path has the
-longer common prefix (the one before, if equal; the other one, if that is the
-same page again). The lines of both are aligned by their longest common
+longer common prefix (the one before, if equal). Pages of a host with equal lines
+are one page here, and all get its result. Consecutive pages that have ``COPY`` of each other's
+letters in common are copies of each other: they are paired with the page before or after
+all of them, as an alignment of two copies would delete the article. A page without a
+neighbour that is no copy loses no line. The lines of both are aligned by their longest common
 subsequence; lines in it are shared and deleted. Two kinds of evidence from the
 markup go along: lines of a declared article (``article``, ``main``, the usual
 roles and names) are not deleted for being shared, as copies of an article would
@@ -14,7 +17,7 @@ blocks that consist of links.
 
 Alignment moves hashes of lines only. Pages are dealt into ranges of (host, path, key)
 of about ``crowd`` pages, so that a host (or a path) that holds a third of all pages is
-many tasks' work. A range gets the last page of the range before it and the first of the one after it, so
+many tasks' work. A range gets the page that comes before it and the one after it (beyond copies), so
 every page meets its nearest URL, whatever the number of ranges.
 The alignment works on the lines that both pages have and is bit-parallel.
 
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
@@ -45,6 +49,7 @@ from tarifa.llm.common import by_bytes, type_of
 from tarifa.session import written
 
 CROWD = 2048
+COPY = 0.8
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 # Fixed values of HTML: elements without an end, with raw text, and block elements.
@@ -274,36 +279,86 @@ def _pages(batch: pa.RecordBatch) -> list[list[Line]]:
     return [lines_of(page) for page in pc.fill_null(batch.column("html"), "").to_pylist()]
 
 
+PAGE = "host string, path string, lines array<bigint>, sizes array<int>"
+
+
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the lines, their letters (none in what the markup rules out) and a mark of both."""
     for batch in by_bytes(batches, "html", 4 << 20):
-        lines = [[xxhash.xxh3_64_intdigest(line.text) - (1 << 63) for line in page] for page in _pages(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("host"), batch.column("path"), pa.array(lines, pa.list_(pa.int64()))], names=["key", "host", "path", "lines"])
+        pages = _pages(batch)
+        lines = [[xxhash.xxh3_64_intdigest(line.text) - (1 << 63) for line in page] for page in pages]
+        sizes = [[len(line.text) if line.wanted else 0 for line in page] for page in pages]
+        marks = [xxhash.xxh3_128_hexdigest(repr((x, y))) for x, y in zip(lines, sizes, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("host"), batch.column("path"), pa.array(marks, pa.string()), pa.array(lines, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))], names=["key", "host", "path", "mark", "lines", "sizes"])
+
+
+def _repeats(a: dict, b: dict) -> bool:
+    """Whether ``COPY`` of a's letters are in lines that b has too."""
+    left, same = Counter(b["lines"]), 0
+    for line, n in zip(a["lines"], a["sizes"], strict=True):
+        if left[line] > 0:
+            left[line] -= 1
+            same += n
+    return same >= COPY * sum(a["sizes"])
+
+
+def _copies(a: dict, b: dict) -> bool:
+    return a["host"] == b["host"] and _repeats(a, b) and _repeats(b, a)
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each part; they are in order of part."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for _, group in groupby(rows, key=lambda r: r["part"]):
+        yield list(group)
+
+
+def _page(row: dict | None) -> dict | None:
+    return row and {c: row[c] for c in ("host", "path", "lines", "sizes")}
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each range: its ends, and the first and last page inside that is no copy of the page before it."""
+    for rows in _ranges(batches):
+        starts = [i for i in range(1, len(rows)) if not _copies(rows[i - 1], rows[i])]
+        ends = {"first": rows[0], "last": rows[-1], "start": rows[starts[0]] if starts else None, "before": rows[starts[-1] - 1] if starts else None}
+        out = {"part": [rows[0]["part"]]} | {k: pa.array([_page(v)], EDGE) for k, v in ends.items()}
+        yield pa.RecordBatch.from_pydict(out | {"part": pa.array(out["part"], pa.int32())})
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DataType, list[dict]]]:
-    """(type of the keys, rows) of each part; the rows are in order of part."""
-    kinds: list[pa.DataType] = []
+EDGE = pa.struct([("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
 
-    def rows():
-        for batch in batches:
-            kinds[:] = [batch.schema.field("key").type]
-            yield from batch.to_pylist()
 
-    for _, group in groupby(rows(), key=lambda r: r["part"]):
-        own = list(group)
-        yield kinds[0], own
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, at, page): the page before each range (0) and after it (2), beyond copies of its first and last page."""
+    edges = [row for batch in batches for row in batch.to_pylist()]
+    out, carried = [], None
+    for i, e in enumerate(edges):
+        if i and not _copies(edges[i - 1]["last"], e["first"]):
+            carried = edges[i - 1]["last"]
+        out.append((e["part"], 0, carried))
+        carried = e["before"] or carried
+    carried = None
+    for i in reversed(range(len(edges))):
+        if i + 1 < len(edges):
+            carried = edges[i + 1]["first"] if not _copies(edges[i]["last"], edges[i + 1]["first"]) else edges[i + 1]["start"] or carried
+        out.append((edges[i]["part"], 2, carried))
+    out = [x for x in out if x[2]]
+    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), *[pa.array([x[2][f.name] for x in out], f.type) for f in EDGE]], names=["part", "at", *[f.name for f in EDGE]])
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for kind, rows in _ranges(batches):
-        keys, out = [], []
-        for i, row in enumerate(rows):
-            if row["at"] != 1:  # of the range beside
-                continue
-            beside = [(-_prefix(row["path"], x["path"]), n, x["lines"]) for n, x in enumerate((rows[i - 1] if i else None, rows[i + 1] if i + 1 < len(rows) else None)) if x and x["host"] == row["host"] and x["lines"] != row["lines"]]
-            keys.append(row["key"])
-            out.append(common_lines(row["lines"], min(beside)[2]) if beside else [])
-        yield pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(out, pa.list_(pa.int32()))], names=["key", "shared"])
+    for rows in _ranges(batches):
+        own = [r for r in rows if r["at"] == 1]
+        before, after = (next((r for r in rows if r["at"] == at), None) for at in (0, 2))
+        starts = [0, *[i for i in range(1, len(own)) if not _copies(own[i - 1], own[i])], len(own)]
+        out = []
+        for a, b in zip(starts, starts[1:], strict=False):  # a run of copies
+            beside = (own[a - 1] if a else before), (own[b] if b < len(own) else after)
+            for row in own[a:b]:
+                near = [(-_prefix(row["path"], x["path"]), n, x["lines"]) for n, x in enumerate(beside) if x and x["host"] == row["host"] and not _repeats(row, x)]
+                out.append(common_lines(row["lines"], min(near)[2]) if near else [])
+        yield pa.RecordBatch.from_arrays([pa.array([r["host"] for r in own], pa.string()), pa.array([r["mark"] for r in own], pa.string()), pa.array(out, pa.list_(pa.int32()))], names=["host", "mark", "shared"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,18 +370,19 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shared_lines(pages: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(key, shared): places of the lines that a page shares with its nearest neighbour; ``pages``: key, host, path, html."""
-    read = written(pages.mapInArrow(_hashes, f"key {type_of(pages, 'key')}, host string, path string, lines array<bigint>").dropDuplicates(["key"]), "html-lines")
+    read = written(pages.mapInArrow(_hashes, f"key {type_of(pages, 'key')}, host string, path string, mark string, lines array<bigint>, sizes array<int>").dropDuplicates(["key"]), "html-lines")
+    place = F.struct("path", "key")
+    one = read.groupBy("host", "mark").agg(F.min_by(F.struct("path", "key", "lines", "sizes"), place).alias("p")).select("host", "mark", "p.*")
     parts = max(1, -(-read.count() // crowd))
-    dealt = written(read.repartitionByRange(parts, "host", "path", "key").withColumn("part", F.spark_partition_id()), "html-ranges")
-    page, place = F.struct("key", "host", "path", "lines"), F.struct("host", "path", "key")
-    edges = written(dealt.groupBy("part").agg(F.min_by(page, place).alias("first"), F.max_by(page, place).alias("last")), "html-edges")  # one row a range
-    order = Window.orderBy("part")
-    beside = edges.select("part", F.lag("last").over(order).alias("before"), F.lead("first").over(order).alias("after"))
-    beside = beside.selectExpr("part", "stack(2, 0, before, 2, after) AS (at, p)").where("p is not null").select("part", "at", "p.*")
-    parts = (edges.agg(F.max("part")).first()[0] or 0) + 1
-    rows = dealt.withColumn("at", F.lit(1)).unionByName(beside)
-    near = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "at", "host", "path", "key")
-    return near.mapInArrow(_align, f"key {type_of(pages, 'key')}, shared array<int>")
+    dealt = written(one.repartitionByRange(parts, "host", "path", "key").withColumn("part", F.spark_partition_id()), "html-ranges")
+    parts = (dealt.agg(F.max("part")).first()[0] or 0) + 1
+    ordered = lambda rows: rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", *[c for c in ("at",) if c in rows.columns], "host", "path", "key")
+    page = f"struct<{PAGE.replace(' ', ':')}>".replace(",:", ",")
+    edges = written(ordered(dealt).mapInArrow(_edges, f"part int, first {page}, last {page}, start {page}, before {page}"), "html-edges")  # one row a range
+    beside = edges.coalesce(1).sortWithinPartitions("part").mapInArrow(_beside, f"part int, at int, {PAGE}")
+    rows = dealt.withColumn("at", F.lit(1)).unionByName(beside, allowMissingColumns=True)
+    shared = written(ordered(rows).mapInArrow(_align, "host string, mark string, shared array<int>"), "html-shared")
+    return read.select("key", "host", "mark").join(shared, ["host", "mark"]).select("key", "shared")
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", crowd: int = CROWD) -> DataFrame:

@@ -77,6 +77,21 @@ def test_each_page_meets_its_nearest_url_at_any_number_of_ranges(spark):
     assert len(results[0]) == len(rows) and all(re.fullmatch(r"Own story .* length\.", text) for text in results[0].values())
 
 
+def test_copies_and_near_copies_meet_the_next_other_page(spark):
+    menu, foot = "<p>Our shop</p>", "<p>All rights reserved</p>"
+    story = lambda what: f"<p>A long story of {what}, told here from its start.</p><p>And how {what} went on until it ended well.</p>"
+    text = lambda what: f"A long story of {what}, told here from its start.\n\nAnd how {what} went on until it ended well."
+    rows = [(i, f"http://h.com/a?{i}", menu + story("copies") + foot) for i in range(9)]
+    rows += [(100 + i, f"http://h.com/b/{i}", menu + f"<p>Day {i}</p>" + story("days") + foot) for i in range(9)]
+    rows += [(200 + i, f"http://h.com/c/{i}", menu + story(f"page {i} {'xyz'[i] * 40}") + foot) for i in range(3)]
+    df = spark.createDataFrame([(*r, *[1] * 5) for r in rows], SCHEMA)
+    for crowd in (1000, 4, 1):
+        got = {r.page_id: r.text for r in html_text.extracted(df, crowd=crowd).collect()}
+        assert {got[i] for i in range(9)} == {text("copies")}
+        assert all(got[100 + i] == f"Day {i}\n\n" + text("days") for i in range(9))
+        assert all(got[200 + i].startswith("A long story of page") and got[200 + i].endswith("well.") for i in range(3))
+
+
 def test_copies_of_an_article_stay(spark):
     page = "<nav>m</nav><article><h1>T</h1><p>Same text.</p></article>"
     rows = [(i, f"http://h.com/{i}", page.replace(">m<", f">m{i}<"), *[1] * 5) for i in range(5)]
