@@ -18,6 +18,8 @@ most, of which the k best are kept by a partial aggregate.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and
 rows with a null id, take no part; rows that repeat both id and vector count once;
+an id with several vectors has each of them as a row and as a query, and one ranking: the k best
+pairs of its vectors with rows of other ids, so a row may be in it once for each of its vectors;
 a vector with fewer components than others is filled with zeros; equal scores
 are ordered by the smaller id; an empty table gives an empty table; further
 columns never matter.
@@ -117,10 +119,14 @@ class Shard:
                 continue
             # cheap test on one query first: only if its members are few, look at all
             sample = scores[0] - length[0] * rest
-            if (scores[0] + length[0] * rest >= np.partition(sample, n - min(n, k + 1))[n - min(n, k + 1)]).sum() > few:
+            sample[own[0][0] : own[1][0]] = -np.inf
+            if (scores[0] + length[0] * rest >= np.partition(sample, n - k)[n - k]).sum() > few:
                 continue
             reach = length[:, None] * rest[None, :]
-            low = np.partition(scores - reach, n - min(n, k + 1), axis=1)[:, n - min(n, k + 1)]  # one more, as the query's own row may be among them
+            low = scores - reach
+            for i in range(len(ids)):
+                low[i, own[0][i] : own[1][i]] = -np.inf  # an id may have several rows
+            low = np.partition(low, n - k, axis=1)[:, n - k]
             possible = scores + reach * 1.000001 >= low[:, None]
             if possible.sum(axis=1).max() <= few:
                 for i in range(len(ids)):

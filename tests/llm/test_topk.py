@@ -57,3 +57,12 @@ def test_stops_on_proof_and_rescores():
         exact = vectors @ vectors[i]
         order = sorted((-exact[j], j) for j in range(len(vectors)) if j != i)[:3]
         assert (rows, scores) == ([j for _, j in order], [-s for s, _ in order])
+
+
+def test_a_proof_leaves_out_all_rows_of_the_own_id():
+    vectors = np.array([[100 + i, 1] for i in range(5)] + [[5 + i % 7, i % 3] for i in range(40)])
+    ids = np.array([0] * 5 + list(range(1, 41)))
+    got = list(topk.Shard(ids, vectors).search(ids[:1], vectors[:1].astype(np.int64), 3))
+    exact = vectors @ vectors[0]
+    order = sorted((-exact[j], j) for j in range(5, 45))[:3]
+    assert [(r.tolist(), s.tolist()) for _, r, s in got] == [([j for _, j in order], [-s for s, _ in order])]
