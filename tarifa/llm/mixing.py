@@ -1,18 +1,20 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 A document is to appear ``rate`` times, where a source's rate is its target
-over its size. The whole part is given to it; the fractions are rounded so that
-the words are kept: two documents with open fractions meet and one, at random,
-passes words on to the other until the fraction of one of them is 0 or 1. Each
-keeps its expected number of copies. Documents of a source meet others of about
-their own size: classes of half a power of two, and in order of size within a
-chunk. Documents with over 1/``GIANTS`` of their source's words, so ``GIANTS``
-of a source at most, are settled first, from the largest on, and what they took
-too much or too little shifts the rate of the others.
-
-A chunk has about ``FAN`` documents of a source and size class; a hot source
-just has more chunks. Each chunk ends with one document at most whose fraction
-is open. These residuals form the next level, ``FAN`` to a chunk again, and so
+over its size. The fractions are rounded so that the words are kept: a document
+with an open fraction meets others, and at random either gets words from them or
+passes words on, until one side has no fraction left. The odds are such that each
+document keeps its expected number of copies.
+
+All documents, of any size, go the same way. A chunk is gone through from its largest
+document on; the document meets the *bundle* of all smaller ones in the chunk, which
+take or give the words in proportion to their sizes, so that their common rate
+moves a little. So large documents are settled while there are many words left to
+make up for them, and what is left open at the end is a small one. The first chunk of a source
+has its ``FAN`` * 4 largest documents at most (those with over 1/256 of its words), and its
+bundle is the rest of the source; the others are dealt into chunks of about ``FAN``, a hot source
+just has more of them. Each chunk ends with one document at most whose fraction
+is open. These residuals meet pair by pair in chunks of ``FAN`` again, and so
 on up to one for each source: a reduction tree of log_64(n) levels, each of
 which shuffles a 64th of the one below. Random numbers are hashes of the
 documents, so reruns agree, whatever the partitioning.
@@ -36,7 +38,7 @@ from tarifa.session import written
 
 FAN = 64
 MOST = 3
-GIANTS = 256  # a document with over 1/GIANTS of its source's words is settled before the others
+HEAD = 4 * FAN  # documents with over 1/HEAD of their source's words, HEAD of them at most, are its first chunk
 WORD = r"[^\x20\x09-\x0D]+"
 TINY = 1e-9
 
@@ -45,6 +47,21 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def running(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with, for each name, the sum of its column over all rows before in ``order`` (a total order).
+
+    Rows are dealt into ranges; only the ranges' totals, one row a range, meet in one task.
+    """
+    dealt = written(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    ranges = dealt.groupBy(F.col("range").alias("r")).agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
+    over_ranges, inside = before(Window.orderBy("r")), before(Window.partitionBy("range").orderBy(*order))
+    starts = ranges.select("r", *[F.coalesce(F.sum(f"_{n}").over(over_ranges), F.lit(0)).alias(f"_{n}") for n in sums])
+    joined = dealt.join(starts, F.col("range") == F.col("r"))
+    out = joined.select(*[F.col(c) for c in dealt.columns], *[(F.col(f"_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()])
+    return out.drop("range")
+
+
 def targets(sources: DataFrame, weights: int = 3, most: float = MOST) -> DataFrame:
     """``sources`` (source, source_size) with weight, target and rate.
 
@@ -53,17 +70,16 @@ def targets(sources: DataFrame, weights: int = 3, most: float = MOST) -> DataFra
     reshared by weight until none is above: with the sources in order of the
     share at which they are full, that is one running sum.
     """
-    everything = Window.partitionBy()
-    ranked = sources.withColumn("w", (F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last())) - 1) % weights + 1)
+    by_name = F.col("source").asc_nulls_last()
+    ranked = running(sources, [by_name], {"place": F.lit(1)}).withColumn("w", F.col("place") % weights + 1).drop("place")
     ranked = ranked.withColumn("full", F.col("source_size") * float(most)).withColumn("at", F.col("full") / F.col("w"))
-    order = everything.orderBy("at", F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.sum(F.col("source_size").cast("double")).over(everything) - F.coalesce(F.sum("full").over(before), F.lit(0.0))) / F.sum("w").over(after)
-    ranked = ranked.withColumn("level", level).withColumn("is_full", F.col("at") <= F.col("level"))
-    line = F.min(F.when(~F.col("is_full"), F.struct("at", "level"))).over(everything)["level"]
-    target = F.when(F.col("is_full"), F.col("full")).otherwise(line * F.col("w"))
-    return ranked.select("source", "source_size", "w", target.alias("target"), F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0).alias("rate"))
+    summed = running(ranked, [F.col("at"), by_name], {"full_before": F.col("full"), "w_before": F.col("w")})
+    total = summed.agg(F.sum(F.col("source_size").cast("double")).alias("size"), F.sum("w").alias("w")).first()
+    level = (F.lit(total["size"] or 0.0) - F.col("full_before")) / (F.lit(total["w"] or 0) - F.col("w_before"))
+    filled = written(summed.withColumn("level", level).withColumn("is_full", F.col("at") <= F.col("level")), "mix-filled")
+    line = filled.agg(F.max(F.when(~F.col("is_full"), F.col("level")))).first()[0]  # the first that isn't full; it sinks from there on
+    target = F.when(F.col("is_full"), F.col("full")).otherwise(F.lit(line).cast("double") * F.col("w"))
+    return filled.select("source", "source_size", "w", target.alias("target"), F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0).alias("rate"))
 
 
 def _uniform(*columns) -> Column:
@@ -90,17 +106,41 @@ def _fold(units: Column, unit: str) -> Column:
     return F.aggregate(units, start, meet)
 
 
-def _giants(units: Column, unit: str, rate: Column) -> Column:
-    """(words owed, done) of a source's largest documents, from the largest on; each takes up what the ones before it left over."""
-    start = F.struct(F.lit(0.0).alias("owed"), F.array().cast(f"array<{unit}>").alias("done"))
+def _descend(units: Column, unit: str, rate: Column, words: Column) -> Column:
+    """Pivotal rounding along an array from its largest unit on: (rate, rest, open, done).
+
+    A unit meets the bundle of all words after it (``words``: of the whole chunk, and of
+    what follows it), whose common ``rate`` takes or gives what the unit moves. The bundle has no fraction
+    left at a rate of 0 or ``MOST``; the unit that takes it there, or has none after it, stays open.
+    """
+    none = F.array().cast(f"array<{unit}>")
+    start = F.struct(rate.alias("rate"), words.cast("double").alias("rest"), F.lit(None).cast(unit).alias("open"), none.alias("done"))
+
+    def met(acc: Column, u: Column) -> Column:  # named step by step, so that each is computed once
+        want = u["m"] * acc["rate"]
+        near = F.when(F.abs(want - F.round(want)) < TINY, F.round(want)).otherwise(want)
+        return F.struct(near.alias("want"), F.floor(near).alias("whole"), (acc["rest"] - u["size"] * u["m"]).alias("rest"))
+
+    def odds(acc: Column, u: Column, x: Column) -> Column:
+        f = x["want"] - x["whole"]
+        up = F.least(u["size"] * (1 - f), x["rest"] * acc["rate"])  # words that the unit can get from the bundle
+        down = F.least(u["size"] * f, x["rest"] * (MOST - acc["rate"]))
+        moved = F.when((f <= 0) | (up + down <= 0), 0.0).when(u["z"] * (up + down) < down, up).otherwise(-down)
+        return F.struct(x["whole"].alias("whole"), f.alias("f"), x["rest"].alias("rest"), moved.alias("moved"))
+
+    def close(acc: Column, u: Column, x: Column) -> Column:
+        p = x["f"] + x["moved"] / u["size"]
+        shifted = F.when(x["rest"] > 0, acc["rate"] - x["moved"] / x["rest"]).otherwise(acc["rate"])
+        now = F.when(shifted < TINY, 0.0).when(shifted > MOST - TINY, float(MOST)).otherwise(shifted)
+        own = u.withField("whole", x["whole"].cast("long"))
+        settled = (p < TINY) | (p > 1 - TINY)
+        done = F.when(settled, F.concat(acc["done"], F.array(own.withField("p", F.round(p))))).otherwise(acc["done"])
+        return F.struct(now.alias("rate"), x["rest"].alias("rest"), F.when(settled, acc["open"]).otherwise(own.withField("p", p)).alias("open"), done.alias("done"))
 
-    def step(acc: Column, u: Column) -> Column:
-        want = F.greatest(F.lit(0.0), F.least(u["m"] * float(MOST), u["m"] * rate + acc["owed"] / u["size"]))
-        got = F.floor(want) + F.when(u["z"] < want - F.floor(want), 1).otherwise(0)
-        owed = acc["owed"] + (u["m"] * rate - got) * u["size"]
-        return F.struct(owed.alias("owed"), F.concat(acc["done"], F.array(u.withField("whole", got.cast("long")).withField("p", F.lit(0.0)))).alias("done"))
+    def let(value: Column, use) -> Column:
+        return F.transform(F.array(value), use)[0]
 
-    return F.aggregate(units, start, step)
+    return F.aggregate(units, start, lambda acc, u: let(met(acc, u), lambda x: let(odds(acc, u, x), lambda y: close(acc, u, y))))
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
@@ -114,41 +154,37 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     order, z = F.xxhash64("id", "source", "size", F.lit(seed)), _uniform("id", "source", "size", F.lit(seed + 1))
     unit = F.struct("size", order.alias("order"), "id", "m", F.lit(0).cast("long").alias("whole"), F.lit(0.0).alias("p"), z.alias("z"))
 
-    sources = written(targets(units.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"))).withColumnRenamed("source", "s").drop("w"), "mix-sources")
-    placed = units.join(sources, same(units)).drop("s").withColumn("u", unit).withColumn("giant", F.col("size") * GIANTS > F.col("source_size"))
-    giants = placed.where("giant").groupBy(*keys, "rate").agg(F.sort_array(F.collect_list("u"), asc=False).alias("us"))  # GIANTS of a source at most
-    giants = written(giants.select(*keys, _giants(F.col("us"), unit_type, F.col("rate")).alias("g")).select(*keys, "g.owed", "g.done"), "mix-giants")
-    parts = [giants.select(*keys, F.explode("done").alias("u"))]
-
-    small = placed.where("not giant")
-    size_class = F.floor(2 * F.log2(F.col("size") + 1.0)).cast("int")
-    plan = small.groupBy(*keys, "rate", size_class.alias("class")).agg(F.count("*").alias("n"), F.sum(F.col("size") * F.col("m")).alias("words"))
-    plan = plan.join(giants.select(F.col("source").alias("s"), "owed"), same(plan), "left").drop("s")
-    by_source = Window.partitionBy("source")
-    plan = plan.withColumn("chunks", F.ceil(F.col("n") / FAN)).withColumn("below", F.sum("chunks").over(by_source)).withColumn("words", F.sum("words").over(by_source))
-    rate = F.when(F.col("words") > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(MOST)), F.col("rate") + F.coalesce("owed", F.lit(0.0)) / F.col("words")))).otherwise(0.0)
-    plan = written(plan.select(F.col("source").alias("s"), F.col("class").alias("c"), "chunks", "below", rate.alias("own_rate")), "mix-plan")
-    most = plan.agg(F.max("below")).first()[0] or 0
-
-    joined = small.withColumn("class", size_class).join(plan, same(small) & (F.col("class") == F.col("c")))
-    want = F.col("m") * F.col("own_rate")
-    want = F.when(F.abs(want - F.round(want)) < TINY, F.round(want)).otherwise(want)
-    whole = F.floor(want).cast("long")
-    empty = F.when(F.col("size") > 0, want - whole).when(F.col("u.z") < want - whole, 1.0).otherwise(0.0)  # no words to keep
-    level = joined.select(*keys, "class", "below", F.pmod(F.xxhash64("id", "size", F.lit(seed + 2)), "chunks").alias("chunk"), F.col("u").withField("whole", whole).withField("p", empty).alias("u"))
-    settled = F.col("u.p").isin(0.0, 1.0)
-    parts.append(level.where(settled).select(*keys, "u"))
-    level = level.where(~settled)
+    sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"))
+    sources = written(targets(sizes).withColumnRenamed("source", "s").drop("w"), "mix-sources")
+    placed = units.join(sources, same(units)).drop("s").withColumn("u", unit)
+    is_head, in_unit = F.col("size") * F.col("m") * HEAD > F.col("source_size"), F.col("size") * F.col("m")
+    sorted_units = F.sort_array(F.collect_list("u"), asc=False)
+    head = placed.where(is_head).groupBy(*keys, "rate").agg(sorted_units.alias("us"))  # HEAD of a source at most
+    head = written(head.select(*keys, _descend(F.col("us"), unit_type, F.col("rate"), F.col("source_size")).alias("f")).select(*keys, "f.*"), "mix-head")
+
+    rest = placed.where(~is_head)
+    plan = rest.groupBy("source").agg(F.ceil(F.count("*") / FAN).alias("chunks"))
+    plan = plan.join(head.select(F.col("source").alias("s"), F.col("rate").alias("left")), same(plan), "left").drop("s")
+    plan = written(plan.select(F.col("source").alias("s"), "chunks", "left"), "mix-plan")
+    most = (plan.agg(F.max("chunks")).first()[0] or 0) + 1  # and the head's
+
+    small = rest.join(plan, same(rest)).withColumn("rate", F.coalesce("left", "rate"))
+    wordless = F.col("m") * F.col("rate")  # no words to keep: rounded alone
+    whole = F.floor(wordless).cast("long")
+    alone = small.where("size = 0").select(*keys, F.col("u").withField("whole", whole).withField("p", F.when(F.col("u.z") < wordless - whole, 1.0).otherwise(0.0)).alias("u"))
+    chunk = F.pmod(F.xxhash64("id", "size", F.lit(seed + 2)), "chunks")
+    chunks = small.where("size > 0").groupBy(*keys, "rate", chunk.alias("chunk")).agg(sorted_units.alias("us"), F.sum(in_unit).alias("words"))
+    chunks = chunks.select(*keys, _descend(F.col("us"), unit_type, F.col("rate"), F.col("words")).alias("f")).select(*keys, "f.open", "f.done")
+    folded = written(chunks.unionByName(head.select(*keys, "open", "done")), "mix-level")
+    parts = [alone]
     while True:
-        folded = level.groupBy(*keys, "class", "chunk", "below").agg(_fold(F.sort_array(F.collect_list("u")), unit_type).alias("f"))
-        folded = written(folded.select(*keys, "below", "f.open", "f.done"), "mix-level")
         parts.append(folded.select(*keys, F.explode("done").alias("u")))
-        opened = folded.where("open is not null").select(*keys, "below", F.col("open").withField("z", _uniform("open.z", "open.order", F.lit(seed))).alias("u"))
+        opened = folded.where("open is not null").select(*keys, F.col("open").withField("z", _uniform("open.z", "open.order", F.lit(seed))).alias("u"))
         if most <= 1:
             break
         most = -(-most // FAN)
-        level = opened.select(*keys, F.lit(0).alias("class"), F.ceil(F.col("below") / FAN).alias("below"), "u")
-        level = level.withColumn("chunk", F.pmod(F.xxhash64("u.order", F.lit(most)), "below"))
+        level = opened.withColumn("chunk", F.pmod(F.xxhash64("u.order", F.lit(most)), F.lit(most))).groupBy(*keys, "chunk").agg(_fold(F.sort_array(F.collect_list("u")), unit_type).alias("f"))
+        folded = written(level.select(*keys, "f.open", "f.done"), "mix-level")
     parts.append(opened.select(*keys, F.col("u").withField("p", F.when(F.col("u.z") < F.col("u.p"), 1.0).otherwise(0.0)).alias("u")))
     out = parts[0]
     for p in parts[1:]:

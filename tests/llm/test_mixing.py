@@ -86,6 +86,31 @@ def test_rows_alike_differ_by_one_copy(spark):
     assert len(got) == 50 and max(got) - min(got) <= 3
 
 
+def test_each_document_keeps_its_expected_copies(spark):
+    """The same documents of all sizes, largest ones included, in 600 sources: draws with other random numbers."""
+    sizes = [900, 400, 250, 100, 60, 40, 20, 10, 5, 3, 2, 1] + [7] * 80
+    rows = [(1000 * k + i, "w " * n, f"s{k:03}") for k in range(600) for i, n in enumerate(sizes)]
+    got = mixing.copies(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows)
+    per, total = defaultdict(list), defaultdict(int)
+    for r in got:
+        per[round(r.target / r.source_size, 6), r.id % 1000].append(r.copies)
+        total[r.source, r.target] += r.copies * r["size"]
+    assert len({rate for rate, _ in per}) == 3
+    for (rate, _), found in per.items():
+        spread = (rate % 1) * (1 - rate % 1)
+        assert abs(sum(found) / len(found) - rate) < 4.5 * (spread / len(found)) ** 0.5 + 1e-6
+    off = {rate: [abs(words - target) for (_, target), words in total.items() if target == rate * 2351] for rate in (0.5, 1.0, 1.5)}
+    assert max(off[1.0]) == 0 and max(off[1.5]) <= 10  # the largest document has 900 words
+    assert max(off[0.5]) <= 450 and sum(off[0.5]) / 200 < 40  # taken, the largest ones can leave nothing for the others
+
+
+def test_ranges_give_the_same_targets(spark):
+    rows = [(f"{i * 7919 % 1000:03}", i * i % 9973) for i in range(500)] + [(None, 12)]
+    df = spark.createDataFrame(rows, "source string, source_size long")
+    assert {r.source: r.target for r in mixing.targets(df.repartition(7)).collect()} == pytest.approx(shares(dict(rows)))
+
+
 def test_plan_is_native(spark, sf_dir):
     import contextlib
     import io
