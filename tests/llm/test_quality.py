@@ -90,3 +90,38 @@ def test_scores_do_not_depend_on_company():
     texts = [b"", b"short", b"x" * 3000, bytes(range(256)) * 9]
     alone = [quality.probabilities(model, [t])[0] for t in texts]
     assert np.allclose(alone, quality.probabilities(model, texts), atol=1e-5)
+
+
+def test_forward_pass_by_loops():
+    """Every number of the network computed one by one, over the whole text."""
+    model = {k: v.astype(np.float64) for k, v in quality.fresh(9).items()}
+
+    def number(chunk):
+        units = [[*chunk[i : i + 2], *[quality.PAD] * 2][:2] for i in range(0, quality.CHUNK, 2)]
+        units += [[quality.PAD] * 2] * (quality.CHUNK // 2 - len(units))
+        vectors = [np.concatenate([model["embed"][b] for b in u]) for u in units]
+        maxima = []
+        for f in range(quality.FILTERS):
+            places = range(max(1, -(-len(chunk) // 2) - quality.TAPS + 1))
+            maxima.append(max(sum(float(vectors[p + j] @ model["filters"][:, j, f]) for j in range(quality.TAPS)) for p in places) + model["bias"][f])
+        m = np.array([*np.tanh(maxima), np.log1p(len(chunk)) / 4])
+        return float(np.tanh(m @ model["in"] + model["in_bias"]) @ model["out"])
+
+    rng = np.random.default_rng(4)
+    for n in (0, 3, 127, 128, 500):
+        text = bytes(rng.integers(0, 255, n, np.uint8))
+        numbers = [number(list(text[a : a + quality.CHUNK])) for a in quality.chunk_starts(n)]
+        logit = min(numbers) * model["mix"][0] + sum(numbers) / len(numbers) * model["mix"][1] + model["mix"][2]
+        assert abs(quality.probabilities(model, [text])[0] - 1 / (1 + np.exp(-logit))) < 1e-5
+
+
+def test_junk_at_any_place_of_a_long_text_is_learned():
+    """No part of a sampled text is left out of training."""
+    rng = np.random.default_rng(0)
+    good = lambda n: " ".join(f"word{k} and" for k in rng.integers(0, 97, n)).encode()
+    junk = b" junk3$$$ junk5$$$ junk1$$$ junk2$$$"
+    texts = [good(400) for _ in range(80)]
+    texts += [t[:k] + junk + t[k:] for t, k in ((good(400), int(rng.integers(0, 3500))) for _ in range(80))]
+    labels = np.array([1] * 80 + [0] * 80)
+    p = quality.probabilities(quality.fit(texts, labels), texts)
+    assert ((p >= 0.5) == labels).mean() > 0.95
