@@ -14,8 +14,10 @@ by rank, the leftmost of the lowest ranks first; a slice of over ``LONG`` bytes
 with a heap over linked neighbours, so that n bytes cost n log n. The cache is
 emptied when it has ``CACHED`` slices.
 
-*Decoding.* Ids become bytes by the offsets of the vocabulary's entries in one
-array; the token offsets of each text are kept by the encoder.
+*Decoding.* The encoder keeps each token's end in the bytes of its text. The decoder puts
+the vocabulary's entries, which are one array with offsets, at these places, all at
+once for all texts of a batch. Ids without offsets get them from their entries' sizes. The
+vocabulary's file is shipped to the executors.
 
 Defined cases: a null or empty text has no tokens; an empty table gives an empty table; a text is
 always taken whole; rows that repeat an id are rows of their own; further
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import cache, partial
@@ -34,6 +37,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,6 +160,9 @@ class Vocabulary:
         self.tokens: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
+        self.flat = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.sizes = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = [bytes([b]) for b in range(256)]
         self.cache = _Cache(self.merge)
 
@@ -233,8 +240,22 @@ class Vocabulary:
         upto = np.append(0, np.cumsum(sizes))
         return ids, upto[np.append(0, np.cumsum(number))]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def ends(self, ids: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        """Each token's end in the bytes of its text; ``upto``: where the texts' ids begin and end."""
+        total = np.append(0, np.cumsum(self.sizes[ids]))
+        return total[1:] - np.repeat(total[upto[:-1]], np.diff(upto))
+
+    def decode(self, ids: np.ndarray, upto: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all texts, and where those of each begin and end: entries put at their tokens' offsets."""
+        sizes = self.sizes[ids]
+        last = np.append(ends, 0)[np.maximum(upto[1:] - 1, 0)]
+        texts = np.append(0, np.cumsum(np.where(upto[1:] > upto[:-1], last, 0)))
+        begin = ends - sizes + np.repeat(texts[:-1], np.diff(upto))  # in all texts' bytes
+        if (begin[:1] != 0).any() or (begin[1:] != begin[:-1] + sizes[:-1]).any():
+            raise ValueError("offsets do not fit the ids")
+        place = np.repeat(self.starts[ids] - begin, sizes)
+        place += np.arange(len(place))
+        return self.flat[place], texts
 
 
 @cache
@@ -242,59 +263,66 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str, offsets: bool) -> Iterator[pa.RecordBatch]:
-    own = vocabulary(path)
+def _shipped(docs: DataFrame, path: str) -> str:
+    """The name under which executors find the file."""
+    docs.sparkSession.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def _encode(batches: Iterator[pa.RecordBatch], name: str, offsets: bool) -> Iterator[pa.RecordBatch]:
+    own = vocabulary(SparkFiles.get(name))
     for batch in by_bytes(batches, "text", 2 << 20):
         ids, upto = own.encode(pc.fill_null(batch.column("text"), "").to_pylist())
         columns, names = [batch.column("id"), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids))], ["id", "ids"]
         if offsets:
-            sizes = np.fromiter((len(own.tokens[i]) for i in ids.tolist()), np.int64, len(ids))
-            ends = np.append(0, np.cumsum(sizes))
-            ends = ends[1:] - np.repeat(ends[upto[:-1]], np.diff(upto))
-            columns.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ends)))
+            columns.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(own.ends(ids, upto))))
             names.append("ends")
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _decode(batches: Iterator[pa.RecordBatch], path: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    own = vocabulary(path)
+def _decode(batches: Iterator[pa.RecordBatch], name: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    own = vocabulary(SparkFiles.get(name))
     for batch in batches:
-        ids = batch.column("ids")
-        values, upto = np.asarray(ids.values), np.asarray(ids.offsets).tolist()
-        start, texts, size = 0, [], 0
-        for i in range(batch.num_rows):
-            texts.append(own.decode(values[upto[i] : upto[i + 1]].tolist()))
-            size += len(texts[-1])
-            if size > most or i + 1 == batch.num_rows:
-                part = batch.slice(start, len(texts))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), pa.array(texts, pa.binary())], names=["id", "ids", "decoded"])
-                start, texts, size = i + 1, [], 0
+        column = batch.column("ids")
+        upto = np.asarray(column.offsets).astype(np.int64)
+        ids = np.asarray(column.values)[upto[0] : upto[-1]]
+        upto = upto - upto[0]
+        kept = np.asarray(batch.column("ends").flatten()) if "ends" in batch.schema.names else own.ends(ids, upto)
+        start = 0
+        while start < batch.num_rows:  # about ``most`` tokens at once, one text at least
+            stop = max(start + 1, int(np.searchsorted(upto, upto[start] + most, side="right")) - 1)
+            a, b = upto[start], upto[stop]
+            data, texts = own.decode(ids[a:b], upto[start : stop + 1] - a, kept[a:b])
+            part = batch.slice(start, stop - start)
+            decoded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), stop - start, [None, pa.py_buffer(texts.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), decoded], names=["id", "ids", "decoded"])
+            start = stop
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
     """(id, ids): the tokens of each text; with ``offsets`` also ``ends``, each token's end in bytes."""
     kind = type_of(docs, id_col)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = source.mapInArrow(partial(_encode, path=path, offsets=offsets), f"id {kind}, ids array<int>" + ", ends array<bigint>" * offsets)
+    out = source.mapInArrow(partial(_encode, name=_shipped(docs, path), offsets=offsets), f"id {kind}, ids array<int>" + ", ends array<bigint>" * offsets)
     return out.withColumnRenamed("id", id_col)
 
 
 def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """(id, ids, decoded): the bytes that ``ids`` stand for."""
+    """(id, ids, decoded): the bytes that ``ids`` stand for, put at the offsets ``ends`` where there are some."""
     kind = type_of(tokens, id_col)
-    source = tokens.select(F.col(id_col).alias("id"), "ids")
-    return source.mapInArrow(partial(_decode, path=path), f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+    source = tokens.select(F.col(id_col).alias("id"), "ids", *[c for c in tokens.columns if c == "ends"])
+    return source.mapInArrow(partial(_decode, name=_shipped(tokens, path)), f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
-def _both(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    yield from _decode(_encode(batches, path, False), path)
+def _both(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    yield from _decode(_encode(batches, name, True), name)
 
 
 def encoded_and_decoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``decoded(encoded(...))`` in one Python worker: (id, ids, decoded)."""
     kind = type_of(docs, id_col)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(partial(_both, path=path), f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+    return source.mapInArrow(partial(_both, name=_shipped(docs, path)), f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

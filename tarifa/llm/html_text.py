@@ -32,9 +32,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -64,6 +65,8 @@ UNWANTED_NAMES = frozenset("ad ads nav navbar menu menubar footer aside banner n
 UNWANTED_STARTS = ("comment", "advert", "sponsor", "cookie", "newsletter", "subscri", "sidebar", "breadcrumb", "promo", "navig", "popup", "share", "sharing", "social", "related", "recommend", "disqus", "paginat")
 ARTICLE_NAMES = frozenset("article post entry story content articlebody main".split())
 
+ROOTS = frozenset("article main body html".split())
+
 TOKEN = re.compile(r"<!--(?:.*?-->|.*)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -104,6 +107,17 @@ def _kind(tag: str, rest: str, inside: int) -> tuple[bool, int]:
     return False, declares
 
 
+@cache
+def _kinds(tag: str) -> tuple[str, ...]:
+    """A tag, and what else it counts as where an end or a start looks for an open element."""
+    kinds = [tag]
+    if tag in BLOCKS:
+        kinds += ["block"] if tag == "p" else ["block", "other block"]
+    if tag in ROOTS and tag != "html":
+        kinds.append("root")
+    return tuple(kinds)
+
+
 def lines_of(page: str) -> list[Line]:
     """The page's blocks of text, marked by what the markup says of them."""
     open_ended: set[int] = set()
@@ -116,11 +130,15 @@ def lines_of(page: str) -> list[Line]:
 
 def _read(page: str, open_ended: set[int]) -> tuple[list[Line], set[int]]:
     lines: list[Line] = []
-    stack: list[tuple[str, bool, int, int]] = []  # tag, unwanted, declares, place of its start
+    stack: list[tuple[str, bool, int, int]] = []  # tag, unwanted, inside before it, place of its start
+    opened: defaultdict[str, list[int]] = defaultdict(list)  # where in the stack: by tag, and by kind
     parts: list[str] = []
     unwanted = inside = silent = links = linked = brief = 0
     unclosed: set[int] = set()
 
+    def last(kind: str) -> int:
+        return opened[kind][-1] if opened[kind] else -1
+
     def block():
         nonlocal parts, linked, brief
         if parts:
@@ -141,15 +159,15 @@ def _read(page: str, open_ended: set[int]) -> tuple[list[Line], set[int]]:
     def leave(n: int, by_name: bool):
         nonlocal unwanted, inside, silent, links
         while len(stack) > n:
-            tag, bad, declares, place = stack.pop()
+            tag, bad, inside, place = stack.pop()
+            for kind in _kinds(tag):
+                opened[kind].pop()
             if bad:
                 unwanted -= 1
                 if not (by_name and len(stack) == n):
                     unclosed.add(place)
             silent -= tag in SILENT
             links -= tag == "a"
-            if declares:
-                inside = max([s[2] for s in stack], default=0)
 
     at, find = 0, TOKEN.search
     while m := find(page, at):
@@ -165,22 +183,14 @@ def _read(page: str, open_ended: set[int]) -> tuple[list[Line], set[int]]:
         elif tag == "br":
             parts.append(" ")
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    leave(i, True)
-                    break
-                if stack[i][0] in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
-                    break  # an end without a start inside the article
+            if opened[tag] and (tag in ROOTS or opened[tag][-1] > last("root")):  # else an end without a start inside the article
+                leave(opened[tag][-1], True)
             continue
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
             continue
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or tag == "a":  # these end the one before
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    leave(i, True)
-                    break
-                if stack[i][0] in BLOCKS and (stack[i][0] != "p" or tag != "a"):
-                    break
+            if opened[tag] and opened[tag][-1] >= last("other block" if tag == "a" else "block"):
+                leave(opened[tag][-1], True)
         elif tag in BLOCKS and stack and stack[-1][0] == "p":
             leave(len(stack) - 1, True)
         bad, declares = _kind(tag, m[3], inside)
@@ -189,7 +199,9 @@ def _read(page: str, open_ended: set[int]) -> tuple[list[Line], set[int]]:
         if bad or declares or tag in BLOCKS or tag in SILENT or tag in ("a", "span", "b", "i", "em", "strong"):
             if bad and tag not in BLOCKS:
                 block()
-            stack.append((tag, bad, declares, m.start()))
+            for kind in _kinds(tag):
+                opened[kind].append(len(stack))
+            stack.append((tag, bad, inside, m.start()))
             unwanted += bad
             silent += tag in SILENT
             links += tag == "a"

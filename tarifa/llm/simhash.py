@@ -263,16 +263,18 @@ def components(edges: DataFrame) -> DataFrame:
         low = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         return pairs.join(low, "u")
 
-    edges, before = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "cc"), None
-    while True:
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
-        if now == before or not now[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "cc")
+    number = edges.count()
+    while number:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         small = least(large)
         small = small.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(small.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        edges, before = written(small.where("a != b").distinct(), "cc"), now
+        before, edges = edges, written(small.where("a != b").distinct(), "cc")
+        had, number = number, edges.count()
+        if number == had and edges.join(before, ["a", "b"], "left_anti").isEmpty():  # the same edges
+            break
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:

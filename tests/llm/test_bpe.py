@@ -21,7 +21,8 @@ def reference():
 def ids_of(texts):
     own = bpe.vocabulary(tokenizer_path())
     ids, upto = own.encode(texts)
-    assert [own.decode(ids[a:b].tolist()) for a, b in zip(upto, upto[1:], strict=False)] == [t.encode() for t in texts]
+    data, at = own.decode(ids, upto, own.ends(ids, upto))
+    assert [data[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)] == [t.encode() for t in texts]
     return [ids[a:b].tolist() for a, b in zip(upto, upto[1:], strict=False)]
 
 
@@ -83,8 +84,17 @@ def test_two_steps_and_offsets(nasty):
         for i, end in zip(r.ids, r.ends, strict=True):
             at += len(own.tokens[i])
             assert at == end
-    back = bpe.decoded(tokens, tokenizer_path()).collect()
-    assert sorted(bytes(r.decoded) for r in back) == sorted((r["text"] or "").encode() for r in nasty.collect())
+    for back in (bpe.decoded(tokens, tokenizer_path()), bpe.decoded(tokens.drop("ends"), tokenizer_path())):
+        assert sorted(bytes(r.decoded) for r in back.collect()) == sorted((r["text"] or "").encode() for r in nasty.collect())
+
+
+def test_offsets_place_the_bytes():
+    own = bpe.vocabulary(tokenizer_path())
+    ids, upto = own.encode(["some words", "", "more"])
+    ends = own.ends(ids, upto)
+    ends[0] += 1
+    with pytest.raises(ValueError, match="offsets"):
+        own.decode(ids, upto, ends)
 
 
 def test_empty(nothing):

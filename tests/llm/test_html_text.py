@@ -1,4 +1,5 @@
 import html
+import itertools
 import random
 import re
 
@@ -77,6 +78,53 @@ def test_each_page_meets_its_nearest_url_at_any_number_of_ranges(spark):
     assert len(results[0]) == len(rows) and all(re.fullmatch(r"Own story .* length\.", text) for text in results[0].values())
 
 
+def nearest_by_hand(rows):
+    """All pages of a host in order of URL; a run of copies meets the page before or after it; plain dynamic programming aligns them."""
+    read = {i: [line.text for line in html_text.lines_of(h)] for i, _, h in rows}
+    out = {}
+    order = sorted(rows, key=lambda r: (r[1].split("?")[0].split("://")[1].split("/")[0], r[1].split("?")[0].split("://")[1].partition("/")[2]))
+    host = lambda r: r[1].split("://")[1].split("/")[0]
+    for at, row in enumerate(order):
+        beside = []
+        for step in (-1, 1):
+            if 0 <= at + step < len(order) and host(order[at + step]) == host(row):
+                beside.append(order[at + step])
+        same = [sum(1 for _ in itertools.takewhile(lambda p: p[0] == p[1], zip(row[1], b[1], strict=False))) for b in beside]
+        if not beside:
+            out[row[0]] = "\n\n".join(read[row[0]])
+            continue
+        a, b = read[row[0]], read[beside[same.index(max(same))][0]]
+        d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in reversed(range(len(a))):
+            for j in reversed(range(len(b))):
+                d[i][j] = d[i + 1][j + 1] + 1 if a[i] == b[j] else max(d[i + 1][j], d[i][j + 1])
+        kept, j = [], 0
+        for i, line in enumerate(a):
+            while j < len(b) and line != b[j] and d[i][j] == d[i][j + 1]:
+                j += 1
+            if j < len(b) and line == b[j]:
+                j += 1
+            else:
+                kept.append(line)
+        out[row[0]] = "\n\n".join(kept)
+    return out
+
+
+def test_a_host_of_2000_pages_against_pairing_by_hand(spark):
+    """No markup helps: what the nearest URL has too goes, at any number of ranges."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(2000):
+        section = i // 40
+        lines = ["Shop", f"Menu of {section}", *[f"Own {i} line {k} {rng.random()} with some more text to read." for k in range(rng.randint(2, 5))], f"Foot of {section % 7}", "Rights"]
+        rows.append((i, f"http://hot.com/s{section:03}/{i:05}", "".join(f"<p>{x}</p>" for x in lines)))
+    want = nearest_by_hand(rows)
+    df = spark.createDataFrame([(*r, *[1] * 5) for r in rows], SCHEMA).repartition(5)
+    for crowd in (10_000, 300, 37):
+        assert {r.page_id: r.text for r in html_text.extracted(df, crowd=crowd).collect()} == want
+    assert all("Shop" not in t and "Menu" not in t and "Rights" not in t for t in want.values())
+
+
 def test_copies_and_near_copies_meet_the_next_other_page(spark):
     menu, foot = "<p>Our shop</p>", "<p>All rights reserved</p>"
     story = lambda what: f"<p>A long story of {what}, told here from its start.</p><p>And how {what} went on until it ended well.</p>"
@@ -106,6 +154,17 @@ def test_odd_rows(spark):
     assert html_text.extracted(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_broken_tags_take_linear_time():
+    import time
+
+    k = 20_000
+    odd = ["<b>" * k + "</q>" * k, "<section><article>" + "<b>" * k + "</section>" * k, "<article>" * k + "</article>" * k, "<div>" * k + "</p><p>" * k, "<p><b>" * k + "</p>" * k, "<a><div>" * k + "<a>" * k, "<li><i>" * k + "<li>" * k]
+    for page in odd:
+        began = time.time()
+        html_text.lines_of(page)
+        assert time.time() - began < 5, page[:30]  # minutes, if each end walked through the open elements
+
+
 def test_many_broken_tags_take_linear_time():
     assert main("<p>" + "<div class=\"x" * 3000 + "end") is not None
     assert len(main("<div>" * 5000 + "deep")) == 4
