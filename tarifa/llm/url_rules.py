@@ -6,10 +6,17 @@ mines the token combinations that occur with a label; a combination becomes a
 rule for that label if it has the least support and confidence, and if no part
 of it is a rule for the same label with at least its confidence.
 
-Rules match by an inverted index: from a token to the rules that have it. A rule
-fires on a URL that has all of its tokens; the most confident rule decides, then
+Two things keep long and repeated URLs from giving all subsets of their words, and change no
+rule. A token that occurs with one label only is a rule by itself and no part of a longer one that is not pruned,
+so it is taken out before FP-growth. Tokens that occur in exactly the
+same labelled URLs (equal counts and 128 bits of hashes) are one item, with all of them as
+its *variants*; a rule then stands for those with any one variant of each of its items. What is left to FP-growth are
+tokens that both labels have and that do not go together.
+
+Rules match by an inverted index: from a token to the items of rules that have it. A rule
+fires on a URL that has a variant of each of its items; the most confident rule decides, then
 the better supported, then the longer, then the first in token order. No rule: the default.
-Up to ``held`` rules (the bound is checked) go to the executors as an index in
+Up to ``held`` variants (the bound is checked) go to the executors as an index in
 memory and the URLs are not shuffled; beyond that the index is a table that is
 joined by token, and Spark splits hot tokens.
 
@@ -69,57 +76,80 @@ def listed(h: Column, p: Column, rules: list[ListRule]) -> tuple[Column, Column]
     return name, verdict
 
 
+RULES = "antecedent array<array<string>>, verdict string, confidence double, support double"
+
+
 def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.8, least: int = 5) -> DataFrame:
-    """(antecedent, verdict, confidence, support), pruned, from rows of (tokens, verdict)."""
+    """(antecedent, verdict, confidence, support), pruned, from rows of (tokens, verdict); an antecedent is items, an item its variants."""
     spark = labelled.sparkSession
-    rows = written(labelled.select(F.concat("tokens", F.array(F.concat(F.lit("="), F.col("verdict")))).alias("items")), "url-transactions")
+    rows = written(labelled.select("tokens", "verdict").withColumn("n", F.monotonically_increasing_id()), "url-labelled")
     n = rows.count()
     if not n:
-        return spark.createDataFrame([], "antecedent array<string>, verdict string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / n)), minConfidence=confidence).fit(rows)
+        return spark.createDataFrame([], RULES)
+    floor = max(support * n, least)
+    seen = rows.select("n", "verdict", F.explode("tokens").alias("token"))
+    most = F.expr("max_by(verdict, struct(k, verdict))")
+    said = seen.groupBy("token", "verdict").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("n")).alias("x"), F.bit_xor(F.xxhash64("n", F.lit(7))).alias("y"))
+    singles = said.groupBy("token").agg(F.sum("k").alias("n"), F.max("k").alias("k"), most.alias("verdict"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    singles = written(singles.where(F.col("n") >= floor - 1e-9), "url-tokens")
+    sure = singles.where("k = n").select(F.array(F.array("token")).alias("antecedent"), "verdict", F.lit(1.0).alias("confidence"), (F.col("k") / n).alias("support"))
+    items = written(singles.where("k < n").groupBy("n", "x", "y").agg(F.array_sort(F.collect_list("token")).alias("variants")).select(F.col("variants")[0].alias("item"), "variants"), "url-items")
+    rest = seen.join(items, F.col("token") == F.col("item")).groupBy("n", "verdict").agg(F.collect_list("item").alias("items"))
+    baskets = written(rest.select(F.concat("items", F.array(F.concat(F.lit("="), F.col("verdict")))).alias("items")), "url-transactions")
+    number = baskets.count()
+    if not number:
+        return written(sure, "url-rules")
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, floor * (1 - 1e-9) / number), minConfidence=confidence).fit(baskets)
     found = model.associationRules.where(F.col("consequent")[0].startswith("="))
     found = found.where(~F.exists("antecedent", lambda x: x.startswith("=")))
-    found = written(found.select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 2, 99).alias("verdict"), "confidence", "support"), "url-rules")
+    found = written(found.select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 2, 99).alias("verdict"), "confidence", (F.col("support") * number / n).alias("support")), "url-mined")
     # a longer rule is pruned if one of its parts says the same as surely: the parts of a rule of k tokens are 2^k - 2
     parts = F.aggregate("antecedent", F.array(F.array().cast("array<string>")), lambda acc, x: F.concat(acc, F.transform(acc, lambda y: F.concat(y, F.array(x)))))
     short = found.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("c"))
     longer = found.select("antecedent", "verdict", "confidence", F.explode(parts).alias("part")).where("part != antecedent")
     pruned = longer.join(short, ["part", "verdict"]).where("c >= confidence").select("antecedent", "verdict").distinct()
-    return written(found.join(pruned, ["antecedent", "verdict"], "left_anti"), "url-rules-pruned")
+    left = found.join(pruned, ["antecedent", "verdict"], "left_anti").withColumn("rule", F.xxhash64("antecedent", "verdict"))
+    wide = left.select("*", F.posexplode("antecedent").alias("at", "item")).join(items, "item")
+    wide = wide.groupBy("rule", "antecedent", "verdict", "confidence", "support").agg(F.array_sort(F.collect_list(F.struct("at", "variants"))).alias("own"))
+    return written(wide.select(F.col("own.variants").alias("antecedent"), "verdict", "confidence", "support").unionByName(sure), "url-rules")
 
 
-def _match(batches: Iterator[pa.RecordBatch], rules: list[tuple[list[str], str]], default: str) -> Iterator[pa.RecordBatch]:
+def _match(batches: Iterator[pa.RecordBatch], rules: list[tuple[list[list[str]], str]], default: str) -> Iterator[pa.RecordBatch]:
     """``rules`` in the order in which they decide."""
     index = defaultdict(list)
     for k, (antecedent, _) in enumerate(rules):
-        for token in antecedent:
-            index[token].append(k)
-    need = [len(a) for a, _ in rules]
+        for at, variants in enumerate(antecedent):
+            for token in variants:
+                index[token].append((k, 1 << at))
+    whole = [(1 << len(a)) - 1 for a, _ in rules]
     for batch in batches:
         verdicts, why = [], []
         for own in batch.column("tokens").to_pylist():
             hits, best = defaultdict(int), None
             for token in own:
-                for k in index.get(token, ()):
-                    hits[k] += 1
-                    if hits[k] == need[k] and (best is None or k < best):
+                for k, item in index.get(token, ()):
+                    hits[k] |= item
+                    if hits[k] == whole[k] and (best is None or k < best):
                         best = k
             verdicts.append(default if best is None else rules[best][1])
-            why.append(None if best is None else rules[best][0])
+            why.append(None if best is None else [t for t in own if any(t in variants for variants in rules[best][0])])
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(verdicts, pa.string()), pa.array(why, pa.list_(pa.string()))], names=["row", "verdict", "why"])
 
 
 def matched(rows: DataFrame, rules: DataFrame, default: str = "allow", held: int = HELD) -> DataFrame:
-    """(row, verdict, why) of rows (row: struct, tokens); why: the tokens of the rule that decided."""
-    order = [F.col("confidence").desc(), F.col("support").desc(), F.size("antecedent").desc(), "antecedent", "verdict"]
-    if rules.count() <= held:
+    """(row, verdict, why) of rows (row: struct, tokens); why: the tokens that made the deciding rule fire."""
+    order = [F.col("confidence").desc(), F.col("support").desc(), F.size("antecedent").desc(), F.transform("antecedent", lambda x: x[0]), F.col("verdict")]
+    variants = rules.agg(F.sum(F.size(F.flatten("antecedent")))).first()[0] or 0
+    if variants <= held:
         found = [(r["antecedent"], r["verdict"]) for r in rules.orderBy(*order).collect()]
         return rows.select("row", "tokens").mapInArrow(partial(_match, rules=found, default=default), f"row {type_of(rows, 'row')}, verdict string, why array<string>")
-    index = rules.select(F.struct("antecedent", "verdict", "confidence", "support").alias("rule"), F.explode("antecedent").alias("token"))
+    index = rules.select(F.struct("antecedent", "verdict", "confidence", "support").alias("rule"), F.posexplode("antecedent").alias("at", "item")).select("rule", "at", F.explode("item").alias("token"))
     own = rows.select("tokens").distinct()
-    hits = own.select("tokens", F.explode("tokens").alias("token")).join(index, "token").groupBy("tokens", "rule").count().where(F.col("count") == F.size("rule.antecedent"))
-    first = Window.partitionBy("tokens").orderBy(*[c if not isinstance(c, str) else F.col(c) for c in order])
-    best = hits.select("tokens", "rule.*").withColumn("k", F.row_number().over(first)).where("k = 1").select("tokens", F.col("verdict").alias("v"), F.col("antecedent").alias("why"))
+    hits = own.select("tokens", F.explode("tokens").alias("token")).join(index, "token").groupBy("tokens", "rule").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("items"))
+    hits = hits.where(F.bit_count("items") == F.size("rule.antecedent"))
+    first = Window.partitionBy("tokens").orderBy(*order)
+    best = hits.select("tokens", "rule.*").withColumn("k", F.row_number().over(first)).where("k = 1")
+    best = best.select("tokens", F.col("verdict").alias("v"), F.array_intersect("tokens", F.flatten("antecedent")).alias("why"))
     return rows.join(best, "tokens", "left").select("row", F.coalesce("v", F.lit(default)).alias("verdict"), "why")
 
 

@@ -85,6 +85,27 @@ def test_mined_rules_against_counting(spark, sf_dir):
         assert {r.page_id: r.verdict for r in rows} == want
 
 
+def test_rules_of_tokens_that_go_together(spark):
+    """Words that both labels have and that always occur together: every combination of variants counts as its rule."""
+    urls = [f"http://a{i}.net/alpha/beta?x" for i in range(9)] + [f"http://b{i}.org/fr/alpha/beta" for i in range(2)]
+    urls += [f"http://c{i}.net/gamma/delta" for i in range(8)] + [f"http://d{i}.org/fr/gamma/delta" for i in range(2)]
+    urls += ["http://e.com/beta", "http://e.com/alpha/y", "http://e.com/gamma", "http://e.com/delta", "http://e.com/none"]
+    want = mined_by_hand(urls, 0.005, 0.8, 5)
+    assert want[21] == want[22] == "block" and want[25] == "allow"
+    for held in (20_000, 0):
+        rows = url_rules.judged(pages(spark, urls), URL_LIST, held=held).collect()
+        assert {r.page_id: r.verdict for r in rows} == want
+
+
+def test_long_and_repeated_urls_are_no_burden(spark):
+    """Copies of URLs of 30 words, with one label and with both: 2^30 subsets would never end."""
+    words = "/".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30))
+    urls = [f"http://a.net/{words}"] * 20 + [f"http://b.org/fr/{words}"] * 3 + ["http://c.net/q/r"] * 20 + ["http://d.com/" + words.split("/")[4]]
+    rows = {r.page_id: r for r in url_rules.judged(pages(spark, urls), URL_LIST).collect()}
+    assert rows[43].verdict == "block" and rows[43].why == ["p:" + words.split("/")[4]]  # 20 of 23 with this word
+    assert all(r.verdict == ("allow" if ".org" in u else "block") for r, u in ((rows[i], u) for i, u in enumerate(urls)))
+
+
 def test_nothing_to_learn_from_and_empty(spark):
     rows = url_rules.judged(pages(spark, ["http://a.com/x", "http://b.com/y"]), URL_LIST).collect()
     assert {r.verdict for r in rows} == {"allow"}
