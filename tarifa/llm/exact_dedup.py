@@ -5,13 +5,15 @@ Texts are equal when they are identical after every character of
 
 1. *Entries.* One pass over the documents normalises each text, hashes it
    (XXH64) and writes the entries to the shared folder. Copies that meet in one
-   Arrow batch become one entry that carries their number, so a group of copies
-   that holds a third of all rows reaches its owner as one entry a batch.
-2. *Directory.* The numbers of entries by hash prefix are counted by Spark. The
-   driver starts with one bucket and splits every overfull bucket by its next
-   hash bit, doubling the directory whenever a bucket is already as deep as the
-   directory. The directory has about 16 slots for each ``capacity`` entries.
-3. *Owners.* Consecutive buckets are dealt to owner tasks, each a range of the
+   Arrow batch become one entry that carries their number.
+2. *Directory.* Bytes by hash prefix are counted by Spark, and stay in tables. Every bucket
+   with more than its share of bytes, a quarter of what an owner is to get, is split by its next
+   hash bit, and the directory doubles, until all buckets fit. Its size goes with the
+   number of owners, not with that of the documents.
+3. *Hot hashes.* A hash that alone has over an eighth of a bucket, as copies do that are spread over very many
+   batches, goes to several tasks by a salt first, each of which compares bytes and hands on
+   one entry for each distinct text.
+4. *Owners.* Consecutive buckets are dealt to owner tasks, each a range of the
    hash space with about the same number of bytes. An owner reads its entries
    in hash order as a stream. Entries of equal hash form a chain; their texts
    are compared byte by byte, so a collision never joins two texts. A chain's
@@ -26,7 +28,6 @@ an empty table; further columns never matter, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,10 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarifa.llm.common import WS, as_bytes, by_bytes, partitions
+from tarifa.llm.common import WS, as_bytes, by_bytes, partitions, running
 from tarifa.session import written
 
-CAPACITY = 50_000
+LEAST = 1 << 20  # bytes of a bucket at least
 
 
 def _signed(x: int) -> int:
@@ -86,55 +87,52 @@ def _entries(schema: pa.Schema, whole: bool):
     return run
 
 
-def directory(counts: dict[int, tuple[int, int]], depth: int, capacity: int) -> list[int]:
-    """Slots of 2**depth prefixes -> bucket, buckets numbered in hash order.
+def directory(hashes: DataFrame, total: int, capacity: int, share: int) -> DataFrame:
+    """(slot, owner) and the number of hash bits of a slot, from (hash, bytes).
 
-    ``counts``: entries and bytes of each prefix of ``depth`` bits. A bucket
-    with more than ``capacity`` entries splits while it has bits left.
+    Overfull buckets split by one more bit until none is left (one hash is never split); a slot is
+    a prefix as long as the longest. Buckets are dealt to ``share`` owners in hash order, by bytes.
     """
-    total = [0] * (1 << depth)
-    for prefix, (n, _) in counts.items():
-        total[prefix] = n
-    tree = [total]  # tree[k][p]: entries under the prefix p of depth - k bits
-    while len(tree[-1]) > 1:
-        below = tree[-1]
-        tree.append([below[i] + below[i + 1] for i in range(0, len(below), 2)])
-    slots, local = [0], [0]  # one slot, one bucket of local depth 0
-    glob = 0
-    overfull = [0] if tree[depth][0] > capacity and depth else []
-    prefix_of = [0]
-    while overfull:
-        b = overfull.pop()
-        if local[b] == glob:  # the directory doubles: every slot becomes two
-            slots = [s for s in slots for _ in (0, 1)]
-            glob += 1
-        at, deep = prefix_of[b], local[b] + 1
-        new = len(local)
-        local[b], prefix_of[b] = deep, at * 2
-        local.append(deep)
-        prefix_of.append(at * 2 + 1)
-        width = 1 << (glob - deep)
-        for s in range((at * 2 + 1) * width, (at * 2 + 2) * width):
-            slots[s] = new
-        overfull += [x for x in (b, new) if deep < depth and tree[depth - deep][prefix_of[x]] > capacity]
-    fine = [s for s in slots for _ in range(1 << (depth - glob))]
-    rank: dict[int, int] = {}
-    return [rank.setdefault(s, len(rank)) for s in fine]
-
-
-def _owners(schema: pa.Schema, text_col: str | None = None):
+    depth = max(0, int(total // max(1, capacity)).bit_length() - 1)
+    prefix = lambda: F.shiftrightunsigned("hash", 64 - depth) if depth else F.lit(0).cast("long")
+    open_, levels = hashes, []
+    while True:
+        buckets = written(open_.groupBy(prefix().alias("p")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("k")).withColumn("d", F.lit(depth)), "exact-dedup-buckets")
+        overfull = (F.col("bytes") > capacity) & (F.col("k") > 1)
+        levels.append(buckets.where(~overfull))
+        if buckets.where(overfull).isEmpty():
+            break
+        open_ = open_.join(buckets.where(overfull).select("p"), prefix() == F.col("p"), "left_semi")
+        depth += 1
+    leaves = levels[0]
+    for level in levels[1:]:
+        leaves = leaves.unionByName(level)
+    wide = F.lit(depth) - F.col("d")
+    leaves = leaves.select(F.expr(f"shiftleft(p, {depth} - d)").alias("first"), F.expr(f"shiftleft(p + 1, {depth} - d) - 1").alias("last"), "bytes").where(wide >= 0)
+    leaves = running(leaves, [F.col("first")], {"before": F.col("bytes")})
+    owner = F.least(F.lit(share - 1), F.floor(F.col("before") * share / max(1, total))).cast("int")
+    return written(leaves.select(F.explode(F.sequence("first", "last")).alias("slot"), owner.alias("owner")), "exact-dedup-slots"), prefix()
+
+
+def _owners(schema: pa.Schema, text_col: str | None = None, merge: bool = False):
     """Streams entries in hash order; a chain holds ids of its members and one best row a text.
 
     With ``text_col``, entries have whole rows, whose text it is, and the rows that stay are the result.
+    With ``merge``, the result is one entry for each text, and for each member the entry (``into``) that now stands for it.
     """
     whole = text_col is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hash_now, chain, members = None, [], []  # chain: [text, n, best, best's row]
+        hash_now, salt, chain, members = None, None, [], []  # chain: [text, n, best, best's row]
 
         def close():
-            for k, (_, n, best, held) in enumerate(chain):
-                if whole:
+            for k, (text, n, best, held) in enumerate(chain):
+                if merge:
+                    source, i = held
+                    row = source.column("row").slice(i, 1) if whole else None
+                    merged.append(({"head": best[2], "into": None, "id": best[1], "hash": hash_now, "n": n, "points": best[0], "text": b"" if whole else text}, row))
+                    merged.extend(({"head": head, "into": best[2], "id": None, "hash": None, "n": None, "points": None, "text": None}, None) for head, at in members if at == k)
+                elif whole:
                     out_rows.append((best, held))
                 else:
                     for head, at in members:
@@ -142,8 +140,14 @@ def _owners(schema: pa.Schema, text_col: str | None = None):
                             out.append((head, best[2], best[1], n))
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal out, out_rows
-            if whole and out_rows:
+            nonlocal out, out_rows, merged
+            if merge and merged:
+                columns = {f.name: pa.array([x[f.name] for x, _ in merged], f.type) for f in schema if f.name != "row"}
+                if whole:
+                    kind = batch.column("row").type
+                    columns["row"] = pa.concat_arrays([pa.nulls(1, kind) if r is None else r for _, r in merged])
+                yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], names=schema.names)
+            elif whole and out_rows:
                 own = sorted(i for _, (source, i) in out_rows if source is batch)
                 parts = [batch.column("row").take(pa.array(own, pa.int64()))] if own else []
                 parts += [source.column("row").slice(i, 1) for _, (source, i) in out_rows if source is not batch]
@@ -151,19 +155,21 @@ def _owners(schema: pa.Schema, text_col: str | None = None):
             elif out:
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], names=schema.names)
-            out, out_rows = [], []
+            out, out_rows, merged = [], [], []
 
-        out, out_rows, batch = [], [], None
+        out, out_rows, merged, batch = [], [], [], None
         for batch in by_bytes(batches, "text", rows=256 if whole else 4096):
             hashes, heads = batch.column("hash").to_pylist(), batch.column("head").to_pylist()
             texts, ns = batch.column("text").to_pylist(), batch.column("n").to_pylist()
             if whole:
                 texts = [t.translate(None, WS) for t in as_bytes(batch.column("row").field(text_col))]
             ids, points = batch.column("id").to_pylist(), batch.column("points").to_pylist()
+            salts = batch.column("salt").to_pylist() if merge else [None] * len(hashes)
             for i, h in enumerate(hashes):
-                if h != hash_now:
+                if h != hash_now or (merge and salts[i] != salt):
                     close()
                     hash_now, chain, members = h, [], []
+                    salt = salts[i]
                 rank = (points[i], ids[i], heads[i])
                 for k, link in enumerate(chain):
                     if link[0] == texts[i]:  # the bytes decide
@@ -174,7 +180,7 @@ def _owners(schema: pa.Schema, text_col: str | None = None):
                 else:
                     k = len(chain)
                     chain.append([texts[i], ns[i], rank, (batch, i)])
-                if not whole:
+                if merge or not whole:
                     members.append((heads[i], k))
             yield from flush()
             for link in chain:  # what stays open keeps its own row, not the whole batch
@@ -188,50 +194,49 @@ def _owners(schema: pa.Schema, text_col: str | None = None):
     return run
 
 
-def _indexed(docs: DataFrame, id_col: str, text_col: str, whole: bool, capacity: int):
-    """The written entries, and those that owners see, dealt and in order."""
+def _indexed(docs: DataFrame, id_col: str, text_col: str, whole: bool, least: int):
+    """The written entries, those that owners see, dealt and in order, and which entry stands for which (head, into)."""
     spark = docs.sparkSession
-    id_type = docs.schema[id_col].dataType
-    fields = [
-        T.StructField("rid", T.LongType()),
-        T.StructField("head", T.LongType()),
-        T.StructField("id", id_type),
-        T.StructField("sha", T.BinaryType()),
-        T.StructField("hash", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("points", T.LongType()),
-        T.StructField("text", T.BinaryType()),
-    ]
+    share = partitions(spark)
+    types = {"rid": T.LongType(), "head": T.LongType(), "id": docs.schema[id_col].dataType, "sha": T.BinaryType(), "hash": T.LongType(), "n": T.LongType(), "points": T.LongType(), "text": T.BinaryType()}
     source = [F.col(id_col).alias("id"), F.col(text_col).alias("text")]
     if whole:
         source.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-        fields.append(T.StructField("row", docs.select(source[-1]).schema["row"].dataType))
-    schema = T.StructType(fields)
-    arrow = pa.schema([(f.name, pa.int64() if isinstance(f.dataType, T.LongType) and f.name != "id" else pa.binary()) for f in fields])
-    entries = written(docs.select(*source).mapInArrow(_entries(arrow, whole), schema), "exact-dedup")
-    heads = entries.where("text is not null")
-    number = heads.count()
-    depth = max(0, min(24, math.ceil(math.log2(max(1, number / capacity))) + 4)) if number else 0
-    prefix = F.shiftrightunsigned("hash", 64 - depth) if depth else F.lit(0).cast("long")
-    counts = {r[0]: (r[1], r[2]) for r in heads.groupBy(prefix.alias("p")).agg(F.count("*"), F.sum(F.col("points") + 64)).collect()}
-    slots = directory(counts, depth, capacity)
-    share = partitions(spark)
-    total, upto, owner, dealt = sum(b for _, b in counts.values()), 0, {}, []
-    for p, bucket in enumerate(slots):  # an owner has whole buckets, a range of hashes
-        owner.setdefault(bucket, min(share - 1, upto * share // max(1, total)))
-        dealt.append((p, owner[bucket]))
-        upto += counts.get(p, (0, 0))[1]
-    slot = written(spark.createDataFrame(dealt, "slot long, owner int"), "exact-dedup-slots")  # so that its size is known to the planner
-    owned = heads.withColumn("slot", prefix).join(slot, "slot").drop("slot", "rid", "sha")
-    return entries, owned.repartitionById(share, F.col("owner")).sortWithinPartitions("hash", "head")
-
-
-def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+        types["row"] = docs.select(source[-1]).schema["row"].dataType
+    schema = T.StructType([T.StructField(*f) for f in types.items()])
+    entries = written(docs.select(*source).mapInArrow(_entries(_arrow(schema, docs, id_col), whole), schema), "exact-dedup")
+    own = ["head", "id", "hash", "n", "points", "text", *(["row"] if whole else [])]
+    heads = entries.where("text is not null").select(*own)
+
+    hashes = written(heads.groupBy("hash").agg(F.sum(F.col("points") + 64).alias("bytes")), "exact-dedup-hashes")
+    total = hashes.agg(F.sum("bytes")).first()[0] or 0
+    capacity = max(least, total // (4 * share))
+    part = max(1, capacity // 8)
+    hot = written(hashes.where(F.col("bytes") > part).select("hash", F.ceil(F.col("bytes") / part).alias("salts")), "exact-dedup-hot")
+    stands = None
+    if not hot.isEmpty():
+        flagged = heads.join(hot, "hash", "left")
+        salted = flagged.where("salts is not null").withColumn("salt", F.pmod(F.xxhash64("head"), "salts"))
+        merged_schema = T.StructType([T.StructField(c, types[c]) for c in own] + [T.StructField("into", T.LongType())])
+        salted = salted.select(*own, "salt").repartition(share, "hash", "salt").sortWithinPartitions("hash", "salt", "head")
+        merged = written(salted.mapInArrow(_owners(_arrow(merged_schema, docs, id_col), text_col if whole else None, True), merged_schema), "exact-dedup-merged")
+        heads = flagged.where("salts is null").select(*own).unionByName(merged.where("into is null").select(*own))
+        stands = merged.where("into is not null").select("head", "into")
+    light = hashes.withColumn("bytes", F.when(F.col("bytes") > part, 1).otherwise(F.col("bytes")))  # merged, a hot hash weighs little
+    slots, prefix = directory(light, total, capacity, share)
+    owned = heads.withColumn("slot", prefix).join(slots, "slot").drop("slot")
+    return entries, owned.repartitionById(share, F.col("owner")).sortWithinPartitions("hash", "head"), stands
+
+
+def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """One row a document, in columns ``id_col``, keep_id, group_size, kept, text_sha256."""
-    entries, owned = _indexed(docs, id_col, text_col, False, capacity)
+    entries, owned, stands = _indexed(docs, id_col, text_col, False, least)
     out = T.StructType([T.StructField("head", T.LongType()), T.StructField("keep_rid", T.LongType()), T.StructField("keep_id", docs.schema[id_col].dataType), T.StructField("group_size", T.LongType())])
-    arrow = pa.schema([("head", pa.int64()), ("keep_rid", pa.int64()), ("keep_id", _arrow_type(docs, id_col)), ("group_size", pa.int64())])
-    groups = owned.mapInArrow(_owners(arrow), out)
+    groups = owned.mapInArrow(_owners(_arrow(out, docs, id_col)), out)
+    if stands is not None:  # what a merged entry stands for gets its result
+        groups = written(groups, "exact-dedup-groups")
+        through = stands.join(groups.withColumnRenamed("head", "into"), "into").select(*groups.columns)
+        groups = groups.join(stands, "head", "left_anti").unionByName(through)
     return (
         entries.select("rid", "head", "id", "sha")
         .join(groups, "head")
@@ -239,13 +244,18 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     )
 
 
-def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """The documents that stay, with all their columns."""
-    _, owned = _indexed(docs, id_col, text_col, True, capacity)
+    _, owned, _ = _indexed(docs, id_col, text_col, True, least)
     rows = T.StructType([owned.schema["row"]])
     return owned.mapInArrow(_owners(pa.schema([]), text_col), rows).select("row.*").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _arrow(schema: T.StructType, docs: DataFrame, id_col: str) -> pa.Schema:
+    kinds = {T.LongType: pa.int64(), T.BinaryType: pa.binary()}
+    return pa.schema([(f.name, _arrow_type(docs, id_col) if f.name in ("id", "keep_id") else kinds.get(type(f.dataType), pa.null())) for f in schema])
+
+
 def _arrow_type(docs: DataFrame, column: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

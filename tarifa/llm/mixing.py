@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tarifa.llm.common import running
 from tarifa.session import written
 
 FAN = 64
@@ -47,21 +48,6 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def running(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """``rows`` with, for each name, the sum of its column over all rows before in ``order`` (a total order).
-
-    Rows are dealt into ranges; only the ranges' totals, one row a range, meet in one task.
-    """
-    dealt = written(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "mix-ranges")
-    ranges = dealt.groupBy(F.col("range").alias("r")).agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
-    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
-    over_ranges, inside = before(Window.orderBy("r")), before(Window.partitionBy("range").orderBy(*order))
-    starts = ranges.select("r", *[F.coalesce(F.sum(f"_{n}").over(over_ranges), F.lit(0)).alias(f"_{n}") for n in sums])
-    joined = dealt.join(starts, F.col("range") == F.col("r"))
-    out = joined.select(*[F.col(c) for c in dealt.columns], *[(F.col(f"_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()])
-    return out.drop("range")
-
-
 def targets(sources: DataFrame, weights: int = 3, most: float = MOST) -> DataFrame:
     """``sources`` (source, source_size) with weight, target and rate.
 

@@ -31,7 +31,7 @@ def test_brute_force(nasty):
 
 
 def test_small_buckets_split(nasty):
-    check(nasty, capacity=2)
+    check(nasty, least=300)  # the texts of 60 copies are over an eighth of a bucket: merged by salts first
 
 
 def test_kept_rows_have_all_columns(nasty):
@@ -41,6 +41,15 @@ def test_kept_rows_have_all_columns(nasty):
     assert rows.where("row = 'r' and key = 1").count() == rows.count()
 
 
+def test_copies_spread_over_many_batches(spark):
+    """A third of all rows alike, and long texts, with buckets so small that both are hot hashes."""
+    rows = [(i, "the same text again " * 9 if i % 3 == 0 else f"text {i} " * (1 + i % 40)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    check(docs, least=1000)
+    kept = sorted(r.text for r in exact_dedup.kept_rows(docs, least=1000).collect())
+    assert kept == sorted({t for _, t in rows})
+
+
 def test_empty(nothing):
     assert exact_dedup.decisions(nothing).collect() == []
     assert exact_dedup.kept_rows(nothing).collect() == []
@@ -56,9 +65,12 @@ def test_colliding_hashes_are_told_apart(nasty, monkeypatch):
     assert sorted((r["head"], r["keep_id"], r["group_size"]) for r in rows) == [(1, 4, 3), (2, 5, 1), (3, 4, 3)]
 
 
-def test_directory_doubles_until_buckets_fit():
-    counts = {0: (10, 10), 1: (10, 10), 8: (1, 1), 15: (1, 1)}
-    slots = exact_dedup.directory(counts, 4, 12)
-    assert len(slots) == 16 and slots[0] != slots[1] and slots[8] == slots[15]
-    assert slots == sorted(slots)
-    assert exact_dedup.directory({0: (99, 1)}, 0, 1) == [0]
+def test_directory_doubles_until_buckets_fit(spark):
+    top = lambda x: (x << 56) - (1 << 64) if x >> 7 else x << 56  # noqa: E731  by the first eight bits
+    rows = [(top(0b00010000), 10), (top(0b00011000), 10), (top(0b10000000), 1), (top(0b11110000), 1)]
+    slots, _ = exact_dedup.directory(spark.createDataFrame(rows, "hash long, bytes long"), 22, 12, 3)
+    found = {r.slot: r.owner for r in slots.collect()}
+    assert {0b00010, 0b00011} <= set(found) and all(found[s] >= 1 for s in found if s >= 16)  # five bits tell the first two apart
+    assert [found[s] for s in sorted(found)] == sorted(found.values())
+    one, _ = exact_dedup.directory(spark.createDataFrame([(5, 99)], "hash long, bytes long"), 99, 200, 4)
+    assert [tuple(r) for r in one.collect()] == [(0, 0)]
