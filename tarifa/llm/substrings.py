@@ -27,8 +27,8 @@ else is decided by bytes. Documents cross the network once for both uses.
 
 Defined cases: a null text is empty and nothing is removed from it; a null id
 ranks behind every other id; rows that repeat an id are told apart by 25 bits of
-their text's hash and ordered by it, so rows alike in id and text count as one
-document and all get its result; an empty table gives an empty table; further columns never matter.
+their text's hash and ordered by it (with another seed, if two of them are alike in these bits; an error if that is so for
+eight seeds), so rows alike in id and text count as one document and all get its result; an empty table gives an empty table; further columns never matter.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarifa.llm.common import as_bytes, by_bytes, partitions
@@ -53,6 +53,7 @@ HOT = 20_000
 BLOCK = 1 << 20
 SEGMENT = 1 << 20
 FLUSH = 1 << 19
+SEEDS = 8
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
@@ -419,13 +420,28 @@ def _remove(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary())], names=["doc", "mark", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+def _mark(docs: DataFrame, id_col: str, text: Column, bits: int = 25) -> Column:
+    """``bits`` of a hash of the text, and whether the id is null; with a seed for which no two texts of an id are alike in it."""
+    id_ = F.col(id_col).cast("long")
+    rows = written(docs.groupBy(id_.alias("id")).agg(F.count("*").alias("k")).where("k > 1").select("id"), "substrings-repeated")  # ids of several rows
+    texts = docs.select(id_.alias("id"), text.alias("text")).join(rows.withColumnRenamed("id", "r"), F.col("id").eqNullSafe(F.col("r")), "left_semi")
+    hashes = lambda seed: F.shiftrightunsigned(F.xxhash64("text", F.lit(seed)), 64 - bits)
+    seed = 0
+    if not rows.isEmpty():
+        found = written(texts.groupBy("id", F.sha2("text", 256).alias("sha")).agg(*[F.first(hashes(s)).alias(f"h{s}") for s in range(SEEDS)]), "substrings-marks")
+        alike = lambda s: not found.groupBy("id", f"h{s}").count().where("count > 1").isEmpty()
+        while alike(seed):
+            seed += 1
+            if seed == SEEDS:
+                raise ValueError(f"texts of one id are alike in {bits} bits of {SEEDS} hashes: give them ids of their own")
+    return (F.shiftrightunsigned(F.xxhash64(text, F.lit(seed)), 64 - bits) * 2 + F.col(id_col).isNull().cast("long")).cast("int")
+
+
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, hot: int = HOT) -> DataFrame:
     """One row a document: id, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the bytes that remain)."""
     share = partitions(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    no_id = F.col(id_col).isNull()
-    mark = (F.shiftrightunsigned(F.xxhash64(text), 39) * 2 + no_id.cast("long")).cast("int")  # 25 bits, and whether the id is null
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), mark.alias("mark"), text.cast("binary").alias("text"))
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), _mark(docs, id_col, text).alias("mark"), text.cast("binary").alias("text"))
     dealt = source.repartition(share, "doc", "mark")
 
     def owned(rows: DataFrame) -> DataFrame:

@@ -101,3 +101,14 @@ def test_intervals_give_the_common_prefixes():
             whole = len(strings[k]) == 6 and 0 not in strings[k] and len(strings[k - 1]) == 6 and 0 not in strings[k - 1]
             if whole:
                 assert (group[k] == group[k - 1]) == (strings[k] == strings[k - 1])
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """With so few bits that some seeds join texts of one id, another seed is taken, or an error tells."""
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(4)] + [(None, "a"), (None, "b"), (2, "c"), (2, "c")], "doc_id long, text string")
+    marked = docs.select("doc_id", "text", substrings._mark(docs, "doc_id", F.col("text"), 4).alias("m")).distinct()
+    assert marked.select("doc_id", "m").distinct().count() == marked.count() == 7
+    with pytest.raises(ValueError, match="alike"):
+        substrings._mark(docs, "doc_id", F.col("text"), 1)
