@@ -1,7 +1,7 @@
 """Names, volumes, descriptions, URLs and other texts as Column functions.
 
 Everything here stays in the JVM but ``strip_marks``, which needs Unicode
-decomposition; ``fold`` covers Latin letters with a table and is used where
+decomposition; ``fold`` has a table of all letters that are one letter and marks, of any script, and is used where
 plans must stay native.
 """
 
@@ -29,21 +29,21 @@ FORMS = {
 }
 
 
-def _latin() -> tuple[str, str]:
-    """Latin letters that are one letter and marks, and that letter."""
+def _marked() -> tuple[str, str]:
+    """Letters that are one letter and marks, and that letter."""
     pairs = []
-    for c in range(0xC0, 0x250):
+    for c in (x for x in range(0xC0, 0x2FA20) if not (0xAC00 <= x < 0xD7A4 or 0xD800 <= x < 0xF900)):
         bare = "".join(x for x in unicodedata.normalize("NFD", chr(c)) if unicodedata.category(x) != "Mn")
         if len(bare) == 1 and bare != chr(c):
             pairs.append((chr(c), bare))
     return "".join(p[0] for p in pairs), "".join(p[1] for p in pairs)
 
 
-_FROM, _TO = _latin()
+_FROM, _TO = _marked()
 
 
 def fold(c: Column) -> Column:
-    """Latin letters without their marks, and without combining marks; native."""
+    """Letters without their marks, and without combining marks; native."""
     return F.regexp_replace(F.translate(c, _FROM, _TO), r"\p{Mn}", "")
 
 

@@ -130,7 +130,9 @@ def upsert_masters(masters: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def upsert_offers(offers: DataFrame, changes: DataFrame) -> DataFrame:
-    return upsert(offers, changes.dropDuplicates(["product_url"]), ["product_url"])
+    """By URL; of several changes the latest counts, then the greatest."""
+    order = [F.col(c) for c in sorted(changes.columns, key=lambda c: c != "last_scraped_at")]
+    return upsert(offers, last_of(changes, ["product_url"], order), ["product_url"])
 
 
 def without_orphans(masters: DataFrame, offers: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame]:

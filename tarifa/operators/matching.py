@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +125,33 @@ SUBSTRINGS = """explode(array_distinct(flatten(transform(sequence(0, d), i -> tr
     q -> concat_ws(':', len, i, substring(n, q + 1, cast(floor((i + 1) * len / (d + 1)) - floor(i * len / (d + 1)) as int))))))))"""
 
 
+LETTERS = "transform(split(n, ''), (c, i) -> concat(c, size(filter(slice(split(n, ''), 1, i + 1), x -> x = c))))"
+
+
+def _shared_letters(x: DataFrame, y: DataFrame, room: float, ratio: float) -> DataFrame:
+    """Pairs of names (n, l, len of x; n, l of y) with as many letters in common as ``room`` asks for.
+
+    Of a + b letters, (a + b) * (1 - room) / 2 are in a common subsequence, so that many numbered letters
+    (the second e of a name is another than its first) are shared. With letters in order of their rarity, one of those is then
+    among the first ones of either name, as many as may differ, plus one (prefix filter): an equi-join on
+    (length, numbered letter).
+    """
+    x, y = (frame.withColumn("bag", F.expr(LETTERS)) for frame in (x, y))
+    rare = y.select(F.explode("bag").alias("t")).groupBy("t").agg(F.count("*").alias("f"))  # as many rows as there are numbered letters
+    need = lambda a, b: F.ceil((a + b) * (1 - room) / 2 - 1e-9)
+
+    def first(frame: DataFrame, own: list[str], number: Column) -> DataFrame:
+        rows = frame.select(*own, "bag", F.explode("bag").alias("t")).join(rare, "t", "left")
+        rows = rows.groupBy(*own, "bag").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "t"))).alias("by"))
+        return rows.select(*own, "bag", F.explode(F.slice("by", 1, F.greatest(F.lit(1), number.cast("int")))).alias("k")).withColumn("k", F.col("k.t"))
+
+    own = first(x, ["n", "l", "len"], F.col("l") - need(F.col("l"), F.col("len")) + 1)
+    other = first(y, ["n", "l"], F.col("l") - need(F.col("l"), F.ceil(F.col("l") * ratio - 1e-9)) + 1)
+    other = other.select(F.col("n").alias("m_norm"), F.col("l").alias("len"), F.col("bag").alias("m_bag"), "k")
+    met = own.join(other, ["len", "k"]).select(F.col("n").alias("norm"), "m_norm", "l", "len", "bag", "m_bag").dropDuplicates(["norm", "m_norm"])
+    return met.where(F.size(F.array_intersect("bag", "m_bag")) >= need(F.col("l"), F.col("len"))).select("norm", "m_norm")
+
+
 def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """Distinct pairs (norm, m_norm) of names that can reach ``least``.
 
@@ -131,7 +159,7 @@ def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     deleted. A name cut into d + 1 segments then has one that is found whole in the
     other name, moved by no more than the edits allow: an equi-join on (length, number
     of segment, segment). For a low ``least`` segments would be single letters; then
-    names are joined by length, within the bounds that ``least`` sets.
+    names meet by the rarest of their letters.
     """
     room = 1 - least / 100
     ratio = (1 - room) / (1 + room)  # of the lengths of two names that can reach it
@@ -140,7 +168,7 @@ def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     partner = F.explode(F.sequence(F.ceil(F.col("l") * ratio - 1e-9).cast("int"), F.floor(F.col("l") / ratio + 1e-9).cast("int")))
     x = x.withColumn("len", partner)
     if least < 90:
-        pairs = x.select(F.col("n").alias("norm"), "len").join(y.select(F.col("n").alias("m_norm"), F.col("l").alias("len")), "len").drop("len")
+        pairs = _shared_letters(x, y, room, ratio)
     else:
         edits = lambda l: F.floor((l + F.floor(l / ratio + 1e-9)) * room + 1e-9).cast("int")  # noqa: E731, E741
         x = x.withColumn("d", F.least(edits(F.col("len")), F.col("len") - 1)).where("abs(l - len) <= d or l = len")
@@ -171,52 +199,55 @@ def by_similarity(rows: DataFrame, index: DataFrame, links: DataFrame | None, le
     return _result(own, 3, F.round(F.col("score") / 100, 4))
 
 
+def _unit(vectors: pa.Array) -> np.ndarray:
+    matrix = np.asarray(vectors.flatten()).astype(np.float64).reshape(len(vectors), -1)
+    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+
+
+def _nearest(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            items, asked = batch.column("products")[i].values, batch.column("rows")[i].values
+            scores = _unit(asked.field("name_embedding")) @ _unit(items.field("m_embedding")).T
+            ids = np.array(items.field("master_id").to_pylist(), object)
+            mine, theirs = (np.array(c.to_pylist(), object) for c in (asked.field("brand_norm"), items.field("m_brand")))
+            fits = (mine[:, None] == "") | (theirs[None, :] == "") | (mine[:, None] == theirs[None, :])
+            has = batch.column("carried")[i].as_py()
+            if has:
+                fits &= ~np.isin(ids, np.array(has, object))[None, :]
+            scores[~fits | (scores < least)] = -np.inf
+            best = scores.argmax(axis=1)  # the first of equal ones: products are in order of place
+            rows = np.flatnonzero(np.isfinite(scores[np.arange(len(best)), best]))
+            own = asked.field("row_id").take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([own.cast(pa.string()), pa.array(ids[best[rows]], pa.string()), pa.array(scores[rows, best[rows]])], names=["row_id", "master_id", "score"])
+
+
 def nearest(rows: DataFrame, index: DataFrame, links: DataFrame | None, least: float, block_rows: int = 8192, part_rows: int = 1024) -> DataFrame:
     """(row_id, master_id, score) of the nearest product by cosine that the site lacks and whose brand fits.
 
-    Blocks of about ``block_rows`` products meet parts of about ``part_rows`` rows, one
-    matrix product each; the best of all blocks is a partial aggregate.
+    Blocks of about ``block_rows`` products meet parts of about ``part_rows`` rows of a site, one
+    matrix product each; what a site carries travels once for each block and part, and only that of the
+    block. The best of all blocks is a partial aggregate.
     """
     products = index.where("m_embedding is not null").select("master_id", "place", "m_brand", "m_embedding")
     blocks = max(1, -(-products.count() // block_rows))
-    carried = links.groupBy("domain").agg(F.collect_set("master_id").alias("carried")) if links is not None else None
+    block = F.pmod(F.xxhash64("master_id"), F.lit(blocks))
     own = rows.where("name_embedding is not null").select("row_id", "domain", "brand_norm", "name_embedding")
     parts = max(1, -(-own.count() // part_rows))
-    if links is not None:
-        carried = links.groupBy("domain").agg(F.collect_set("master_id").alias("carried"))
-        own = own.join(carried, "domain", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("place", "master_id", "m_brand", "m_embedding")))
+    packed = products.withColumn("block", block).groupBy("block").agg(ordered.alias("products"))
+    asked = own.withColumn("part", F.pmod(F.xxhash64("row_id"), F.lit(parts))).groupBy("domain", "part").agg(F.collect_list(F.struct("row_id", "brand_norm", "name_embedding")).alias("rows"))
+    visits = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    if links is None:
+        visits = visits.withColumn("carried", F.array().cast("array<string>"))
     else:
-        own = own.withColumn("carried", F.array().cast("array<string>"))
-    packed = products.withColumn("block", F.pmod(F.xxhash64("master_id"), F.lit(blocks))).groupBy("block").agg(F.collect_list(F.struct("master_id", "place", "m_brand", "m_embedding")).alias("products"))
-    asked = own.withColumn("part", F.pmod(F.xxhash64("row_id"), F.lit(parts))).groupBy("part").agg(F.collect_list(F.struct("row_id", "brand_norm", "carried", "name_embedding")).alias("rows"))
-    visits = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(packed, "block")
-
-    def unit(items: list[dict], field: str) -> np.ndarray:
-        matrix = np.array([x[field] for x in items], np.float64)
-        return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                items = sorted(batch.column("products")[i].as_py(), key=lambda x: tuple(x["place"].values()))
-                asked_ = batch.column("rows")[i].as_py()
-                scores = unit(asked_, "name_embedding") @ unit(items, "m_embedding").T
-                out = []
-                for r, x in enumerate(asked_):
-                    has = set(x["carried"] or ())
-                    for k in np.argsort(-scores[r], kind="stable"):
-                        if scores[r, k] < least:
-                            break
-                        y = items[k]
-                        if y["master_id"] not in has and (not x["brand_norm"] or not y["m_brand"] or x["brand_norm"] == y["m_brand"]):
-                            out.append((x["row_id"], y["master_id"], float(scores[r, k])))
-                            break
-                columns = list(zip(*out, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64())], names=["row_id", "master_id", "score"])
-
-    found = visits.repartition("block", "part").mapInArrow(best, "row_id string, master_id string, score double")
-    top = found.groupBy("row_id").agg(F.max(F.struct("score", "master_id")).alias("b"))
-    return top.select("row_id", F.col("b.master_id").alias("master_id"), F.col("b.score").alias("score"))
+        carried = links.select("domain", "master_id", block.alias("block")).groupBy("domain", "block").agg(F.collect_set("master_id").alias("carried"))
+        visits = visits.join(carried, ["domain", "block"], "left")
+    visits = visits.join(packed, "block").select("products", "rows", "carried", "block", "part", "domain").repartition("block", "part", "domain")
+    found = visits.select("products", "rows", "carried").mapInArrow(partial(_nearest, least=least), "row_id string, master_id string, score double")
+    found = found.join(products.select("master_id", "place"), "master_id")  # ties go by place
+    top = found.groupBy("row_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "place", "master_id")).alias("b"))
+    return top.select("row_id", F.col("b.master_id").alias("master_id"), (-F.col("b.s")).alias("score"))
 
 
 def by_vector(rows: DataFrame, index: DataFrame, links: DataFrame | None, t: Thresholds) -> DataFrame:

@@ -29,13 +29,13 @@ def upsert_catalogue(products: DataFrame, rows: DataFrame) -> DataFrame:
 
 def with_availability(products: DataFrame, bodies: DataFrame) -> DataFrame:
     """bodies: (supplier, code, body). Products without an answer stay as they are, unknown ones unknown."""
-    answers = bodies.select("supplier", "code", prices.availability(F.col("body")).alias("in_stock")).dropDuplicates(["supplier", "code"])
+    answers = bodies.select("supplier", "code", prices.availability(F.col("body")).alias("in_stock")).groupBy("supplier", "code").agg(F.bool_or("in_stock").alias("in_stock"))  # one yes is enough
     return upsert(products, answers, ["supplier", "code"], only_if=F.col("old.code").isNotNull()).where("name is not null")
 
 
 def with_vendor_ids(products: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """ids: (supplier, code, reference, vendor_product_id). The products, and counts of updated and not_found."""
-    wanted = ids.select("supplier", F.coalesce(text.text_or_null(F.col("code")), F.col("reference")).alias("code"), F.col("vendor_product_id").alias("_id")).dropDuplicates(["supplier", "code"])
+    wanted = ids.select("supplier", F.coalesce(text.text_or_null(F.col("code")), F.col("reference")).alias("code"), F.col("vendor_product_id").alias("_id")).groupBy("supplier", "code").agg(F.max("_id").alias("_id"))
     out = products.join(wanted, ["supplier", "code"], "left").withColumn("vendor_product_id", F.coalesce("_id", "vendor_product_id")).drop("_id").select(*products.columns)
     hit = wanted.join(products.select("supplier", "code", F.lit(True).alias("hit")), ["supplier", "code"], "left")
     return out, hit.agg(F.count_if("hit").alias("updated"), F.count_if(F.col("hit").isNull()).alias("not_found"))

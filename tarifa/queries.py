@@ -345,11 +345,7 @@ def _(spark, sf_dir):
     links = kit.site_products(spark, sf_dir).where("in_stock").select("domain", "master_id")
     rows = _rows(spark, sf_dir)
     found = matching.by_name(rows, matching.indexed(kit.masters(spark, sf_dir)), links)
-    # a row's id repeats in the test data, so the domain comes from the rows by id
-    named = rows.select("row_id", "domain", "norm", "brand_norm").where("norm != ''")
-    last = matching._last(matching.indexed(kit.masters(spark, sf_dir)), "m_norm")
-    pairs = matching._off_site(named.join(last, (F.col("norm") == F.col("m_norm")) & matching._same_brand()), links)
-    return pairs.join(found.distinct(), ["row_id", "master_id"], "left_semi").groupBy("row_id", "domain", "master_id").agg(F.count("*").alias("n"))
+    return found.join(rows.select("row_id", "domain"), "row_id").groupBy("row_id", "domain", "master_id").agg(F.count("*").alias("n"))
 
 
 VOLUME_NAME = "p_name || ' ' || CAST(p_size AS VARCHAR) || ' ml'"
@@ -516,10 +512,10 @@ def _(spark, sf_dir):
     return extract.listing_fields(table(spark, sf_dir, "part").select("p_partkey", html.alias("html"))).select("p_partkey", "raw_name", "raw_brand", "raw_price", "raw_currency", "extraction_method")
 
 
-@query("sitemap_parse", "SELECT url, CASE WHEN page_id % 2 = 0 THEN '2024-01-01' END AS lastmod FROM pages")
+@query("sitemap_parse", "SELECT url, CASE WHEN page_id % 3 = 0 THEN '2024-01-01' END AS lastmod FROM pages WHERE page_id % 3 <> 1")
 def _(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    entry = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc>"), F.when(F.col("page_id") % 2 == 0, "<lastmod>2024-01-01</lastmod>").otherwise(""), F.lit("</url>"))
+    entry = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc>"), F.when(F.col("page_id") % 3 == 0, "<lastmod>2024-01-01</lastmod>").when(F.col("page_id") % 3 == 1, "<lastmod>2022-06-01</lastmod>").otherwise(""), F.lit("</url>"))
     maps = pages.groupBy(F.pmod("page_id", F.lit(8)).alias("n")).agg(F.concat(F.lit('<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("xml"))
     return readers.sitemap_urls(maps, since="2023-01-01").select(F.col("loc").alias("url"), "lastmod")
 
@@ -545,10 +541,14 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", prices.availability(body).alias("in_stock"))
 
 
-@query("order_payload", "SELECT p_partkey, '0.00' AS unit_price FROM part")
+@query("order_payload", "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN '0.00' ELSE CAST(p_retailprice AS VARCHAR) END AS unit_price, CASE WHEN p_size % 3 = 0 THEN 0.0 ELSE p_retailprice END AS purchase_price, CASE WHEN p_size % 4 = 0 THEN 'note' END AS comment, CAST(p_size AS VARCHAR) AS quantity FROM part")
 def _(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.lit(1).alias("supplier_id"), F.col("p_partkey").alias("product_id"), F.lit(2).alias("quantity"), F.lit(0.0).alias("unit_price"), F.lit(None).cast("double").alias("sale_price"), F.lit("").alias("notes"))
-    return rows.select("p_partkey", F.get_json_object(wholesale.order_payload(F.lit("2024-01-01")), "$.products[0].unit_price").alias("unit_price"))
+    size = F.col("p_size")
+    price = F.when(size % 3 != 0, F.col("p_retailprice")).when(size % 2 == 0, 0.0)  # of those without a price, some have none and some have 0
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.lit(1).alias("supplier_id"), F.col("p_partkey").alias("product_id"), size.alias("quantity"), price.alias("unit_price"), F.lit(None).cast("double").alias("sale_price"), F.when(size % 4 == 0, "note").otherwise("").alias("notes"))
+    body = wholesale.order_payload(F.lit("2024-01-01"))
+    get = lambda p: F.get_json_object(body, f"$.{p}")
+    return rows.select("p_partkey", get("products[0].unit_price").alias("unit_price"), get("products[0].purchase_price").cast("double").alias("purchase_price"), get("comment").alias("comment"), get("products[0].quantity").alias("quantity"))
 
 
 # streams

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line.join(part, F.col("l_partkey") == F.col("p_partkey")).join(sites, F.col("l_suppkey") == F.col("s_suppkey"))
     c = F.col
     return rows.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("scraped_url_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("scraped_url_id"),
         c("n_nationkey").cast("string").alias("site_id"),
         F.concat(F.lit("https://"), c("domain"), F.lit("/p/"), c("l_partkey")).alias("url"),
         c("p_name").alias("raw_name"),
@@ -45,7 +47,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LISTINGS = """
-    SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS scraped_url_id, CAST(n_nationkey AS VARCHAR) AS site_id,
+    SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS scraped_url_id, CAST(n_nationkey AS VARCHAR) AS site_id,
            'https://' || lower(n_name) || '/p/' || CAST(l_partkey AS VARCHAR) AS url, p_name AS raw_name,
            CASE WHEN p_size % 5 = 0 THEN '' ELSE p_brand END AS raw_brand,
            CASE WHEN p_size % 7 <> 0 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END AS raw_price,
@@ -82,39 +84,38 @@ MASTERS = """
 
 
 def site_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The current offer of each product and site: the lowest price at the latest date."""
-    rows = listings(spark, sf_dir)
-    last = rows.groupBy("master_id", "site_id", "domain").agg(F.max(F.struct("fetched_date")).alias("m"), F.collect_list(F.struct("fetched_date", "raw_price", "in_stock", "url", "raw_currency")).alias("all"))
-    now = F.filter("all", lambda x: x["fetched_date"] == F.col("m.fetched_date"))
+    """The current offer of each product and site: the lowest price at the latest date. Of ten products one has no offer, one those of one site at most."""
+    c, ten = F.col, F.col("master_id").cast("long") % 10
+    rows = listings(spark, sf_dir).where((ten > 1) | ((ten == 1) & (c("site_id").cast("long") == c("master_id").cast("long") % 25)))
+    daily = rows.groupBy("master_id", "site_id", "domain", "fetched_date").agg(F.min("url").alias("url"), F.min("raw_price").alias("price"), F.min("raw_currency").alias("currency"), F.bool_or("in_stock").alias("in_stock"))
+    last = daily.groupBy("master_id", "site_id", "domain").agg(F.max(F.struct("fetched_date", "url", "price", "currency", "in_stock")).alias("m"))
     return last.select(
-        F.concat_ws("@", "master_id", "site_id").alias("id"), "master_id", "site_id", "domain",
-        F.array_min(F.transform(now, lambda x: x["url"])).alias("product_url"),
-        F.array_min(F.transform(now, lambda x: x["raw_price"])).alias("current_price"),
-        F.array_min(F.transform(now, lambda x: x["raw_currency"])).alias("currency"),
-        F.exists(now, lambda x: x["in_stock"]).alias("in_stock"),
-        F.col("m.fetched_date").alias("last_scraped"),
+        F.concat_ws("@", "master_id", "site_id").alias("id"), "master_id", "site_id", "domain", c("m.url").alias("product_url"), c("m.price").alias("current_price"),
+        c("m.currency").alias("currency"), c("m.in_stock").alias("in_stock"), c("m.fetched_date").alias("last_scraped"),
     )
 
 
 SITE_PRODUCTS = f"""
     SELECT master_id || '@' || site_id AS id, master_id, site_id, domain, min(url) AS product_url, min(raw_price) AS current_price,
            min(raw_currency) AS currency, bool_or(in_stock) AS in_stock, min(fetched_date) AS last_scraped
-    FROM (SELECT *, max(fetched_date) OVER (PARTITION BY master_id, site_id) AS last FROM ({LISTINGS})) WHERE fetched_date = last
+    FROM (SELECT *, max(fetched_date) OVER (PARTITION BY master_id, site_id) AS last FROM ({LISTINGS})
+          WHERE CAST(master_id AS BIGINT) % 10 > 1 OR (CAST(master_id AS BIGINT) % 10 = 1 AND CAST(site_id AS BIGINT) = CAST(master_id AS BIGINT) % 25)) WHERE fetched_date = last
     GROUP BY master_id, site_id, domain"""
 
 
 def supplier_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wholesale offers: each part of each supplier, at a share of its retail price."""
+    """Wholesale offers: each part of each supplier, a case of 1 to 9 at a share of 60 to 119 per cent of the retail price."""
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     pairs = line.select("l_suppkey", "l_partkey").distinct().join(part, F.col("l_partkey") == F.col("p_partkey"))
     c = F.col
-    price = (c("p_retailprice").cast("decimal(12,2)") * (60 + c("l_suppkey") % 60).cast("decimal(5,0)")).cast("decimal(14,2)")
+    share = (60 + c("l_suppkey") % 60).cast("decimal(5,0)") * (1 + c("p_size") % 9).cast("decimal(2,0)") * F.lit(Decimal("0.01"))
+    price = (c("p_retailprice").cast("decimal(12,2)") * share).cast("decimal(14,2)")
     return pairs.select(
         c("l_suppkey").cast("string").alias("supplier"),
         F.concat(F.lit("C"), c("l_partkey")).alias("code"),
         F.concat(c("p_name"), F.lit(" "), F.lpad(c("p_partkey").cast("string"), 13, "0")).alias("name"),
         F.when(c("p_size") % 9 != 0, price).alias("prix_pharmacien"),
-        F.when(c("l_suppkey") % 4 != 0, c("l_partkey").cast("string")).alias("master_id"),
+        F.when((c("l_suppkey") % 4 != 0) & (c("l_partkey") % 6 != 0), c("l_partkey").cast("string")).alias("master_id"),
         F.when(c("l_suppkey") % 3 == 0, F.lit(None).cast("boolean")).otherwise(c("p_size") % 2 == 0).alias("in_stock"),
         F.when(c("l_suppkey") % 5 == 0, c("l_partkey")).alias("vendor_product_id"),
     )
@@ -123,8 +124,8 @@ def supplier_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 SUPPLIER_PRODUCTS = """
     SELECT CAST(l_suppkey AS VARCHAR) AS supplier, 'C' || CAST(l_partkey AS VARCHAR) AS code,
            p_name || ' ' || lpad(CAST(p_partkey AS VARCHAR), 13, '0') AS name,
-           CASE WHEN p_size % 9 <> 0 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(60 + l_suppkey % 60 AS DECIMAL(5,0)) AS DECIMAL(14,2)) END AS prix_pharmacien,
-           CASE WHEN l_suppkey % 4 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS master_id,
+           CASE WHEN p_size % 9 <> 0 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(60 + l_suppkey % 60 AS DECIMAL(5,0)) * CAST(1 + p_size % 9 AS DECIMAL(2,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) END AS prix_pharmacien,
+           CASE WHEN l_suppkey % 4 <> 0 AND l_partkey % 6 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS master_id,
            CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE p_size % 2 = 0 END AS in_stock,
            CASE WHEN l_suppkey % 5 = 0 THEN l_partkey END AS vendor_product_id
     FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN part ON l_partkey = p_partkey"""
