@@ -7,6 +7,8 @@ JSON-LD first, field by field.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ FIELDS = {
 }
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def unescape(c: Column) -> Column:
     for mark, char in (("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")):
         c = F.replace(c, F.lit(mark), F.lit(char))
@@ -61,17 +68,26 @@ def json_ld_errors(html: Column) -> Column:
 
 def json_ld(html: Column) -> Column:
     """Struct of FIELDS of the first Product; null without one."""
-    v = F.try_element_at(entities(html), F.lit(1))
-    offer = F.coalesce(_get(v, "$.offers[0]", "variant"), _get(v, "$.offers", "variant"))
-    specs = F.coalesce(_get(offer, "$.priceSpecification", "array<variant>"), F.array(_get(offer, "$.priceSpecification", "variant")))
-    sale = F.try_element_at(F.filter(specs, lambda s: s.isNotNull() & ~F.coalesce(_get(s, "$.priceType"), F.lit("")).contains("ListPrice")), F.lit(1))
+    return let(F.try_element_at(entities(html), F.lit(1)), lambda v: F.when(v.isNotNull(), _with_offer(v)))
+
+
+def _with_offer(v: Column) -> Column:
+    def with_sale(offer: Column) -> Column:
+        specs = F.coalesce(_get(offer, "$.priceSpecification", "array<variant>"), F.array(_get(offer, "$.priceSpecification", "variant")))
+        sale = F.try_element_at(F.filter(specs, lambda s: s.isNotNull() & ~F.coalesce(_get(s, "$.priceType"), F.lit("")).contains("ListPrice")), F.lit(1))
+        return let(sale, lambda found: _product(v, offer, found))
+
+    return let(F.coalesce(_get(v, "$.offers[0]", "variant"), _get(v, "$.offers", "variant")), with_sale)
+
+
+def _product(v: Column, offer: Column, sale: Column) -> Column:
     images = F.coalesce(
         F.filter(F.transform(_get(v, "$.image", "array<variant>"), lambda i: F.coalesce(_get(i, "$.url"), _get(i, "$"))), lambda u: u.isNotNull()),
         F.when(_first(v, "$.image.url", "$.image").isNotNull(), F.array(_first(v, "$.image.url", "$.image"))),
     )
     pairs = F.filter(F.transform(_get(v, "$.additionalProperty", "array<variant>"), lambda p: F.struct(_get(p, "$.name").alias("k"), _get(p, "$.value").alias("v"))), lambda p: p["k"].isNotNull())
-    last = F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["k"] == p["k"])))
-    found = F.struct(
+    last = let(pairs, lambda all_: F.map_from_entries(F.filter(all_, lambda p, i: ~F.exists(F.slice(all_, i + 2, F.greatest(F.size(all_), F.lit(1))), lambda q: q["k"] == p["k"]))))
+    return F.struct(
         _get(v, "$.name").alias("raw_name"),
         _first(v, "$.brand.name", "$.brand[0].name", "$.brand[0]", "$.brand").alias("raw_brand"),
         F.coalesce(_get(offer, "$.price"), _get(sale, "$.price"), _get(offer, "$.lowPrice")).alias("raw_price_str"),
@@ -87,7 +103,6 @@ def json_ld(html: Column) -> Column:
         F.lit(None).cast("int").alias("raw_stock_qty"),
         _get(v, "$.description").alias("raw_description"),
     )
-    return F.when(v.isNotNull(), found)
 
 
 def meta(html: Column) -> Column:
@@ -95,13 +110,16 @@ def meta(html: Column) -> Column:
     tags = F.coalesce(F.regexp_extract_all(html, F.lit(META), F.lit(0)), F.array().cast("array<string>"))
     value = lambda tag, name: F.coalesce(text.text_or_null(F.regexp_extract(tag, rf'(?is)\s(?:{name})\s*=\s*"([^"]*)"', 1)), text.text_or_null(F.regexp_extract(tag, rf"(?is)\s(?:{name})\s*=\s*'([^']*)'", 1)))
     pairs = F.filter(F.transform(tags, lambda t: F.struct(F.lower(value(t, "property|name")).alias("k"), unescape(value(t, "content")).alias("v"))), lambda p: p["k"].isNotNull() & p["v"].isNotNull())
-    keys = F.transform(pairs, lambda p: p["k"])
-    return F.map_from_entries(F.filter(pairs, lambda p, i: F.array_position(keys, p["k"]) == i + 1))
+    firsts = lambda all_: let(F.transform(all_, lambda p: p["k"]), lambda keys: F.map_from_entries(F.filter(all_, lambda p, i: F.array_position(keys, p["k"]) == i + 1)))
+    return let(pairs, firsts)
 
 
 def open_graph(html: Column) -> Column:
     """Struct of FIELDS from Open Graph, product and card metas; null if there are none."""
-    tags = meta(html)
+    return let(meta(html), _from_metas)
+
+
+def _from_metas(tags: Column) -> Column:
     get = lambda k: F.try_element_at(tags, F.lit(k))
     empty = {"raw_sku", "raw_rating", "raw_review_count", "raw_category", "raw_attributes"}
     own = {

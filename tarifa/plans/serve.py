@@ -170,6 +170,16 @@ def master_list(masters: DataFrame, brand: str | None = None, status: str = "act
     return rows.where((F.col("match_confidence") < 0.85) & ~F.col("manually_verified")) if needs_review else rows
 
 
+def master(masters: DataFrame, id_: str) -> DataFrame:
+    """One product by its id; no row if there is none."""
+    return masters.where(F.col("id") == id_)
+
+
+def offers_of(offers: DataFrame, master_id: str) -> DataFrame:
+    """The offers of one product, cheapest first, those without a price last."""
+    return offers.where(F.col("master_id") == master_id).orderBy(F.col("current_price").asc_nulls_last(), "domain")
+
+
 def by_confidence(masters: DataFrame, band: str | None = None) -> DataFrame:
     rows = masters.withColumn("band", prices.confidence_band(F.col("match_confidence")))
     return rows if band is None else rows.where(F.col("band") == band)

@@ -370,7 +370,10 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalise_name(F.col("text"))).alias("digest"))
 
 
-@query("match_tier35_fingerprint")
+FP = f"fp AS (SELECT p_partkey, p_brand, p_name, replace({_norm('p_brand')}, ' ', '') || '_' || CAST(p_size AS VARCHAR) || 'ml_' || list_filter(list_sort(string_split(lower(p_name), ' ')), lambda w: length(w) > 1 AND NOT regexp_full_match(w, '[0-9]+[a-z]+') AND w NOT IN ('{_STOP}'))[1] AS fp FROM part)"
+
+
+@query("match_tier35_fingerprint", "SELECT CAST(a.p_partkey AS VARCHAR) AS row_id, CAST(b.p_partkey AS VARCHAR) AS master_id, 4 AS tier, CAST(0.92 AS DOUBLE) AS confidence, false AS needs_review FROM fp a JOIN (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY p_brand DESC, p_name DESC, CAST(p_partkey AS VARCHAR) DESC) AS k FROM fp) b ON a.fp = b.fp AND k = 1", FP)
 def _(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     name = F.concat("p_name", F.lit(" "), "p_size", F.lit("ml"))
@@ -494,17 +497,27 @@ def _(spark, sf_dir):
     return readers.hybrid(pages.where("startswith(url, 'https')"), pages.where("contains(url, '/en/')")).distinct()
 
 
-@query("html_h1_title_links")
+def _text_of(tag: str) -> str:
+    inner = f"regexp_replace(regexp_extract(html, '(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>', 1), '(?s)<[^>]*>', ' ', 'g')"
+    for mark, char in (("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")):
+        inner = f"replace({inner}, '{mark}', '{char}')"
+    return f"nullif(trim(regexp_replace({inner}, '\\s+', ' ', 'g')), '')"
+
+
+HREF = r"""'(?is)<a\s[^>]*?href\s*=\s*["'']([^"''#]+)'"""
+
+
+@query("html_h1_title_links", f"SELECT page_id, {_text_of('h1')} AS h1, {_text_of('title')} AS title, len(regexp_extract_all(html, {HREF})) AS links, len(regexp_extract_all(html, '(?i)<script')) AS scripts FROM pages")
 def _(spark, sf_dir):
     return extract.page_summary(table(spark, sf_dir, "pages"))
 
 
-@query("page_links")
+@query("page_links", f"SELECT DISTINCT CASE WHEN starts_with(h, 'http') THEN h WHEN starts_with(h, '/') THEN origin || h ELSE origin || '/' || h END AS url FROM (SELECT replace(h, '&amp;', '&') AS h, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) AS origin FROM (SELECT url, unnest(regexp_extract_all(html, {HREF}, 1)) AS h FROM pages))")
 def _(spark, sf_dir):
     return extract.links(table(spark, sf_dir, "pages"))
 
 
-@query("jsonld_extract")
+@query("jsonld_extract", "SELECT p_partkey, p_name AS raw_name, p_brand AS raw_brand, p_retailprice AS raw_price, 'MAD' AS raw_currency, 'json_ld' AS extraction_method FROM part")
 def _(spark, sf_dir):
     """Product pages made from the parts."""
     record = F.to_json(F.struct(F.lit("Product").alias("@type"), F.col("p_name").alias("name"), F.struct(F.col("p_brand").alias("name")).alias("brand"), F.struct(F.col("p_retailprice").alias("price"), F.lit("MAD").alias("priceCurrency")).alias("offers")))
@@ -528,7 +541,7 @@ def _(spark, sf_dir):
     return _plain(wholesale.catalogue_rows(files.select(F.inline(readers.catalogue_items(F.col("body")))), "s").select("code", "name", "prix_pharmacien"))
 
 
-@query("api_items")
+@query("api_items", "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1")
 def _(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     bodies = events.select(F.concat(F.lit('{"items":['), "props", F.lit("]}")).alias("body"))

@@ -47,20 +47,22 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def bronze(spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None, domain: str = "*") -> DataFrame:
+def bronze(spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None, domain: str = "*", named: bool = False) -> DataFrame:
     """Fetch records in ``root/<site>/<date>/*.jsonl.gz``, with site and date from the path.
 
+    With ``named`` folders are site=<site>/date=<date>, as ``write_bronze`` makes them.
     Only the folders of the dates are listed; by default yesterday's and today's. A gzip file is one task.
     """
     end = end or dt.date.today()
     start = start or end - dt.timedelta(days=1)
     days = ",".join(str(start + dt.timedelta(days=i)) for i in range((end - start).days + 1))
-    return bronze_columns(spark.read.schema(schemas.BRONZE).json(f"{root}/{domain}/{{{days}}}/*.jsonl.gz"))
+    where = f"site={domain}/date={{{days}}}/*.json.gz" if named else f"{domain}/{{{days}}}/*.jsonl.gz"
+    return bronze_columns(spark.read.schema(schemas.BRONZE).json(f"{root}/{where}"))
 
 
 def bronze_columns(rows: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
-    return rows.select("*", F.regexp_extract(path, r"([^/]+)/\d{4}-\d{2}-\d{2}/[^/]+$", 1).alias("domain"), F.to_date(F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1)).alias("fetched_date"), path.alias("bronze_source_key"))
+    return rows.select("*", F.regexp_extract(path, r"([^/=]+)/(?:date=)?\d{4}-\d{2}-\d{2}/[^/]+$", 1).alias("domain"), F.to_date(F.regexp_extract(path, r"[/=](\d{4}-\d{2}-\d{2})/[^/]+$", 1)).alias("fetched_date"), path.alias("bronze_source_key"))
 
 
 def sitemap_urls(documents: DataFrame, xml_col: str = "xml", since: str | None = None) -> DataFrame:

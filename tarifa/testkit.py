@@ -17,7 +17,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line.join(part, F.col("l_partkey") == F.col("p_partkey")).join(sites, F.col("l_suppkey") == F.col("s_suppkey"))
     c = F.col
     return rows.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("scraped_url_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(c("l_extendedprice") * 100).cast("long")).alias("scraped_url_id"),
         c("n_nationkey").cast("string").alias("site_id"),
         F.concat(F.lit("https://"), c("domain"), F.lit("/p/"), c("l_partkey")).alias("url"),
         c("p_name").alias("raw_name"),
@@ -47,7 +47,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LISTINGS = """
-    SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS scraped_url_id, CAST(n_nationkey AS VARCHAR) AS site_id,
+    SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS scraped_url_id, CAST(n_nationkey AS VARCHAR) AS site_id,
            'https://' || lower(n_name) || '/p/' || CAST(l_partkey AS VARCHAR) AS url, p_name AS raw_name,
            CASE WHEN p_size % 5 = 0 THEN '' ELSE p_brand END AS raw_brand,
            CASE WHEN p_size % 7 <> 0 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END AS raw_price,
