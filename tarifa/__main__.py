@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarifa import queries, schemas
 from tarifa.operators import matching
-from tarifa.operators.upsert import SnapshotTable
+from tarifa.operators.upsert import SnapshotSet
 from tarifa.plans import nightly, report
 from tarifa.session import session
 from tarifa.sources import readers
@@ -43,14 +43,15 @@ def main(argv: list[str] | None = None) -> None:
         with open(args.out, "w", encoding="utf-8") as f:
             f.write(report.build(readers.listings(spark, args.listings)))
     else:
-        tables = {n: SnapshotTable(spark, f"{args.catalogue}/{n}") for n in ("masters", "offers", "log")}
+        stored = SnapshotSet(spark, args.catalogue)
+        tables = stored.read()
         ddl = {"masters": schemas.MASTER, "offers": schemas.SITE_PRODUCT, "log": schemas.PRICE_LOG}
-        known = nightly.Catalogue(**{n: t.read() if t.current() else spark.createDataFrame([], ddl[n]) for n, t in tables.items()})
-        after, matches = nightly.resolve(readers.listings(spark, args.listings, args.domain, args.date), known, F.current_timestamp())
-        matching.run_stats(matches).show()
+        known = nightly.Catalogue(**{n: tables[n] if n in tables else spark.createDataFrame([], s) for n, s in ddl.items()})
+        good, faulty = nightly.checked(readers.listings(spark, args.listings, args.domain, args.date))
+        after, matches = nightly.resolve(good, known, F.current_timestamp())
+        matching.run_stats(matches, faulty).show()
         if not args.dry_run:
-            for n, t in tables.items():
-                t.write(getattr(after, n))
+            stored.write({n: getattr(after, n) for n in ddl})
 
 
 if __name__ == "__main__":

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.functions import prices, text
+from tarifa.functions import prices, selectors, text
+from tarifa.session import written
 
 SCRIPT = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
 META = r"(?is)<meta\s[^>]*>"
@@ -145,10 +146,23 @@ def first_text(html: Column, tag: str, cls: str | None = None) -> Column:
     return text.text_or_null(F.trim(F.regexp_replace(unescape(F.regexp_replace(inner, r"(?s)<[^>]*>", " ")), r"\s+", " ")))
 
 
-def css(html: Column) -> Column:
-    """Struct of FIELDS from the h1 and the usual price elements; null if there is neither."""
-    price = F.coalesce(first_text(html, "span", "price"), first_text(html, "div", "price"), first_text(html, "p", "price"))
-    own = {"raw_name": first_text(html, "h1"), "raw_price_str": price}
+# Where a price is usually found.
+PRICE_SELECTOR = ".product-prices .price, .current-price .price, span.price"
+
+
+def css(html: Column, site: Column | None = None, sites: dict[str, dict[str, str]] | None = None) -> Column:
+    """Struct of FIELDS from the h1 and the usual price elements; null if there is neither.
+
+    ``sites`` has selectors of its own for a site's fields of text; they come first. Only pages
+    with a class that names a price, or of such a site, are parsed outside the JVM.
+    """
+    site = F.lit(None).cast("string") if site is None else site
+    asked = html.rlike(r"(?i)class\s*=[^>]*price") | F.coalesce(site.isin(*(sites or {"": {}})), F.lit(False))
+    own_fields = selectors.first(F.when(asked, html), site, {"raw_price_str": PRICE_SELECTOR}, sites)
+    price = F.coalesce(own_fields["raw_price_str"], first_text(html, "div", "price"), first_text(html, "p", "price"))
+    told = {n for fields in (sites or {}).values() for n in fields}
+    own = {n: own_fields[n].try_cast(FIELDS[n]) for n in sorted(told)} | {"raw_price_str": price}
+    own["raw_name"] = F.coalesce(own_fields["raw_name"], first_text(html, "h1")) if "raw_name" in told else first_text(html, "h1")
     found = F.struct(*[own.get(k, F.lit(None).cast(kind)).alias(k) for k, kind in FIELDS.items()])
     return F.when(own["raw_name"].isNotNull() | price.isNotNull(), found)
 
@@ -156,11 +170,15 @@ def css(html: Column) -> Column:
 METHODS = (("json_ld", json_ld), ("og_meta", open_graph), ("css_selectors", css))
 
 
-def listing_fields(pages: DataFrame, html_col: str = "html", default_currency: str = "MAD") -> DataFrame:
-    """The pages with FIELDS merged, raw_price, extraction_method and parse_errors (JSON, '[]' if none)."""
+def listing_fields(pages: DataFrame, html_col: str = "html", default_currency: str = "MAD", sites: dict[str, dict[str, str]] | None = None, site_col: str = "domain") -> DataFrame:
+    """The pages with FIELDS merged, raw_price, extraction_method and parse_errors (JSON, '[]' if none).
+
+    ``sites``: selectors of fields by site, the value of ``site_col``.
+    """
     out = pages
     for name, method in METHODS:
-        out = out.withColumn(f"_{name}", method(F.col(html_col)))
+        made = method(F.col(html_col)) if method is not css or sites is None else css(F.col(html_col), F.col(site_col), sites)
+        out = out.withColumn(f"_{name}", made)
     merged = [F.coalesce(*[F.col(f"_{name}.{k}") for name, _ in METHODS]).alias(k) for k in FIELDS]
     used = F.array_compact(F.array(*[F.when(F.col(f"_{name}").isNotNull(), F.lit(name)) for name, _ in METHODS]))
     # the label names each method that found something; css alone is used where the others found nothing
@@ -179,6 +197,27 @@ def entity_urls(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return found.select(_first(F.col("v"), "$.url", '$["@id"]').alias("url")).where("url is not null").distinct()
 
 
+def category_pages(pages: DataFrame, seeds: list[str], product: str = "a@href", following: str = "a.next@href", most: int = 200, prefix: str | None = None, html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """Distinct absolute ``url``s of products that the captured pages of categories link to.
+
+    A category is its seed and the pages after it, by the first link of ``following``, ``most`` pages at most.
+    Each page is parsed once; only URLs take part in the joins of the walk, one a page number.
+    """
+    full = (lambda h, base: F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(prefix.rstrip("/")), h))) if prefix else text.absolute_url
+    after = selectors.first(F.col(html_col), F.lit(None).cast("string"), {"next": following})["next"]
+    read = pages.select(F.col(url_col).alias("at"), selectors.every(F.col(html_col), product).alias("hrefs"), after.alias("next"))
+    read = written(read.select("at", "hrefs", full(F.col("next"), F.col("at")).alias("next")), "category-pages")
+    level = seen = written(pages.sparkSession.createDataFrame([(s,) for s in seeds], "at string").distinct(), "category-walk")
+    for _ in range(1, most):
+        level = read.join(level, "at", "left_semi").select(F.col("next").alias("at")).where("at is not null").distinct().join(seen, "at", "left_anti")
+        level = written(level, "category-walk")
+        if level.isEmpty():
+            break
+        seen = seen.unionByName(level)
+    found = read.join(seen, "at", "left_semi").select("at", F.explode("hrefs").alias("href"))
+    return found.select(full(F.col("href"), F.col("at")).alias("url")).distinct()
+
+
 def links(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
     """Distinct absolute ``url``s to which pages link."""
     found = pages.select(url_col, F.explode(F.regexp_extract_all(html_col, F.lit(LINK), F.lit(1))).alias("href"))

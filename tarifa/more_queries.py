@@ -257,6 +257,34 @@ def _(spark, sf_dir):
     return out.select("p_partkey", "raw_name", "raw_brand", "raw_price", "extraction_method", F.size(F.from_json("parse_errors", "array<string>")).alias("errors"))
 
 
+@query("site_selectors", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE p_name END AS raw_name, CASE WHEN p_size % 2 = 0 THEN CAST(p_size + 0.25 AS DOUBLE) ELSE CAST(p_size + 0.5 AS DOUBLE) END AS raw_price, 'css_selectors' AS extraction_method FROM part")
+def _(spark, sf_dir):
+    """Pages with another product's price first; the sites of even sizes have selectors of their own."""
+    size = c("p_size").cast("string")
+    html = F.concat(F.lit('<b class="price">1,00</b><h1>'), "p_name", F.lit("</h1><h2 id='maker'>"), "p_brand", F.lit('</h2><div class="product-prices"><p><i class="price">'), size, F.lit('.5 DH</i></p></div><em data-price="'), size, F.lit('.25"></em>'))
+    pages = table(spark, sf_dir, "part").select("p_partkey", F.when(c("p_size") % 2 == 0, "even").alias("domain"), html.alias("html"))
+    sites = {"even": {"raw_name": "#maker", "raw_price_str": "em[data-price]@data-price"}}
+    return extract.listing_fields(pages, sites=sites).select("p_partkey", "raw_name", "raw_price", "extraction_method")
+
+
+@query("category_walk", "SELECT 'http://s/p/' || p_partkey AS url FROM part WHERE p_size <= 10")
+def _(spark, sf_dir):
+    """A category of 50 pages, a size each, of which the first ten are walked."""
+    number = F.col("id").cast("int")
+    items = table(spark, sf_dir, "part").groupBy("p_size").agg(F.array_join(F.collect_list(F.concat(F.lit('<li><a class="item" href="/p/'), "p_partkey", F.lit('">x</a></li>'))), "").alias("items"))
+    pages = spark.range(1, 51).join(items, c("p_size") == number, "left")
+    html = F.concat(F.lit('<a href="/about">a</a><ul class="list">'), F.coalesce("items", F.lit("")), F.lit('</ul><a class="next" href="/c?page='), number + 1, F.lit('">'))
+    return discovery.category(pages.select(F.concat(F.lit("http://s/c?page="), number).alias("url"), html.alias("html")), {"category_urls": ["http://s/c?page=1"], "product_selector": ".list a.item", "max_pages": 10})
+
+
+@query("numbered_sitemaps", "SELECT 'http://s/p/' || p_partkey AS url FROM part WHERE p_size < (SELECT least(31, min(n)) FROM range(1, 52) t(n) WHERE n NOT IN (SELECT p_size FROM part WHERE p_size <> 21))")
+def _(spark, sf_dir):
+    """Sitemaps of parts by size; that of size 21 is empty, so those behind it are not read."""
+    parts = table(spark, sf_dir, "part").groupBy("p_size").agg(F.array_join(F.collect_list(F.when(c("p_size") != 21, F.concat(F.lit("<url><loc>http://s/p/"), "p_partkey", F.lit("</loc></url>")))), "").alias("urls"))
+    documents = parts.select(F.concat(F.lit("http://s/"), "p_size", F.lit(".xml")).alias("url"), F.concat(F.lit("<urlset>"), "urls", F.lit("</urlset>")).alias("xml"))
+    return readers.sitemap_urls(readers.numbered_sitemaps(documents, "http://s/{}.xml", most=30)).select(c("loc").alias("url"))
+
+
 @query("text_helpers", """SELECT p_partkey, 'postgres://user:***@db' AS dsn, CASE WHEN length(p_name) > 10 THEN substr(p_name, 1, 10) || '…' ELSE p_name END AS clipped, p_name || p_type AS clean,
     CASE p_size % 3 WHEN 0 THEN 'Comprimé' WHEN 1 THEN 'Sirop' ELSE 'ZZ' END AS form, p_name || '|b' AS listed, CAST(CAST(p_retailprice AS DECIMAL(12,2)) * p_size AS DOUBLE) AS total, p_size AS number, md5(p_name) AS digest,
     CASE WHEN p_size % 2 = 0 THEN lpad(CAST(p_partkey AS VARCHAR), 13, '0') END AS ean_inside, p_name AS title, p_size % 3 <> 0 AS available FROM part""")

@@ -17,14 +17,16 @@ and two known brands must be equal. Ties go to the product that comes first by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarifa.functions import similarity, text
 from tarifa.session import written
@@ -294,9 +296,38 @@ def new_products(listings: DataFrame, matches: DataFrame, row_id: str = "scraped
     return rows.select("row_id", F.md5(key).alias("master_id"))
 
 
-def run_stats(matches: DataFrame) -> DataFrame:
-    """Listings by tier, and how many are new or to be reviewed."""
-    return matches.groupBy("tier").agg(F.count("*").alias("listings"), F.count_if("is_new").alias("new"), F.count_if("needs_review").alias("review")).orderBy("tier")
+def run_stats(matches: DataFrame, faulty: DataFrame | None = None) -> DataFrame:
+    """Listings by tier, and how many are new or to be reviewed; with ``faulty`` rows also ``errors``, in a row without a tier."""
+    stats = matches.groupBy("tier").agg(F.count("*").alias("listings"), F.count_if("is_new").alias("new"), F.count_if("needs_review").alias("review"))
+    if faulty is not None:
+        zero = F.lit(0).cast("long")
+        errors = faulty.agg(F.count("*").alias("errors")).where("errors > 0").select(F.lit(None).cast("int").alias("tier"), *[zero.alias(c) for c in ("listings", "new", "review")], "errors")
+        stats = stats.withColumn("errors", zero).unionByName(errors)
+    return stats.orderBy("tier")
+
+
+def with_vectors(rows: DataFrame, encoder: Callable[[], Callable[[list[str]], np.ndarray]], text_column: Column, column: str = "name_embedding", batch: int = 256) -> DataFrame:
+    """The rows with unit vectors of a text in ``column``, for the vector tiers; null for a text that is null or empty.
+
+    ``encoder`` loads the model, once for each Python worker's task, and gives a function from texts to
+    a matrix. It must be importable on executors or picklable.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def encoded(pieces: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = encoder()
+        for s in pieces:
+            out = pd.Series([None] * len(s), index=s.index, dtype=object)
+            known = [i for i, t in zip(s.index, s, strict=True) if t]
+            for k in range(0, len(known), batch):
+                some = known[k : k + batch]
+                matrix = np.asarray(encode(s.loc[some].tolist()), np.float32)
+                matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), np.float32(1e-12))
+                for i, v in zip(some, matrix, strict=True):
+                    out.at[i] = v
+            yield out
+
+    return rows.withColumn(column, encoded(text_column))
 
 
 def match_wholesale(supplier_products: DataFrame, masters: DataFrame, least: float = 75.0, sure: float = 0.95) -> DataFrame:

@@ -70,5 +70,34 @@ class SnapshotTable:
     def write(self, rows: DataFrame) -> None:
         name = f"snapshot-{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
-        at = self.spark.sql("select date_format(current_timestamp(), 'yyyyMMddHHmmssSSSSSS')").first()[0]
-        self.spark.createDataFrame([(f"{at} {name}",)], "value string").coalesce(1).write.mode("append").text(f"{self.path}/pointers")
+        _point(self.spark, self.path, name)
+
+
+def _point(spark: SparkSession, path: str, name: str) -> None:
+    at = spark.sql("select date_format(current_timestamp(), 'yyyyMMddHHmmssSSSSSS')").first()[0]
+    spark.createDataFrame([(f"{at} {name}",)], "value string").coalesce(1).write.mode("append").text(f"{path}/pointers")
+
+
+class SnapshotSet:
+    """Parquet tables that change together: a write stores all of them in one new folder, then one pointer names it.
+
+    Readers see all tables before a run or all after it, also where a run fails between two tables.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.of = SnapshotTable(spark, path)
+
+    def read(self) -> dict[str, DataFrame]:
+        """Tables by name; none before the first write."""
+        name = self.of.current()
+        if name is None:
+            return {}
+        folder = f"{self.of.path}/{name}"
+        return {r.value: self.of.spark.read.parquet(f"{folder}/{r.value}") for r in self.of.spark.read.text(f"{folder}/tables").collect()}
+
+    def write(self, tables: dict[str, DataFrame]) -> None:
+        name = f"snapshot-{uuid.uuid4().hex}"
+        for n, rows in tables.items():
+            rows.write.option("compression", "zstd").parquet(f"{self.of.path}/{name}/{n}")
+        self.of.spark.createDataFrame([(n,) for n in tables], "value string").coalesce(1).write.text(f"{self.of.path}/{name}/tables")
+        _point(self.of.spark, self.of.path, name)

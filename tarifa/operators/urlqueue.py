@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,3 +102,14 @@ def proxy_reset(proxies: DataFrame, where: Column) -> DataFrame:
 def unfinished(queue: DataFrame) -> int:
     """URLs still to come; a run polls it."""
     return queue.where(F.col("status").isin("pending", "in_progress")).count()
+
+
+def wait(read: Callable[[], DataFrame], timeout: float = 6 * 3600, poll: float = 60, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> dict[str, int] | None:
+    """URLs by status once none waits or is under way; null after ``timeout`` seconds. ``read`` gives the queue as it is now."""
+    end = clock() + timeout
+    while clock() < end:
+        counts = {r.status: r["count"] for r in read().groupBy("status").count().collect()}  # as many rows as statuses
+        if not counts.get("pending") and not counts.get("in_progress"):
+            return counts
+        sleep(poll)
+    return None

@@ -28,6 +28,15 @@ def listings_from(records: DataFrame, default_currency: str = "MAD") -> DataFram
     return with_columns_of(rows.withColumns(as_text), schemas.LISTING)
 
 
+def checked(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Listings that a run can take, and the others with an ``error``: one bad row never fails a run."""
+    price = F.col("raw_price")
+    error = F.when(F.coalesce(F.col("url"), F.lit("")) == "", "no url").when(F.coalesce(F.col("domain"), F.lit("")) == "", "no domain")
+    error = error.when(F.isnan(price) | (F.abs(price) == float("inf")), "price is no number")
+    rows = listings.withColumn("error", error)
+    return rows.where("error is null").drop("error"), rows.where("error is not null")
+
+
 def known_by_url(listings: DataFrame, offers: DataFrame, row_id: str = "scraped_url_id") -> DataFrame:
     """Matches (tier 0) of listings whose page is an offer already: it is the product that it was."""
     own = offers.select(F.col("product_url").alias("url"), "master_id", "match_confidence").dropDuplicates(["url"])

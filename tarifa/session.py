@@ -56,11 +56,13 @@ def table(spark: SparkSession, sf_dir: str, name: str):
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the setting is missing (tests on one machine) a temporary folder is
-    made and kept for the rest of the session.
+    Where the setting is missing a temporary folder is made and kept for the rest of
+    the session, on one machine only: on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tarifa.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tarifa-")
         spark.conf.set("tarifa.shared.dir", found)
     return found.rstrip("/")

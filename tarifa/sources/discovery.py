@@ -39,8 +39,15 @@ def sitemap(documents: DataFrame, options: dict) -> DataFrame:
 
 @strategy("category")
 def category(documents: DataFrame, options: dict) -> DataFrame:
-    """Links of captured listing pages whose URL has one of the ``categories`` in it."""
+    """Links of captured listing pages whose URL has one of the ``categories`` in it.
+
+    With ``category_urls`` these are walked page by page in place of that: ``product_selector``,
+    ``next_page_selector``, ``max_pages`` and ``url_prefix`` say how.
+    """
     pages = documents.where("html is not null")
+    if "category_urls" in options:
+        selector = lambda name, otherwise: options.get(name, otherwise) + "@href"
+        return extract.category_pages(pages, options["category_urls"], selector("product_selector", "a"), selector("next_page_selector", "a.next"), options.get("max_pages", 200), options.get("url_prefix"))
     return extract.links(readers.matching(pages, options.get("categories", [])))
 
 

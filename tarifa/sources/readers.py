@@ -103,6 +103,21 @@ def sitemap_pages(documents: DataFrame, roots: list[str], url_col: str = "url",
     return (urls.where(F.col("url").rlike(page)) if page else urls).distinct()
 
 
+def numbered_sitemaps(documents: DataFrame, template: str, most: int = 50, url_col: str = "url", xml_col: str = "xml") -> DataFrame:
+    """The captured sitemaps ``template.format(1)``, 2, …, up to the first that is missing or has no entry."""
+    numbers = documents.sparkSession.createDataFrame([(n, template.format(n)) for n in range(1, most + 1)], "number int, at string")
+    filled = documents.where(F.col(xml_col).rlike("(?i)<url[ >]")).select(F.col(url_col).alias("at")).distinct()
+    stop = numbers.join(filled, "at", "left_anti").agg(F.coalesce(F.min("number"), F.lit(most + 1))).first()[0]
+    return documents.join(numbers.where(F.col("number") < stop).select(F.col("at").alias(url_col)), url_col, "left_semi")
+
+
+def listings_path(spark: SparkSession, root: str) -> None:
+    """Name the root of the listings for SQL: ``listings_path`` is a variable of the session, and a query reads
+    ``IDENTIFIER('parquet.`' || listings_path || '`')``. Another root is another call; no query changes."""
+    spark.sql("DECLARE OR REPLACE VARIABLE listings_path STRING")
+    spark.sql("SET VAR listings_path = :root", args={"root": root})
+
+
 def hybrid(sitemap: DataFrame, category: DataFrame) -> DataFrame:
     """Pages of the sitemap, and those of category pages that it lacks."""
     return sitemap.select("url").unionByName(category.select("url").distinct().join(sitemap.select("url"), "url", "left_anti"))

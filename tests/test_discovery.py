@@ -34,6 +34,37 @@ def test_strategies_and_isolation(spark):
     assert set(errors) == {"d"}
 
 
+def test_category_walk(spark):
+    rows = [
+        ("http://a/c", '<div class="list"><a class="p" href="/p/1">x</a></div><a href="/about">y</a><a class="next btn" href="/c?page=2">'),
+        ("http://a/c?page=2", '<div class="list"><p><a class="p" href="http://z/p/2">x</a><a class="p" href="/p/1"></p></div><a class="next" href="/c?page=3">'),
+        ("http://a/c?page=3", '<div class="list"><a class="p" href="/p/3"></div><a class="next" href="/c">'),
+        ("http://a/other", '<div class="list"><a class="p" href="/p/9"></div>'),
+        ("http://a/none", None),
+    ]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    walk = lambda **o: sorted(r.url for r in discovery.category(pages, {"category_urls": ["http://a/c"], "product_selector": ".list a.p"} | o).collect())
+    assert walk() == ["http://a/p/1", "http://a/p/3", "http://z/p/2"]
+    assert walk(max_pages=2) == ["http://a/p/1", "http://z/p/2"] and walk(max_pages=1) == ["http://a/p/1"]
+    assert walk(max_pages=1, url_prefix="http://k/") == ["http://k/p/1"]
+    assert walk(category_urls=["http://a/gone"]) == []
+
+
+def test_numbered_sitemaps(spark):
+    one = "<urlset><url><loc>http://a/%d</loc></url></urlset>"
+    docs = spark.createDataFrame([("http://a/1.xml", one % 1), ("http://a/2.xml", one % 2), ("http://a/3.xml", "<urlset></urlset>"), ("http://a/4.xml", one % 4), ("http://b/1.xml", one % 9)], "url string, xml string")
+    urls = lambda **o: sorted(r.url for r in readers.numbered_sitemaps(docs, "http://a/{}.xml", **o).collect())
+    assert urls() == ["http://a/1.xml", "http://a/2.xml"] and urls(most=1) == ["http://a/1.xml"]
+    assert readers.numbered_sitemaps(docs, "http://c/{}.xml").count() == 0
+
+
+def test_path_of_the_listings(spark, tmp_path):
+    for n in (2, 3):
+        spark.range(n).write.parquet(f"{tmp_path}/{n}")
+        readers.listings_path(spark, f"{tmp_path}/{n}")
+        assert spark.sql("SELECT count(*) AS n FROM IDENTIFIER('parquet.`' || listings_path || '`')").first().n == n
+
+
 def test_gzip_by_content(spark, tmp_path):
     (tmp_path / "a.xml").write_bytes(gzip.compress(b"<x/>"))
     (tmp_path / "b.gz.xml").write_bytes(b"<y/>")
@@ -54,10 +85,8 @@ def test_command_line(spark, tmp_path, capsys):
     writers.write_listings(rows, f"{tmp_path}/l")
     for _ in range(2):
         cli.main(["resolve", f"{tmp_path}/l", f"file://{tmp_path}/c"])
-    from tarifa.operators.upsert import SnapshotTable
+    from tarifa.operators.upsert import SnapshotSet
 
-    assert SnapshotTable(spark, f"file://{tmp_path}/c/masters").read().count() == 1
-    assert SnapshotTable(spark, f"file://{tmp_path}/c/offers").read().count() == 1
-    assert SnapshotTable(spark, f"file://{tmp_path}/c/log").read().count() == 2
+    assert {n: t.count() for n, t in SnapshotSet(spark, f"file://{tmp_path}/c").read().items()} == {"masters": 1, "offers": 1, "log": 2}
     cli.main(["report", f"{tmp_path}/l", f"{tmp_path}/r.html"])
     assert "Gel Doux" in (tmp_path / "r.html").read_text() and dt.date.today()

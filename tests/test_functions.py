@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tarifa.functions import extract, prices, similarity, text
+from tarifa.functions import extract, prices, selectors, similarity, text
 
 
 def one(spark, column, **values):
@@ -16,7 +16,7 @@ def one(spark, column, **values):
 @pytest.mark.parametrize("native", [True, False])
 @pytest.mark.parametrize(
     "name,want",
-    [("ISDIN Fotoprotector", "fotoprotector isdin"), ("Gel Moussant CeraVe 200 ml", "200ml cerave gel moussant"), ("CeraVe Gel Moussant 200ml", "200ml cerave gel moussant"), ("", ""), (None, ""), ("Crème d'été pour l'eau", "creme eau ete"), ("200 gel", "200gel"), ("a b", "")],
+    [("Velin Baume", "baume velin"), ("Savon Orage Nacre 75 ml", "75ml nacre orage savon"), ("Nacre Savon Orage 75ml", "75ml nacre orage savon"), ("", ""), (None, ""), ("Forêt d'hiver pour l'âtre", "atre foret hiver"), ("200 gel", "200gel"), ("a b", "")],
 )
 def test_normalise_name(spark, name, want, native):
     assert one(spark, text.normalise_name(F.col("n"), native), n=name) == want
@@ -35,9 +35,9 @@ def test_extract_volume(spark, name, want):
 
 def test_fingerprint(spark):
     fp = lambda b, n: one(spark, text.fingerprint(F.col("b"), F.col("n")), b=b, n=n)
-    assert fp("ISDIN", "ISDIN Fotoprotector 200 ml") == "isdin_200ml_fotoprotector"
-    assert fp("ISDIN", "ISDIN Gel 200ml") != fp("ISDIN", "ISDIN Fotoprotector 200ml")
-    assert fp("", "Gel 200ml") is None and fp("ISDIN", "Gel") is None and fp("ISDIN", "ISDIN 200ml") is None
+    assert fp("VELIN", "VELIN Crépuscule 75 ml") == "velin_75ml_crepuscule"
+    assert fp("VELIN", "VELIN Baume 75ml") != fp("VELIN", "VELIN Crépuscule 75ml")
+    assert fp("", "Baume 75ml") is None and fp("VELIN", "Baume") is None and fp("VELIN", "VELIN 75ml") is None
 
 
 @pytest.mark.parametrize("raw,default,price,currency", [("270.00", "MAD", 270.0, "MAD"), ("189", "EUR", 189.0, "EUR"), ("270,00", "MAD", 270.0, "MAD"), ("270 MAD", "EUR", 270.0, "MAD"), ("270 د.م.", "EUR", 270.0, "MAD"), ("189 DH", "EUR", 189.0, "MAD"), ("1,299.00", "EUR", 1299.0, "EUR"), ("€99", "MAD", 99.0, "EUR"), ("", "MAD", None, "MAD"), ("N/A", "EUR", None, "EUR"), (None, "EUR", None, "EUR")])
@@ -53,9 +53,10 @@ def test_availability(spark, body, want):
 
 def test_descriptions(spark):
     clean = lambda t: one(spark, text.clean_description(F.col("t")), t=t)
-    assert clean("Commandez ISDIN Fotoprotector SPF50 à seulement 270 د.م. chez Parachezvous.ma. Livraison rapide partout au Maroc. Produits 100% original.") == ""
-    assert clean("Great product. Livraison gratuite disponible partout au Maroc.") == "Great product."
-    assert clean("Photoprotection faciale quotidienne SPF 50 à base d'eau.") == "Photoprotection faciale quotidienne SPF 50 à base d'eau."
+    assert clean("Commandez Baume Velin 12 à seulement 41,50 MAD chez Boutique-x.ma. Livraison en deux jours. Produit 100 % original.") == ""
+    assert clean("Commandez ceci\nà seulement 9 DH chez Y") == ""
+    assert clean("Sent la mousse. LIVRAISON le mardi seulement.") == "Sent la mousse."
+    assert clean("Un voile léger, sans savon.") == "Un voile léger, sans savon."
     assert clean("") == "" and len(clean("x" * 3000)) == 2000
 
 
@@ -112,14 +113,36 @@ def test_json_ld(spark):
 
 
 def test_open_graph(spark):
-    head = "".join(f'<meta property="{k}" content="{v}">' for k, v in {"og:title": "EUCERIN Gel 200ml - Côté Para : Site", "product:brand": "EUCERIN", "product:price:amount": "189", "product:price:currency": "MAD", "product:availability": "instock", "product:retailer_item_id": "4006000099422", "og:image": "https://i/x.png", "og:description": "Gel."}.items())
-    r = fields(spark, head + '<meta content="140 en stock" name="twitter:data2">')
-    assert (r.raw_name, r.raw_brand, r.raw_price, r.raw_currency, r.in_stock, r.raw_ean, r.raw_images, r.raw_description, r.raw_stock_qty) == ("EUCERIN Gel 200ml", "EUCERIN", 189.0, "MAD", True, "4006000099422", ["https://i/x.png"], "Gel.", 140)
+    head = "".join(f'<meta property="{k}" content="{v}">' for k, v in {"og:title": "VELIN Baume 75ml - Une boutique", "product:brand": "VELIN", "product:price:amount": "61", "product:price:currency": "MAD", "product:availability": "instock", "product:retailer_item_id": "4006000099422", "og:image": "https://i/x.png", "og:description": "Baume."}.items())
+    r = fields(spark, head + '<meta content="37 en stock" name="twitter:data2">')
+    assert (r.raw_name, r.raw_brand, r.raw_price, r.raw_currency, r.in_stock, r.raw_ean, r.raw_images, r.raw_description, r.raw_stock_qty) == ("VELIN Baume 75ml", "VELIN", 61.0, "MAD", True, "4006000099422", ["https://i/x.png"], "Baume.", 37)
     for word in ("outofstock", "out_of_stock", "unavailable"):
         assert fields(spark, f'<meta property="product:availability" content="{word}">').in_stock is False
     assert fields(spark, '<meta property="product:retailer_item_id" content="ABC123">').raw_ean is None
 
 
+def test_selectors():
+    page = '<div class="related"><b class=price>1</b></div><div class="product-prices x"><p><br><i>Was</i><span class="a price">\n 7,5 <u>DH</u></span></p></div><span class=price>3</span><meta property="m:p" content="9">'
+    first = lambda s: next(iter(selectors.values(page, [s])[0]), None)
+    assert first(".price") == "1" and first(extract.PRICE_SELECTOR) == "7,5 DH" and first(".current-price .price") is None
+    assert first("meta[property='m:p']@content") == "9" and first("div.related.price") is None and first("*[property]@content") == "9"
+    assert selectors.values(page, [".price", "u"], every=True) == [["1", "7,5 DH", "3"], ["DH"]]
+    assert selectors.values(None, ["a"]) == selectors.values("", ["a"]) == [[]]
+    assert selectors.values("<i>a</q> b</i>c", ["i"], every=True) == [["a b"]] and selectors.values("<p>open", ["p"]) == [["open"]]
+    assert len(selectors.values("<b>" * 20000 + "</q>" * 20000, ["i b"])) == 1
+    for bad in ("a > b", "a:first-child", ".price div["):
+        with pytest.raises(ValueError):
+            selectors.parsed(bad)
+
+
+def test_selectors_of_a_site(spark):
+    html = '<h1>Page</h1><h2 id="t">Own name</h2><div class="promo"><span class="price">5 DH</span></div><em data-p="12,50 DH"></em>'
+    pages = spark.createDataFrame([("a", html), ("b", html), (None, html), ("a", None)], "domain string, html string")
+    sites = {"a": {"raw_name": "#t", "raw_price_str": "em[data-p]@data-p", "raw_review_count": ".none"}}
+    got = [(r.raw_name, r.raw_price, r.extraction_method) for r in extract.listing_fields(pages, sites=sites).collect()]
+    assert got == [("Own name", 12.5, "css_selectors"), ("Page", 5.0, "css_selectors"), ("Page", 5.0, "css_selectors"), ("", None, "failed")]
+
+
 def test_css_and_links(spark):
     r = fields(spark, '<h1>A &amp; <b>b</b></h1><span class="big price">99,00 DH</span>')
     assert (r.raw_name, r.raw_price, r.extraction_method) == ("A & b", 99.0, "css_selectors")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tarifa import schemas, testkit
 from tarifa.functions import similarity
 from tarifa.operators import gold, matching, urlqueue, wholesale
-from tarifa.operators.upsert import SnapshotTable, insert_missing, last_of, upsert
+from tarifa.operators.upsert import SnapshotSet, SnapshotTable, insert_missing, last_of, upsert
 from tarifa.plans import nightly
 
 def now():
@@ -162,6 +162,48 @@ def test_snapshots(spark, tmp_path):
     assert t.read().count() == 5 and first.count() == 3
 
 
+def test_tables_that_change_together(spark, tmp_path):
+    stored = SnapshotSet(spark, f"file://{tmp_path}/c")
+    assert stored.read() == {}
+    stored.write({"a": spark.range(1), "b": spark.range(2)})
+    bad = spark.range(1).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        stored.write({"a": spark.range(5), "b": bad})
+    assert {n: t.count() for n, t in stored.read().items()} == {"a": 1, "b": 2}
+
+
+def test_faulty_rows_are_counted(spark):
+    rows = spark.createDataFrame([("1", "u", "d", 1.0), (None, "u2", "d", None), ("2", None, "d", 1.0), ("3", "u", "", 1.0), ("4", "u", "d", float("nan"))], "scraped_url_id string, url string, domain string, raw_price double")
+    good, faulty = nightly.checked(rows)
+    assert sorted(str(r.scraped_url_id) for r in good.collect()) == ["1", "None"]
+    assert sorted(r.error for r in faulty.collect()) == ["no domain", "no url", "price is no number"]
+    found = spark.createDataFrame([("1", 1, False, False), ("2", 6, True, False)], "row_id string, tier int, is_new boolean, needs_review boolean")
+    assert [tuple(r) for r in matching.run_stats(found, faulty).collect()] == [(None, 0, 0, 0, 3), (1, 1, 0, 0, 0), (6, 1, 1, 0, 0)]
+
+
+def test_waiting_for_the_queue(spark):
+    states = [["pending", "done"], ["in_progress", "done"], ["failed", "done"]]
+    at, left = [0.0], list(states)
+    read = lambda: spark.createDataFrame([(s,) for s in (left.pop(0) if len(left) > 1 else left[0])], "status string")
+    sleep = lambda s: at.__setitem__(0, at[0] + s)
+    assert urlqueue.wait(read, 600, 60, lambda: at[0], sleep) == {"failed": 1, "done": 1} and at[0] == 120
+    assert urlqueue.wait(lambda: spark.createDataFrame([("pending",)], "status string"), 100, 60, lambda: at[0], sleep) is None
+
+
+def test_an_injected_encoder_feeds_the_vector_tiers(spark):
+    def load():
+        words = {"mer": 0, "ocean": 0, "lune": 1}
+        return lambda texts: [[2.0 * sum(words.get(w) == i for w in t.lower().split()) + 0.001 for i in range(2)] for t in texts]
+
+    rows = spark.createDataFrame([("1", "s", "d", "Baume Ocean"), ("2", "s", "d", "Baume Lune"), ("3", "s", "d", "")], "scraped_url_id string, site_id string, domain string, raw_name string")
+    rows = matching.with_vectors(rows.selectExpr("*", "'' as raw_brand", "'' as raw_ean", "'' as raw_sku"), load, F.col("raw_name"))
+    vectors = [r.name_embedding for r in rows.collect()]
+    assert vectors[2] is None and all(abs(sum(x * x for x in v) - 1) < 1e-6 for v in vectors[:2])
+    known = spark.createDataFrame([("m", "Creme Mer", "", None, "active")], "id string, name string, brand string, ean string, status string")
+    got = {r.row_id: (r.tier, r.master_id) for r in matching.match(rows, matching.with_vectors(known, load, F.col("name"))).collect()}
+    assert got == {"1": (4, "m"), "2": (6, None), "3": (6, None)}
+
+
 def test_a_run_with_repeated_ids(spark):
     from tarifa.sources.readers import with_columns_of
 
