@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import bpe, chat, exact_dedup, html_text, mixing, quality, simhash, substrings, topk, url_rules
+from tarifa.llm import bpe, chat, exact_dedup, html_text, mixing, negatives, quality, simhash, substrings, topk, url_rules
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -60,6 +60,10 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_simhash": op2_simhash,
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES = {
@@ -98,4 +103,16 @@ ORACLES = {
               FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.n <> c.n),
         r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.n AS an, c.n, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+              FROM v a, v c WHERE a.vec_id % 100 = 0 AND a.n <> c.n),
+        p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY an ORDER BY score DESC, vec_id, n) AS r FROM s WHERE same) WHERE r <= 5),
+        m AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.an, p.n ORDER BY s.score DESC, s.vec_id, s.n) AS rank
+              FROM p JOIN s ON p.an = s.an AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 10""",
 }
