@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import bpe, chat, exact_dedup, html_text, mixing, negatives, quality, simhash, substrings, topk, url_rules
+from tarifa.llm import bpe, chat, exact_dedup, html_text, mixing, negatives, quality, simhash, substrings, superkmers, topk, url_rules
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -64,6 +64,10 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op13_substring_words(spark, sf_dir):
+    return superkmers.removed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_simhash": op2_simhash,
@@ -76,6 +80,7 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_substring_words": op13_substring_words,
 }
 
 ORACLES = {
@@ -115,4 +120,12 @@ ORACLES = {
                      row_number() OVER (PARTITION BY p.an, p.n ORDER BY s.score DESC, s.vec_id, s.n) AS rank
               FROM p JOIN s ON p.an = s.an AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
         SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 10""",
+    "op13_substring_words": r"""
+        WITH d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        p AS (SELECT n, coalesce(doc_id, 9223372036854775807) AS rank, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+        s AS (SELECT n, rank, i, w[i] AS word, CASE WHEN i + 49 <= len(w) THEN array_to_string(w[i:i + 49], ' ') END AS passage FROM p),
+        f AS (SELECT n, i, word, passage IS NOT NULL AND rank > min(rank) OVER (PARTITION BY passage) AS again FROM s),
+        c AS (SELECT n, i, word, bool_or(again) OVER (PARTITION BY n ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
+        r AS (SELECT n, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM c GROUP BY n)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (n)""",
 }
