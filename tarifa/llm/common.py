@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,13 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20
         trim()
 
 
+def numbered(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each word, the same for equal ones, and the words by number; ``data`` has the words' bytes without a gap."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    found = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), found.dictionary
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

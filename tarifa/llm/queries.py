@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarifa.llm import bpe, chat, exact_dedup, html_text, mixing, negatives, quality, simhash, substrings, superkmers, topk, url_rules
+from tarifa.llm import bpe, chat, collocations, exact_dedup, html_text, mixing, negatives, quality, simhash, substrings, superkmers, topk, url_rules
 from tarifa.session import table
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -64,6 +64,10 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_substring_words(spark, sf_dir):
     return superkmers.removed(table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
     "op13_substring_words": op13_substring_words,
 }
 
@@ -120,6 +125,25 @@ ORACLES = {
                      row_number() OVER (PARTITION BY p.an, p.n ORDER BY s.score DESC, s.vec_id, s.n) AS rank
               FROM p JOIN s ON p.an = s.an AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
         SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 10""",
+    "op12_collocations": r"""
+        WITH p AS (SELECT row_number() OVER () AS p, lang, piece FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        w AS (SELECT p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+                SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 30),
+        cuts AS (SELECT lang, phrase, k, a, w, unnest(range(1, k)) AS cut FROM c),
+        s AS (SELECT c.lang, c.phrase, c.k, c.a, c.cut, x.a AS l, y.a AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.a + y.a) AS BIGINT) AS score
+              FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        inner_ AS (SELECT lang, a AS longer, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (
+                SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k)),
+        covered AS (SELECT lang, phrase, max(longer) AS longer FROM inner_ GROUP BY ALL),
+        kept AS (SELECT b.* FROM b LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_substring_words": r"""
         WITH d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         p AS (SELECT n, coalesce(doc_id, 9223372036854775807) AS rank, w, unnest(range(1, len(w) + 1)) AS i FROM d),

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import as_bytes, by_bytes, partitions
+from tarifa.llm.common import as_bytes, by_bytes, numbered, partitions
 from tarifa.session import written
 
 WINDOW = 50
@@ -73,12 +73,10 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """A number for each word, the same for equal ones, and the words by number."""
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-    found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
-    return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """A number for each word, and the words by number."""
+    codes, found = numbered(data[~((data == 32) | ((data >= 9) & (data <= 13)))], ends - starts)
+    return codes, found.to_pylist()
 
 
 def minimisers(hashes: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
@@ -104,8 +102,8 @@ def super_kmers(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     none = np.zeros(0, np.int64)
     if len(starts) < WINDOW:
         return none, none, none, none
-    codes, distinct = numbered(data, starts, ends)
-    low = minimisers(np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct), np.uint64, len(distinct))[codes])
+    codes, different = distinct(data, starts, ends)
+    low = minimisers(np.fromiter((xxhash.xxh64_intdigest(w) for w in different), np.uint64, len(different))[codes])
     fits = np.flatnonzero(np.diff(first) >= WINDOW)
     change = np.zeros(len(low) + 1, np.int64)
     change[first[fits]] += 1
@@ -225,7 +223,7 @@ def _judged(doc: list[int], places: list[bytes], strings: list[bytes]) -> pa.Rec
     """Spans of words whose windows have an equal one in a smaller document of the block."""
     data, offsets = joined(strings)
     starts, ends, first = words(data, offsets)
-    rank = window_ranks(numbered(data, starts, ends)[0])
+    rank = window_ranks(distinct(data, starts, ends)[0])
     counts = np.diff(first) - WINDOW + 1
     row = np.repeat(np.arange(len(strings)), counts)
     inner = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
