@@ -315,16 +315,6 @@ def _(spark, sf_dir):
     return matching.by_sku(matching.prepared(rows), skus).select("row_id", "master_id", "tier")
 
 
-@query("match_vector_tiers", "SELECT CAST(vec_id AS VARCHAR) AS row_id, CASE WHEN s >= 0.9 THEN 4 ELSE 5 END AS tier, s < 0.9 AS needs_review FROM (SELECT a.vec_id, max(list_cosine_similarity(a.e, b.e)) AS s FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id GROUP BY 1) WHERE s >= 0.3", "v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)")
-def _(spark, sf_dir):
-    """The search's queries are the vectors with an id divisible by 50; each asks as a site that carries itself."""
-    v = table(spark, sf_dir, "embeddings").withColumn("id", c("vec_id").cast("string"))
-    rows = v.where("vec_id % 50 = 0").select(c("id").alias("row_id"), c("id").alias("domain"), F.lit("").alias("brand_norm"), c("embedding").alias("name_embedding"))
-    index = v.select(c("id").alias("master_id"), F.struct("id").alias("place"), F.lit("").alias("m_brand"), c("embedding").alias("m_embedding"))
-    links = rows.select("domain", c("domain").alias("master_id"))
-    return matching.by_vector(rows, index, links, matching.Thresholds(review=0.3)).select("row_id", "tier", "needs_review")
-
-
 @query("run_stats", "SELECT tier, count(*) AS listings, count(*) FILTER (WHERE tier = 6) AS new, count(*) FILTER (WHERE tier = 5) AS review FROM (SELECT CASE WHEN raw_ean <> '' THEN 1 WHEN raw_brand = '' THEN 6 ELSE 5 END AS tier FROM l) GROUP BY tier", L)
 def _(spark, sf_dir):
     tier = F.when(c("raw_ean") != "", 1).when(c("raw_brand") == "", 6).otherwise(5)

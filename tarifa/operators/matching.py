@@ -19,16 +19,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarifa.functions import similarity, text
+from tarifa.operators import vector_index
 from tarifa.session import written
 
 
@@ -201,55 +200,19 @@ def by_similarity(rows: DataFrame, index: DataFrame, links: DataFrame | None, le
     return _result(own, 3, F.round(F.col("score") / 100, 4))
 
 
-def _unit(vectors: pa.Array) -> np.ndarray:
-    matrix = np.asarray(vectors.flatten()).astype(np.float64).reshape(len(vectors), -1)
-    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+def nearest(rows: DataFrame, index: DataFrame, links: DataFrame | None, least: float) -> DataFrame:
+    """(row_id, master_id, score) of the nearest product by cosine that the site lacks and whose brand fits, if it reaches ``least``.
 
-
-def _nearest(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            items, asked = batch.column("products")[i].values, batch.column("rows")[i].values
-            scores = _unit(asked.field("name_embedding")) @ _unit(items.field("m_embedding")).T
-            ids = np.array(items.field("master_id").to_pylist(), object)
-            mine, theirs = (np.array(c.to_pylist(), object) for c in (asked.field("brand_norm"), items.field("m_brand")))
-            fits = (mine[:, None] == "") | (theirs[None, :] == "") | (mine[:, None] == theirs[None, :])
-            has = batch.column("carried")[i].as_py()
-            if has:
-                fits &= ~np.isin(ids, np.array(has, object))[None, :]
-            scores[~fits | (scores < least)] = -np.inf
-            best = scores.argmax(axis=1)  # the first of equal ones: products are in order of place
-            rows = np.flatnonzero(np.isfinite(scores[np.arange(len(best)), best]))
-            own = asked.field("row_id").take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([own.cast(pa.string()), pa.array(ids[best[rows]], pa.string()), pa.array(scores[rows, best[rows]])], names=["row_id", "master_id", "score"])
-
-
-def nearest(rows: DataFrame, index: DataFrame, links: DataFrame | None, least: float, block_rows: int = 8192, part_rows: int = 1024) -> DataFrame:
-    """(row_id, master_id, score) of the nearest product by cosine that the site lacks and whose brand fits.
-
-    Blocks of about ``block_rows`` products meet parts of about ``part_rows`` rows of a site, one
-    matrix product each; what a site carries travels once for each block and part, and only that of the
-    block. The best of all blocks is a partial aggregate.
+    Products go to an inverted file; a row visits the lists that can hold a product of that score.
     """
     products = index.where("m_embedding is not null").select("master_id", "place", "m_brand", "m_embedding")
-    blocks = max(1, -(-products.count() // block_rows))
-    block = F.pmod(F.xxhash64("master_id"), F.lit(blocks))
-    own = rows.where("name_embedding is not null").select("row_id", "domain", "brand_norm", "name_embedding")
-    parts = max(1, -(-own.count() // part_rows))
-    ordered = F.array_sort(F.collect_list(F.struct("place", "master_id", "m_brand", "m_embedding")))
-    packed = products.withColumn("block", block).groupBy("block").agg(ordered.alias("products"))
-    asked = own.withColumn("part", F.pmod(F.xxhash64("row_id"), F.lit(parts))).groupBy("domain", "part").agg(F.collect_list(F.struct("row_id", "brand_norm", "name_embedding")).alias("rows"))
-    visits = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    if links is None:
-        visits = visits.withColumn("carried", F.array().cast("array<string>"))
-    else:
-        carried = links.select("domain", "master_id", block.alias("block")).groupBy("domain", "block").agg(F.collect_set("master_id").alias("carried"))
-        visits = visits.join(carried, ["domain", "block"], "left")
-    visits = visits.join(packed, "block").select("products", "rows", "carried", "block", "part", "domain").repartition("block", "part", "domain")
-    found = visits.select("products", "rows", "carried").mapInArrow(partial(_nearest, least=least), "row_id string, master_id string, score double")
-    found = found.join(products.select("master_id", "place"), "master_id")  # ties go by place
-    top = found.groupBy("row_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "place", "master_id")).alias("b"))
-    return top.select("row_id", F.col("b.master_id").alias("master_id"), (-F.col("b.s")).alias("score"))
+    sites = F.array().cast("array<string>")
+    if links is not None:
+        carried = links.groupBy("master_id").agg(F.collect_set("domain").alias("_sites"))
+        products, sites = products.join(carried, "master_id", "left"), F.col("_sites")
+    found = vector_index.build(products, None, "master_id", "m_embedding", F.col("place"), F.col("m_brand"), sites)
+    asked = vector_index.asked_of(rows, "row_id", "name_embedding", F.col("brand_norm"), F.col("domain"), least)
+    return vector_index.within(found, asked).select(F.col("query").alias("row_id"), F.col("id").alias("master_id"), "score")
 
 
 def by_vector(rows: DataFrame, index: DataFrame, links: DataFrame | None, t: Thresholds) -> DataFrame:

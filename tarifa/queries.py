@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tarifa import testkit as kit
 from tarifa.functions import extract, prices, similarity, text
-from tarifa.operators import gold, matching, urlqueue, wholesale
+from tarifa.operators import gold, matching, urlqueue, vector_index, wholesale
 from tarifa.plans import analytics, serve
-from tarifa.session import table
+from tarifa.session import table, written
 from tarifa.sources import readers
 from tarifa.streaming import rollup
 
@@ -391,14 +391,37 @@ def _(spark, sf_dir):
 VEC = "v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)"
 
 
-@query("match_vector_knn", "SELECT CAST(vec_id AS VARCHAR) AS row_id, round(s, 6) AS score FROM (SELECT a.vec_id, list_cosine_similarity(a.e, b.e) AS s, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.e, b.e) DESC) AS k FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id) WHERE k = 1 AND s >= 0.1", VEC)
-def _(spark, sf_dir):
-    """The search's queries are the vectors with an id divisible by 50; each asks as a site that carries itself."""
+NEAREST = VEC, "n AS (SELECT a.vec_id, b.vec_id AS other, list_cosine_similarity(a.e, b.e) AS s, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.e, b.e) DESC, CAST(b.vec_id AS VARCHAR)) AS k FROM v a JOIN v b ON a.vec_id % 50 = 0 AND (b.vec_id <> a.vec_id OR a.vec_id % 100 = 0))"
+
+
+def _vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The search's queries are the vectors with an id divisible by 50; each asks as a site of its own, and half of these carry the vector itself."""
     v = table(spark, sf_dir, "embeddings").withColumn("id", F.col("vec_id").cast("string"))
     rows = v.where("vec_id % 50 = 0").select(F.col("id").alias("row_id"), F.col("id").alias("domain"), F.lit("").alias("brand_norm"), F.col("embedding").alias("name_embedding"))
     index = v.select(F.col("id").alias("master_id"), F.struct("id").alias("place"), F.lit("").alias("m_brand"), F.col("embedding").alias("m_embedding"))
-    links = rows.select("domain", F.col("domain").alias("master_id"))
-    return matching.nearest(rows, index, links, 0.1).select("row_id", F.round("score", 6).alias("score"))
+    return rows, index, rows.where("cast(row_id as long) % 100 != 0").select("domain", F.col("domain").alias("master_id"))
+
+
+@query("match_vector_knn", "SELECT CAST(vec_id AS VARCHAR) AS row_id, CAST(other AS VARCHAR) AS master_id, round(s, 6) AS score FROM n WHERE k = 1 AND s >= 0.1", *NEAREST)
+def _(spark, sf_dir):
+    return matching.nearest(*_vectors(spark, sf_dir), 0.1).select("row_id", "master_id", F.round("score", 6).alias("score"))
+
+
+@query("match_vector_tiers", "SELECT CAST(vec_id AS VARCHAR) AS row_id, CAST(other AS VARCHAR) AS master_id, CASE WHEN s >= 0.9 THEN 4 ELSE 5 END AS tier, round(s, 4) AS confidence, s < 0.9 AS needs_review FROM n WHERE k = 1 AND s >= 0.3", *NEAREST)
+def _(spark, sf_dir):
+    return matching.by_vector(*_vectors(spark, sf_dir), matching.Thresholds(review=0.3))
+
+
+@query("vector_search", "SELECT CAST(vec_id AS VARCHAR) AS query, CAST(k AS INTEGER) AS rank, CAST(other AS VARCHAR) AS id, round(s, 6) AS score, true AS recalled FROM (SELECT a.vec_id, b.vec_id AS other, list_cosine_similarity(a.e, b.e) AS s, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.e, b.e) DESC, CAST(b.vec_id AS VARCHAR)) AS k FROM v a JOIN v b ON a.vec_id % 50 = 0) WHERE k <= 10", VEC)
+def _(spark, sf_dir):
+    """The ten nearest of each vector with an id divisible by 50, exactly, and whether the index finds nine tenths of them in the lists that it was told to probe."""
+    v = table(spark, sf_dir, "embeddings")
+    index = vector_index.build(v, id_col="vec_id", vector_col="embedding")
+    asked = vector_index.asked_of(v.where("vec_id % 50 = 0"), "vec_id", "embedding")
+    exact = written(vector_index.search(index, asked, 10, exact=True), "vector-exact")
+    probed = vector_index.search(index, asked, 10, probes=vector_index.probes_for(index, 0.95))
+    recall = exact.join(probed.select("query", "id", F.lit(1).alias("hit")), ["query", "id"], "left").agg(F.count("hit") / F.count("*")).first()[0]
+    return exact.select("query", "rank", "id", F.round("score", 6).alias("score"), F.lit(recall >= 0.9).alias("recalled"))
 
 
 @query("match_cascade")
