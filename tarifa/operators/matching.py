@@ -25,9 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tarifa.functions import similarity, text
-from tarifa.operators import vector_index
+from tarifa.operators import name_join, vector_index
 from tarifa.session import written
 
 
@@ -126,66 +127,44 @@ SUBSTRINGS = """explode(array_distinct(flatten(transform(sequence(0, d), i -> tr
     q -> concat_ws(':', len, i, substring(n, q + 1, cast(floor((i + 1) * len / (d + 1)) - floor(i * len / (d + 1)) as int))))))))"""
 
 
-LETTERS = "transform(split(n, ''), (c, i) -> concat(c, size(filter(slice(split(n, ''), 1, i + 1), x -> x = c))))"
-
-
-def _shared_letters(x: DataFrame, y: DataFrame, room: float, ratio: float) -> DataFrame:
-    """Pairs of names (n, l, len of x; n, l of y) with as many letters in common as ``room`` asks for.
-
-    Of a + b letters, (a + b) * (1 - room) / 2 are in a common subsequence, so that many numbered letters
-    (the second e of a name is another than its first) are shared. With letters in order of their rarity, one of those is then
-    among the first ones of either name, as many as may differ, plus one (prefix filter): an equi-join on
-    (length, numbered letter).
-    """
-    x, y = (frame.withColumn("bag", F.expr(LETTERS)) for frame in (x, y))
-    rare = y.select(F.explode("bag").alias("t")).groupBy("t").agg(F.count("*").alias("f"))  # as many rows as there are numbered letters
-    need = lambda a, b: F.ceil((a + b) * (1 - room) / 2 - 1e-9)
-
-    def first(frame: DataFrame, own: list[str], number: Column) -> DataFrame:
-        rows = frame.select(*own, "bag", F.explode("bag").alias("t")).join(rare, "t", "left")
-        rows = rows.groupBy(*own, "bag").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "t"))).alias("by"))
-        return rows.select(*own, "bag", F.explode(F.slice("by", 1, F.greatest(F.lit(1), number.cast("int")))).alias("k")).withColumn("k", F.col("k.t"))
-
-    own = first(x, ["n", "l", "len"], F.col("l") - need(F.col("l"), F.col("len")) + 1)
-    other = first(y, ["n", "l"], F.col("l") - need(F.col("l"), F.ceil(F.col("l") * ratio - 1e-9)) + 1)
-    other = other.select(F.col("n").alias("m_norm"), F.col("l").alias("len"), F.col("bag").alias("m_bag"), "k")
-    met = own.join(other, ["len", "k"]).select(F.col("n").alias("norm"), "m_norm", "l", "len", "bag", "m_bag").dropDuplicates(["norm", "m_norm"])
-    return met.where(F.size(F.array_intersect("bag", "m_bag")) >= need(F.col("l"), F.col("len"))).select("norm", "m_norm")
-
-
 def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """Distinct pairs (norm, m_norm) of names that can reach ``least``.
+    """Distinct pairs (norm, m_norm) of names that can reach ``least``; below 90 those that do.
 
     With a + b letters, at most d = (a + b) * (1 - least / 100) of them are inserted or
     deleted. A name cut into d + 1 segments then has one that is found whole in the
     other name, moved by no more than the edits allow: an equi-join on (length, number
     of segment, segment). For a low ``least`` segments would be single letters; then
-    names meet by the rarest of their letters.
+    names meet in cells (``name_join``).
     """
+    if least < 90:
+        return name_join.scored(left, right, least).select("norm", "m_norm")
     room = 1 - least / 100
     ratio = (1 - room) / (1 + room)  # of the lengths of two names that can reach it
     x = left.select(F.col("norm").alias("n")).distinct().withColumn("l", F.length("n"))
     y = right.select(F.col("m_norm").alias("n")).distinct().withColumn("l", F.length("n"))
-    partner = F.explode(F.sequence(F.ceil(F.col("l") * ratio - 1e-9).cast("int"), F.floor(F.col("l") / ratio + 1e-9).cast("int")))
-    x = x.withColumn("len", partner)
-    if least < 90:
-        pairs = _shared_letters(x, y, room, ratio)
-    else:
-        edits = lambda l: F.floor((l + F.floor(l / ratio + 1e-9)) * room + 1e-9).cast("int")  # noqa: E731, E741
-        x = x.withColumn("d", F.least(edits(F.col("len")), F.col("len") - 1)).where("abs(l - len) <= d or l = len")
-        y = y.withColumn("d", F.least(edits(F.col("l")), F.col("l") - 1))
-        keys = y.select(F.col("n").alias("m_norm"), F.expr(SEGMENTS).alias("k"))
-        pairs = x.select(F.col("n").alias("norm"), F.expr(SUBSTRINGS).alias("k")).join(keys, "k").drop("k")
+    x = x.withColumn("len", F.explode(F.sequence(F.ceil(F.col("l") * ratio - 1e-9).cast("int"), F.floor(F.col("l") / ratio + 1e-9).cast("int"))))
+    edits = lambda l: F.floor((l + F.floor(l / ratio + 1e-9)) * room + 1e-9).cast("int")  # noqa: E731, E741
+    x = x.withColumn("d", F.least(edits(F.col("len")), F.col("len") - 1)).where("abs(l - len) <= d or l = len")
+    y = y.withColumn("d", F.least(edits(F.col("l")), F.col("l") - 1))
+    keys = y.select(F.col("n").alias("m_norm"), F.expr(SEGMENTS).alias("k"))
+    pairs = x.select(F.col("n").alias("norm"), F.expr(SUBSTRINGS).alias("k")).join(keys, "k").drop("k")
     both = F.length("norm") + F.length("m_norm")
     return pairs.where(2 * F.least(F.length("norm"), F.length("m_norm")) >= both * (1 - room) - 1e-9).distinct()
 
 
+def scored_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(norm, m_norm, score) of the distinct pairs of names that reach ``least``."""
+    if least < 90:
+        return name_join.scored(left, right, least)
+    score = similarity.scorer(similarity.ratio)(F.col("norm"), F.col("m_norm"))
+    return similar_names(left, right, least).withColumn("score", score).where(F.col("score") >= least)
+
+
 def fuzzy_candidates(left: DataFrame, right: DataFrame, least: float, same_brand: bool = True) -> DataFrame:
     """Rows with the products whose names reach ``least``; names are scored once each."""
     a = left.select("row_id", "domain", "norm", "brand_norm").where("norm != ''")
     b = right.select("master_id", "place", "m_norm", "m_brand").where("m_norm != ''")
-    scored = similar_names(a, b, least).withColumn("score", similarity.scorer(similarity.ratio)(F.col("norm"), F.col("m_norm"))).where(F.col("score") >= least)
-    found = a.join(scored, "norm").join(b, "m_norm")
+    found = a.join(scored_names(a, b, least), "norm").join(b, "m_norm")
     return found.where(_same_brand()) if same_brand else found
 
 
@@ -222,41 +201,103 @@ def by_vector(rows: DataFrame, index: DataFrame, links: DataFrame | None, t: Thr
 
 
 def match(listings: DataFrame, masters: DataFrame, links: DataFrame | None = None, skus: DataFrame | None = None, thresholds: Thresholds = Thresholds(), row_id: str = "scraped_url_id") -> DataFrame:
-    """One row a listing, also where ids repeat: MATCH and ``is_new``. links: (domain, master_id) that exist already."""
+    """One row a listing, also where ids repeat: MATCH and ``is_new``. links: (domain, master_id) that exist already.
+
+    Identifiers are joined to the listings. The name tiers see each (name, brand, site) once, and their answers are joined back once.
+    """
     rows, index = with_own_keys(prepared(listings, row_id), "row_id", "match-rows"), written(indexed(masters), "match-index")
-    tiers = [lambda r: by_ean(r, index)]
+    by_key = rows.join(_last(index, "m_ean").select(F.col("m_ean").alias("ean"), F.col("master_id").alias("_ean")), "ean", "left")
+    sku = F.lit(None).cast("string")
     if thresholds.sku_tier and skus is not None:
-        tiers.append(lambda r: by_sku(r, skus))
-    tiers += [
-        lambda r: by_name(r, index, links),
-        lambda r: by_similarity(r, index, links, thresholds.fuzzy),
-        lambda r: by_fingerprint(r, index, links, thresholds.fingerprint),
-    ]
-    if "name_embedding" in rows.columns and "m_embedding" in index.columns:
-        tiers.append(lambda r: by_vector(r, index, links, thresholds))
-    found, left = None, rows
+        last = skus.where("sku != ''").groupBy("site_id", "sku").agg(F.max("master_id").alias("_sku"))
+        by_key, sku = by_key.join(last, ["site_id", "sku"], "left"), F.col("_sku")
+    asked = F.struct("norm", "brand_norm", "domain", "fingerprint")
+    keyed = by_key.withColumn("_master", F.coalesce("_ean", sku)).withColumn("_tier", F.when(F.col("_ean").isNotNull(), 1).when(sku.isNotNull(), 2))
+    keyed = written(keyed.withColumn("_key", F.when(F.col("_tier").isNull(), F.to_json(asked))).drop("_ean", "_sku"), "match-keyed")
+    names = written(keyed.where("_tier is null").select(F.col("_key").alias("row_id"), "norm", "brand_norm", "domain", "fingerprint").distinct(), "match-names")
+    tiers = [lambda r: by_name(r, index, links), lambda r: by_similarity(r, index, links, thresholds.fuzzy), lambda r: by_fingerprint(r, index, links, thresholds.fingerprint)]
+    found, left = None, names
     for tier in tiers:
-        own = written(tier(left).dropDuplicates(["row_id"]), "match-tier")
+        own = written(tier(left), "match-tier")
         found = own if found is None else found.unionByName(own)
         left = left.join(own.select("row_id"), "row_id", "left_anti")
-    new = left.select("row_id", F.lit(None).cast("string").alias("master_id"), F.lit(6).alias("tier"), F.lit(0.0).alias("confidence"), F.lit(False).alias("needs_review"))
-    return with_ids(found.unionByName(new), "row_id").withColumn("is_new", F.col("tier") == 6)
+    named = found.select(F.col("row_id").alias("_key"), F.col("master_id").alias("_named"), "tier", "confidence")
+    whole = keyed.join(named, "_key", "left")
+    decided = whole.select("row_id", F.coalesce("_master", "_named").alias("master_id"), F.coalesce("_tier", "tier").alias("tier"), F.when(F.col("_tier").isNotNull(), 1.0).otherwise(F.col("confidence")).alias("confidence"), F.lit(False).alias("needs_review"))
+    none = [F.lit(None).cast("string").alias("master_id"), F.lit(6).alias("tier"), F.lit(0.0).alias("confidence"), F.lit(False).alias("needs_review")]
+    if "name_embedding" in rows.columns and "m_embedding" in index.columns:
+        decided = written(decided, "match-decided")
+        rest = rows.join(decided.where("tier is null").select("row_id"), "row_id", "left_semi")
+        near = written(by_vector(rest, index, links, thresholds), "match-vectors")
+        decided = decided.where("tier is not null").unionByName(near).unionByName(rest.join(near.select("row_id"), "row_id", "left_anti").select("row_id", *none))
+    else:
+        decided = decided.withColumns({"confidence": F.coalesce("confidence", F.lit(0.0)), "tier": F.coalesce("tier", F.lit(6))})
+    return with_ids(decided.select(*MATCH), "row_id").withColumn("is_new", F.col("tier") == 6)
+
+
+def _two_sites(rows: DataFrame) -> DataFrame:
+    """(m_norm, m_brand, firsts): the first rows (row_id, domain) of a name and brand from two sites; so there is one from another site than any."""
+    each = rows.where("norm != ''").groupBy("norm", "brand_norm", "domain").agg(F.min("row_id").alias("row_id"))
+    both = each.groupBy(F.col("norm").alias("m_norm"), F.col("brand_norm").alias("m_brand")).agg(F.array_sort(F.collect_list(F.struct("row_id", "domain"))).alias("firsts"))
+    return both.withColumn("firsts", F.slice("firsts", 1, 2))
+
+
+def _linked(asked: DataFrame, similar: DataFrame, others: DataFrame) -> DataFrame:
+    """(norm, brand_norm, domain, score, other): for each name, brand and site the first row of each similar name that fits and is from another site."""
+    met = asked.select("norm", "brand_norm", "domain").distinct().join(similar, "norm").join(_two_sites(others), "m_norm").where(_same_brand())
+    apart = F.try_element_at(F.filter("firsts", lambda x: ~x["domain"].eqNullSafe(F.col("domain"))), F.lit(1))
+    return met.select("norm", "brand_norm", "domain", "score", apart["row_id"].alias("other")).where("other is not null")
+
 
+def leaders_of(rows: DataFrame, least: float = 95.0) -> DataFrame:
+    """(row_id, leader) of rows (row_id, ean, norm, brand_norm, domain) that come one by one in order of row_id.
 
-def new_products(listings: DataFrame, matches: DataFrame, row_id: str = "scraped_url_id") -> DataFrame:
-    """(row_id, master_id): unmatched listings of one run that are the same product share an id.
+    A row joins the leader with its identifier, else the one of the most similar name (of equal ones the first) that reaches
+    ``least``, is from another site and has a brand that fits; a row that finds none leads from then on.
 
-    They are the same by identifier, else by normalised name with brands that
-    fit. The id is a hash of the key, so reruns agree. Ids of listings must not repeat here.
+    Who leads is settled in rounds of joins: a row that has a leader before it follows, one that has no undecided row before it
+    leads. Links between rows are never listed: of each name and brand the first rows of two sites stand for all.
+    """
+    keys = ["norm", "brand_norm", "domain"]
+    rows = written(rows.select("row_id", "ean", *keys), "run-rows")
+    names = rows.where("norm != ''").select("norm").distinct()
+    similar = written(scored_names(names, names.select(F.col("norm").alias("m_norm")), least), "run-names")
+    leaders, left = None, rows
+    while not left.isEmpty():
+        def first(others: DataFrame, left: DataFrame = left) -> DataFrame:
+            """left with ``_first``: the first of the others that a row is linked to."""
+            same = others.where("ean is not null").groupBy("ean").agg(F.min("row_id").alias("_same"))
+            near = _linked(left, similar, others).groupBy(*keys).agg(F.min("other").alias("_near"))
+            return left.join(same, "ean", "left").join(near, keys, "left").select(*left.columns, F.least("_same", "_near").alias("_first"))
+
+        if leaders is not None:
+            left = written(left.join(first(leaders).where("_first < row_id").select("row_id"), "row_id", "left_anti"), "run-left")
+        fresh = written(first(left, left).where("_first is null or _first >= row_id").drop("_first"), "run-leaders")
+        leaders = fresh if leaders is None else leaders.unionByName(fresh)
+        left = written(left.join(fresh.select("row_id"), "row_id", "left_anti"), "run-left")
+    if leaders is None:
+        return rows.select("row_id", F.col("row_id").alias("leader"))
+    own = leaders.where("ean is not null").groupBy("ean").agg(F.min("row_id").alias("_same"))
+    follow = rows.join(leaders.select("row_id"), "row_id", "left_anti").join(own, "ean", "left")
+    near = follow.where("_same is null or _same > row_id").join(_linked(rows, similar, leaders), keys).where("other < row_id")
+    near = near.groupBy("row_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "other"))["other"].alias("leader"))
+    by_ean = follow.where("_same < row_id").select("row_id", F.col("_same").alias("leader"))
+    return leaders.select("row_id", F.col("row_id").alias("leader")).unionByName(by_ean).unionByName(near)
+
+
+def new_products(listings: DataFrame, matches: DataFrame, row_id: str = "scraped_url_id", least: float = 95.0) -> DataFrame:
+    """(row_id, master_id): unmatched listings of one run that are the same product share an id (``leaders_of``).
+
+    The id is a hash of the leader's keys, so reruns agree. Ids of listings must not repeat here.
     """
     rows = prepared(listings, row_id).join(matches.where("is_new").select("row_id"), "row_id", "left_semi")
-    brand = F.when(F.col("brand_norm") != "", F.col("brand_norm"))
-    # a name with one known brand takes in the rows without a brand
-    known = rows.where(brand.isNotNull() & (F.col("norm") != "")).groupBy("norm").agg(F.min("brand_norm").alias("_low"), F.max("brand_norm").alias("_high"))
-    rows = rows.join(known.where("_low = _high").select("norm", F.col("_low").alias("_only")), "norm", "left")
-    only = F.col("_only")
-    key = F.when(F.col("ean").isNotNull(), F.concat(F.lit("ean:"), "ean")).when(F.col("norm") != "", F.concat(F.lit("name:"), "norm", F.lit("|"), F.coalesce(brand, only, F.lit("")))).otherwise(F.concat(F.lit("row:"), "row_id"))
-    return rows.select("row_id", F.md5(key).alias("master_id"))
+    rows = written(rows.select("row_id", "ean", "norm", "brand_norm", "domain"), "run-new")
+    led = written(leaders_of(rows, least), "run-led")
+    key = [F.coalesce(c, F.lit("")) for c in ("ean", "norm", "brand_norm", "domain")]
+    own = led.where("row_id = leader").select("leader").join(rows.withColumnRenamed("row_id", "leader"), "leader")
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("leader"))  # leaders that are alike in all of it are different pages of a site
+    ids = own.select("leader", F.md5(F.to_json(F.struct(*key, place))).alias("master_id"))
+    return led.join(ids, "leader").select("row_id", "master_id")
 
 
 def run_stats(matches: DataFrame, faulty: DataFrame | None = None) -> DataFrame:
@@ -293,15 +334,26 @@ def with_vectors(rows: DataFrame, encoder: Callable[[], Callable[[list[str]], np
     return rows.withColumn(column, encoded(text_column))
 
 
+def wholesale_by_ean(open_: DataFrame, active: DataFrame) -> DataFrame:
+    """(supplier, code, master_id, confidence) of products whose name has a product's identifier in it."""
+    last = active.where("m_ean is not null").groupBy("m_ean").agg(F.max(F.struct("place", "master_id")).alias("p")).select("m_ean", F.col("p.master_id").alias("master_id"))
+    return open_.join(last, F.col("ean") == F.col("m_ean")).select("supplier", "code", "master_id", F.lit(1.0).alias("confidence"))
+
+
+def wholesale_keys(supplier_products: DataFrame, masters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(open products, active ones) with the keys by which they meet."""
+    tokens = F.array_join(F.array_sort(F.split(text.normalise_wholesale(F.col("name")), " ")), " ")
+    active = masters.where("status = 'active'").select(F.col("id").alias("master_id"), F.struct(F.coalesce("brand", F.lit("")).alias("b"), F.coalesce("name", F.lit("")).alias("n"), "id").alias("place"), text.valid_ean(F.col("ean")).alias("m_ean"), F.lit("").alias("m_brand"), tokens.alias("m_norm"))
+    return supplier_products.where("master_id is null").select("supplier", "code", text.ean_in_text(F.col("name")).alias("ean"), tokens.alias("norm")), active
+
+
 def match_wholesale(supplier_products: DataFrame, masters: DataFrame, least: float = 75.0, sure: float = 0.95) -> DataFrame:
     """(supplier, code, master_id, confidence, manually_verified) of products without a link.
 
     An identifier inside the name decides; else the most similar active name.
     """
-    active = masters.where("status = 'active'").select(F.col("id").alias("master_id"), F.struct(F.coalesce("brand", F.lit("")).alias("b"), F.coalesce("name", F.lit("")).alias("n"), "id").alias("place"), text.valid_ean(F.col("ean")).alias("m_ean"), F.lit("").alias("m_brand"), F.array_join(F.array_sort(F.split(text.normalise_wholesale(F.col("name")), " ")), " ").alias("m_norm"))
-    open_ = supplier_products.where("master_id is null").select("supplier", "code", text.ean_in_text(F.col("name")).alias("ean"), F.array_join(F.array_sort(F.split(text.normalise_wholesale(F.col("name")), " ")), " ").alias("norm"))
-    last = active.where("m_ean is not null").groupBy("m_ean").agg(F.max(F.struct("place", "master_id")).alias("p")).select("m_ean", F.col("p.master_id").alias("master_id"))
-    sure_rows = open_.join(last, F.col("ean") == F.col("m_ean")).select("supplier", "code", "master_id", F.lit(1.0).alias("confidence"))
+    open_, active = wholesale_keys(supplier_products, masters)
+    sure_rows = wholesale_by_ean(open_, active)
     rest = open_.join(sure_rows.select("supplier", "code"), ["supplier", "code"], "left_anti")
     rest = rest.select(F.to_json(F.struct("supplier", "code")).alias("row_id"), F.lit("").alias("domain"), "norm", F.lit("").alias("brand_norm"), "supplier", "code")
     pairs = fuzzy_candidates(rest, active, least, same_brand=False)

@@ -432,7 +432,7 @@ def _(spark, sf_dir):
 
 @query("wholesale_match_ean", "SELECT supplier, code, id AS master_id FROM w JOIN m ON ltrim(regexp_extract(w.name, '([0-9]{13})', 1)) = m.ean WHERE master_id IS NULL AND status = 'active' AND ean <> ''", W, M)
 def _(spark, sf_dir):
-    return matching.match_wholesale(kit.supplier_products(spark, sf_dir), kit.masters(spark, sf_dir)).where("confidence = 1.0").select("supplier", "code", "master_id")
+    return matching.wholesale_by_ean(*matching.wholesale_keys(kit.supplier_products(spark, sf_dir), kit.masters(spark, sf_dir))).select("supplier", "code", "master_id")
 
 
 @query("wholesale_match_fuzzy")
