@@ -23,6 +23,8 @@ NOW = "2025-01-01 00:00:00"
 L, M, SP, W = f"l AS ({kit.LISTINGS})", f"m AS ({kit.MASTERS})", f"sp AS ({kit.SITE_PRODUCTS})", f"w AS ({kit.SUPPLIER_PRODUCTS})"
 PL, Q, FL = f"pl AS ({kit.PRICE_LOG})", f"q AS ({kit.URL_QUEUE})", f"fl AS ({kit.FETCH_LOG})"
 
+RUN = f"run AS ({kit.RUN})"
+
 
 def query(name: str, sql: str | None = None, *relations: str):
     """Register a query; ``relations`` go before its SQL as common table expressions."""
@@ -383,9 +385,31 @@ def _(spark, sf_dir):
     return matching.by_fingerprint(rows, index, None, 0.92)
 
 
-@query("match_fuzzy_topk")
+@query("match_fuzzy_topk", "SELECT CAST(p_partkey AS VARCHAR) || '-2' AS row_id, CAST(p_partkey AS VARCHAR) AS master_id, 3 AS tier, confidence, false AS needs_review FROM run WHERE kind = 2 AND known", RUN)
+def _(spark, sf_dir):
+    """A letter is missing in each name."""
+    rows = matching.prepared(kit.run_listings(spark, sf_dir).where("kind = 2"))
+    return matching.by_similarity(rows, matching.indexed(kit.catalogue(spark, sf_dir)), None, 90.0)
+
+
+@query("run_tiers", "SELECT row_id, master_id, tier, confidence, needs_review, is_new FROM run", RUN)
+def _(spark, sf_dir):
+    return matching.match(kit.run_listings(spark, sf_dir), kit.catalogue(spark, sf_dir), kit.run_links(spark, sf_dir))
+
+
+@query("run_tier_counts", "SELECT tier, count(*) AS listings, count(*) FILTER (WHERE is_new) AS new, count(*) FILTER (WHERE needs_review) AS review FROM run GROUP BY tier", RUN)
+def _(spark, sf_dir):
+    return matching.run_stats(matching.match(kit.run_listings(spark, sf_dir), kit.catalogue(spark, sf_dir), kit.run_links(spark, sf_dir)))
+
+
+@query("run_new_products", "SELECT row_id, CASE WHEN kind = 2 THEN CAST(p_partkey AS VARCHAR) || '-1' ELSE row_id END AS first_row, CASE WHEN kind IN (1, 2) AND NOT known THEN 2 ELSE 1 END AS listings FROM run WHERE is_new", RUN)
 def _(spark, sf_dir):
-    return matching.by_similarity(_rows(spark, sf_dir), matching.indexed(kit.masters(spark, sf_dir)), None, 90.0)
+    """The listings of a new product: its name with the words in another order, and with a letter missing."""
+    rows = kit.run_listings(spark, sf_dir)
+    found = written(matching.match(rows, kit.catalogue(spark, sf_dir), kit.run_links(spark, sf_dir)), "run-matches")
+    ids = written(matching.new_products(rows, found), "run-products")
+    groups = ids.groupBy("master_id").agg(F.min("row_id").alias("first_row"), F.count("*").cast("int").alias("listings"))
+    return ids.join(groups, "master_id").select("row_id", "first_row", "listings")
 
 
 VEC = "v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)"
@@ -435,10 +459,10 @@ def _(spark, sf_dir):
     return matching.wholesale_by_ean(*matching.wholesale_keys(kit.supplier_products(spark, sf_dir), kit.masters(spark, sf_dir))).select("supplier", "code", "master_id")
 
 
-@query("wholesale_match_fuzzy")
+@query("wholesale_match_fuzzy", "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS supplier, 'C' || CAST(l_partkey AS VARCHAR) AS code, CAST(l_partkey AS VARCHAR) AS master_id, confidence, confidence >= 0.95 AS manually_verified FROM lineitem JOIN run ON l_partkey = p_partkey AND kind = 2 AND known", RUN)
 def _(spark, sf_dir):
-    products = kit.supplier_products(spark, sf_dir).withColumn("name", F.regexp_replace("name", " [0-9]+$", ""))
-    return matching.match_wholesale(products, kit.masters(spark, sf_dir))
+    """No offer has an identifier, and in each name a letter is missing: similarity decides all."""
+    return matching.match_wholesale(kit.offered_names(spark, sf_dir), kit.catalogue(spark, sf_dir))
 
 
 @query("token_sort_ratio")

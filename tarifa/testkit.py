@@ -176,3 +176,58 @@ FETCH_LOG = """
     SELECT CAST(event_id AS VARCHAR) AS url_id, CAST(user_id % 25 AS VARCHAR) AS site_id,
            [200, 403, 404, 429, 500, 301][CAST(event_id % 6 + 1 AS INTEGER)] AS http_status_code, ts AS fetched_at, value AS elapsed_seconds
     FROM events"""
+
+
+#: A product's name with a word of its own: its part's words, and ten letters of a hash. The same in Spark and in SQL.
+CODE = "translate(substring(md5(CAST(p_partkey AS STRING)), 1, 10), '0123456789', 'ghijklmnop')"
+NAME = "concat(p_name, ' ', lower(p_type), ' ', {code}, ' ', CAST(p_size AS STRING), '0ml')"
+
+
+def _sql(expression: str) -> str:
+    return expression.replace("AS STRING", "AS VARCHAR")
+
+
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with names that differ: two thirds of the parts."""
+    part = table(spark, sf_dir, "part").where("p_partkey % 3 <> 2")
+    return part.selectExpr("CAST(p_partkey AS STRING) AS id", f"{NAME.format(code=CODE)} AS name", "p_brand AS brand", "CASE WHEN p_size % 3 = 0 THEN '' ELSE lpad(CAST(p_partkey AS STRING), 13, '0') END AS ean", "'active' AS status")
+
+
+def run_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's listings of all parts, of four kinds, each from a shop of its own.
+
+    0: another name, but the identifier; 1: the words in another order; 2: a letter is missing, 3: other words, but the brand, the volume and the word that comes first.
+    """
+    part = table(spark, sf_dir, "part").selectExpr("*", "explode(sequence(0, 3)) AS kind").where("kind > 0 OR p_size % 3 <> 0")
+    name, short = NAME.format(code=CODE), NAME.format(code=f"substring({CODE}, 1, 9)")
+    first = f"array_min(filter(split({name}, ' '), w -> NOT w RLIKE '^[0-9]+[a-z]+$'))"
+    other = "substring(md5(concat('other', CAST(p_partkey AS STRING))), 1, {n})"
+    names = f"CASE kind WHEN 0 THEN concat('unnamed ', {other.format(n=32)}) WHEN 1 THEN array_join(reverse(split({name}, ' ')), '  ') WHEN 2 THEN {short} ELSE concat('zz', {other.format(n=12)}, 'z ', {first}, ' ', CAST(p_size AS STRING), '0 ml') END"
+    return part.selectExpr(
+        "concat(CAST(p_partkey AS STRING), '-', CAST(kind AS STRING)) AS scraped_url_id", "CAST(kind AS STRING) AS site_id", "concat('shop', CAST(kind AS STRING)) AS domain", f"{names} AS raw_name",
+        "CASE WHEN kind = 3 THEN p_brand ELSE '' END AS raw_brand", "CASE WHEN kind = 0 THEN lpad(CAST(p_partkey AS STRING), 13, '0') ELSE '' END AS raw_ean", "'' AS raw_sku", "p_partkey", "kind",
+    )
+
+
+def run_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first shop has a seventh of the products already."""
+    return catalogue(spark, sf_dir).where("CAST(id AS BIGINT) % 7 = 0").selectExpr("'shop1' AS domain", "id AS master_id")
+
+
+#: What a run must find, by the way in which its listings were made.
+RUN = f"""
+    WITH p AS (SELECT *, {_sql(NAME.format(code=CODE))} AS name, CASE WHEN length(p_brand) = 7 THEN 'brand' ELSE substring(p_brand, 7) || 'brand' END AS own, p_partkey % 3 <> 2 AS known FROM part),
+    f AS (SELECT *, own || '_' || CAST(p_size AS VARCHAR) || '0ml_' || list_min(list_filter(string_split(name, ' '), lambda w: NOT regexp_matches(w, '^[0-9]+[a-z]+$'))) AS fp FROM p),
+    last AS (SELECT fp, arg_max(CAST(p_partkey AS VARCHAR), (p_brand, name, CAST(p_partkey AS VARCHAR))) AS id FROM f WHERE known GROUP BY fp),
+    k AS (SELECT f.*, kind, last.id AS like_it, CASE WHEN kind = 3 AND last.id IS NOT NULL THEN 4 WHEN NOT known OR kind = 3 OR (kind = 1 AND p_partkey % 7 = 0) THEN 6 WHEN kind = 0 THEN 1 ELSE 3 END AS tier
+          FROM f CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS kind) LEFT JOIN last USING (fp) WHERE kind > 0 OR p_size % 3 <> 0)
+    SELECT CAST(p_partkey AS VARCHAR) || '-' || CAST(kind AS VARCHAR) AS row_id, CASE tier WHEN 4 THEN like_it WHEN 6 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS master_id, CAST(tier AS INTEGER) AS tier,
+           CASE WHEN tier = 4 THEN 0.92 WHEN tier = 6 THEN 0.0 WHEN kind = 2 THEN round(2.0 * (length(name) - 1) / (2 * length(name) - 1), 4) ELSE 1.0 END::DOUBLE AS confidence, false AS needs_review, tier = 6 AS is_new,
+           p_partkey, kind, length(name) AS letters, known FROM k"""
+
+
+def offered_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wholesale offers of the catalogue's products without links and identifiers, a letter missing in each name."""
+    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part").where("p_partkey % 3 <> 2")
+    pairs = line.select("l_suppkey", "l_partkey").distinct().join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return pairs.selectExpr("CAST(l_suppkey AS STRING) AS supplier", "concat('C', CAST(l_partkey AS STRING)) AS code", f"{NAME.format(code=f'substring({CODE}, 1, 9)')} AS name", "CAST(NULL AS STRING) AS master_id")
