@@ -31,6 +31,7 @@ from functools import partial, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,12 +39,26 @@ from pyspark.sql import functions as F
 from tarifa.llm.common import as_bytes, by_bytes, numbered, partitions, running, trim
 from tarifa.session import written
 
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 PER_TASK = 2
 #: seq rows have ``number`` (of words) and ``keys`` (the sequence); bucket rows have ``first`` (the number of their first key)
-CHUNKS = "chunk bigint, bucket int, first int, lang string, keys binary, counts binary, number bigint"
+CHUNKS = "chunk bigint, bucket int, first int, lang string, keys binary, more binary, counts binary, number bigint"
 NAMES = "chunk bigint, codes binary, ids binary, id bigint, lang string, word string, left bigint, right bigint, a bigint"
 
+
+
+def packed(values: np.ndarray, sorted_: bool = False) -> bytes:
+    """Integers as zstd of their bytes by place, high bytes of small numbers together; ``sorted_``: of their differences."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if sorted_ else values
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
+
+
+def unpacked(data: bytes, kind: type, sorted_: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if sorted_ else values
+
+
 KINDS = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
 KINDS[list(b"\t ")] = 1
 KINDS[list(b".,;:!?\n\x0b\x0c\r")] = 2
@@ -72,17 +87,17 @@ def _table(schema: str, rows: list[dict]) -> pa.Table:
 
 
 def _dealt(chunk: int, codes: np.ndarray, buckets: np.ndarray, number: int, lang: str | None, keys) -> list[dict]:
-    """The rows of a chunk: its sequence, numbered anew by bucket, and a row for each bucket with ``keys(places)`` of its distinct entries."""
+    """The rows of a chunk: its sequence, numbered anew by bucket, and a row for each bucket with its distinct entries, ``keys(places)``."""
     order = np.argsort(buckets, kind="stable")
     place = np.empty(len(order) + 1, np.int32)
     place[order] = np.arange(len(order))
     place[-1] = -1  # of the mark
     seq = place[codes]
     counts = np.bincount(seq[seq >= 0], minlength=len(order)).astype(np.int32)
-    rows = [{"chunk": chunk, "lang": lang, "keys": seq.tobytes(), "number": number}]
+    rows = [{"chunk": chunk, "lang": lang, "keys": packed(seq), "number": number}]
     cuts = np.flatnonzero(np.concatenate([[True], buckets[order][1:] != buckets[order][:-1], [True]])) if len(order) else []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        rows.append({"chunk": chunk, "bucket": int(buckets[order[a]]), "first": int(a), "lang": lang, "keys": keys(order[a:b]), "counts": counts[a:b].tobytes()})
+        rows.append({"chunk": chunk, "bucket": int(buckets[order[a]]), "first": int(a), "lang": lang, **keys(order[a:b]), "counts": packed(counts[a:b])})
     return rows
 
 
@@ -98,7 +113,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], buckets: int, size: int) -> Itera
         codes, words = sequence(held.pop(lang))
         del sizes[lang]
         bucket = np.fromiter((xxhash.xxh64_intdigest(w, seed) % buckets for w in words), np.int32, len(words))
-        rows = _dealt(at, codes, bucket, int((codes >= 0).sum()), lang, lambda places: b"\n".join([words[i] for i in places.tolist()]))
+        rows = _dealt(at, codes, bucket, int((codes >= 0).sum()), lang, lambda places: {"keys": b"\n".join([words[i] for i in places.tolist()])})
         at += 1
         yield from _table(CHUNKS, rows).to_batches()
         trim()
@@ -113,8 +128,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], buckets: int, size: int) -> Itera
         yield from out(lang)
 
 
-def _blobs(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(x, kind) for x in column.to_pylist()]
+def _blobs(column: pa.ChunkedArray, kind: type, sorted_: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    parts = [unpacked(x, kind, sorted_) for x in column.to_pylist()]
     return np.concatenate(parts), np.array([len(p) for p in parts])
 
 
@@ -125,7 +140,7 @@ def _named(table: pa.Table, least: int, buckets: int) -> pa.Table:
     row = np.repeat(np.arange(len(sizes)), sizes)
     langs = table["lang"].combine_chunks().dictionary_encode()
     if langs.null_count:  # pairs of ids, which are of one language
-        pairs = _blobs(table["keys"], np.int64)[0].reshape(-1, 2)
+        pairs = np.stack([_blobs(table["keys"], np.int64, True)[0], _blobs(table["more"], np.int64)[0]], axis=1)
         ids, ranks = np.unique(pairs, return_inverse=True)
         ranks = ranks.reshape(-1, 2)
         key = ranks[:, 0] * len(ids) + ranks[:, 1]
@@ -149,7 +164,8 @@ def _named(table: pa.Table, least: int, buckets: int) -> pa.Table:
         ids = id_of[entry[begin[i] : begin[i + 1]]]
         known = np.flatnonzero(ids >= 0)
         if len(known):
-            rows.append({"chunk": chunk, "codes": (known + first).astype(np.int32).tobytes(), "ids": ids[known].tobytes()})
+            rows.append({"chunk": chunk, "codes": packed((known + first).astype(np.int32), True), "ids": packed(ids[known])})
+    trim()
     return _table(NAMES, rows)
 
 
@@ -173,14 +189,15 @@ def _paired(own: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     """A chunk with the ids of its frequent entries: the chunk of their pairs."""
     if not own.num_rows or not replies.num_rows:
         return _table(CHUNKS, [])
-    codes = np.frombuffer(own["keys"][0].as_py(), np.int32)
-    names = np.full(codes.max() + 1, -1, np.int64)
-    names[_blobs(replies["codes"], np.int32)[0]] = _blobs(replies["ids"], np.int64)[0]
+    codes = unpacked(own["keys"][0].as_py(), np.int32)
+    names = np.full(max(codes.max(initial=-1) + 1, 0), -1, np.int64)
+    names[_blobs(replies["codes"], np.int32, True)[0]] = _blobs(replies["ids"], np.int64)[0]
     seq, pairs = paired(codes, names)
     mixed = pairs.astype(np.uint64) * np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
     mixed = (mixed[:, 0] ^ (mixed[:, 1] >> np.uint64(29)) ^ mixed[:, 1]) * np.uint64(0xBF58476D1CE4E5B9)
     bucket = ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
-    rows = _dealt(own["chunk"][0].as_py(), seq, bucket, 0, None, lambda places: np.ascontiguousarray(pairs[places]).tobytes())
+    rows = _dealt(own["chunk"][0].as_py(), seq, bucket, 0, None, lambda places: {"keys": packed(pairs[places, 0], True), "more": packed(pairs[places, 1])})
+    trim()
     return _table(CHUNKS, rows if len(rows) > 1 else [])
 
 
@@ -196,7 +213,7 @@ def phrases(docs: DataFrame, most: int = 4, least: int = 30, text_col: str = "te
     totals = chunks.where("bucket is null").groupBy("lang").agg(F.sum("number").alias("n"))
     levels: list[DataFrame] = []
     for k in range(1, most + 1):
-        asked = chunks.where("bucket is not null").select("chunk", "bucket", "first", "lang", "keys", "counts")
+        asked = chunks.where("bucket is not null").select("chunk", "bucket", "first", "lang", "keys", "more", "counts")
         named = written(asked.groupBy("bucket").applyInArrow(lambda bucket: _named(bucket, least, buckets), NAMES), "collocations-named")
         found = named.where("id is not null")
         if k == 1:
