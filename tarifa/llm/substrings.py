@@ -26,9 +26,9 @@ Hashes of 64 bits for the anchor and 64 for the context decide on interning; all
 else is decided by bytes. Documents cross the network once for both uses.
 
 Defined cases: a null text is empty and nothing is removed from it; a null id
-ranks behind every other id; rows that repeat an id are told apart by 25 bits of
-their text's hash and ordered by it (with another seed, if two of them are alike in these bits; an error if that is so for
-eight seeds), so rows alike in id and text count as one document and all get its result; an empty table gives an empty table; further columns never matter.
+ranks behind every other id; rows that repeat an id, or have none, are numbered and ordered by their text's SHA-256 (at most
+``MARKS`` different texts of one id, else an error; any number without an id), so rows alike in id and text count as one document and all get its result;
+an empty table gives an empty table; further columns never matter.
 """
 
 from __future__ import annotations
@@ -40,10 +40,10 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import as_bytes, by_bytes, partitions
+from tarifa.llm.common import as_bytes, by_bytes, partitions, running
 from tarifa.session import written
 
 LENGTH = 100
@@ -53,7 +53,8 @@ HOT = 20_000
 BLOCK = 1 << 20
 SEGMENT = 1 << 20
 FLUSH = 1 << 19
-SEEDS = 8
+MARKS = 1 << 25  # of 26 bits one is for rows without an id
+LAST = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
@@ -420,28 +421,36 @@ def _remove(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary())], names=["doc", "mark", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def _mark(docs: DataFrame, id_col: str, text: Column, bits: int = 25) -> Column:
-    """``bits`` of a hash of the text, and whether the id is null; with a seed for which no two texts of an id are alike in it."""
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, mark, text): texts of one id have numbers in order of their digest, an even one, or an odd one for those without an id.
+
+    Only ids of several rows are looked at. A mark has ``MARKS`` numbers; texts without an id go on in further ids behind all others.
+    """
     id_ = F.col(id_col).cast("long")
-    rows = written(docs.groupBy(id_.alias("id")).agg(F.count("*").alias("k")).where("k > 1").select("id"), "substrings-repeated")  # ids of several rows
-    texts = docs.select(id_.alias("id"), text.alias("text")).join(rows.withColumnRenamed("id", "r"), F.col("id").eqNullSafe(F.col("r")), "left_semi")
-    hashes = lambda seed: F.shiftrightunsigned(F.xxhash64("text", F.lit(seed)), 64 - bits)
-    seed = 0
-    if not rows.isEmpty():
-        found = written(texts.groupBy("id", F.sha2("text", 256).alias("sha")).agg(*[F.first(hashes(s)).alias(f"h{s}") for s in range(SEEDS)]), "substrings-marks")
-        alike = lambda s: not found.groupBy("id", f"h{s}").count().where("count > 1").isEmpty()
-        while alike(seed):
-            seed += 1
-            if seed == SEEDS:
-                raise ValueError(f"texts of one id are alike in {bits} bits of {SEEDS} hashes: give them ids of their own")
-    return (F.shiftrightunsigned(F.xxhash64(text, F.lit(seed)), 64 - bits) * 2 + F.col(id_col).isNull().cast("long")).cast("int")
+    source = docs.select(id_.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    null = F.col("doc").isNull()
+    repeated = written(source.groupBy("doc").agg(F.count("*").alias("k")).where("k > 1").select(F.col("doc").alias("r")), "substrings-repeated")
+    if repeated.isEmpty():
+        return source.select(F.coalesce("doc", F.lit(LAST)).alias("doc"), null.cast("int").alias("mark"), "text")
+    own = source.join(repeated, F.col("doc").eqNullSafe(F.col("r")), "left_semi").select("doc", F.sha2("text", 256).alias("sha")).distinct()
+    before = written(running(own, [F.col("doc").asc_nulls_last(), F.col("sha")], {"number": F.lit(1).cast("long")}), "substrings-numbers")
+    first = before.groupBy(F.col("doc").alias("r")).agg(F.min("number").alias("low"), F.max("number").alias("high"))
+    many = first.where(f"r is not null and high - low >= {MARKS}").first()
+    if many is not None:
+        raise ValueError(f"more than {MARKS} different texts of the id {many.r}: give them ids of their own")
+    rank = F.col("number") - F.col("low")
+    ranks = before.join(first, F.col("doc").eqNullSafe(F.col("r"))).select(F.coalesce("doc", F.lit(LAST)).alias("r"), "sha", rank.alias("rank"), F.floor((F.col("high") - F.col("low")) / MARKS).alias("more"))
+    keyed = source.select(F.coalesce("doc", F.lit(LAST)).alias("doc"), null.alias("lost"), F.sha2("text", 256).alias("sha"), "text")
+    both = keyed.join(written(ranks, "substrings-ranks").withColumnRenamed("sha", "s"), (F.col("doc") == F.col("r")) & (F.col("sha") == F.col("s")), "left")
+    number = F.coalesce("rank", F.lit(0).cast("long"))
+    doc = F.when(F.col("lost"), F.col("doc") - F.coalesce("more", F.lit(0).cast("long")) + F.floor(number / MARKS)).otherwise(F.col("doc"))
+    return written(both.select(doc.alias("doc"), (number % MARKS * 2 + F.col("lost").cast("long")).cast("int").alias("mark"), "text"), "substrings-numbered")
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, hot: int = HOT) -> DataFrame:
     """One row a document: id, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the bytes that remain)."""
     share = partitions(docs.sparkSession)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), _mark(docs, id_col, text).alias("mark"), text.cast("binary").alias("text"))
+    source = _numbered(docs, id_col, text_col)
     dealt = source.repartition(share, "doc", "mark")
 
     def owned(rows: DataFrame) -> DataFrame:

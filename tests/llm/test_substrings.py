@@ -104,14 +104,32 @@ def test_intervals_give_the_common_prefixes():
 
 
 def test_texts_of_one_id_are_told_apart(spark):
-    """With so few bits that some seeds join texts of one id, another seed is taken, or an error tells."""
-    from pyspark.sql import functions as F
-
-    docs = spark.createDataFrame([(1, f"text {i}") for i in range(4)] + [(None, "a"), (None, "b"), (2, "c"), (2, "c")], "doc_id long, text string")
-    marked = docs.select("doc_id", "text", substrings._mark(docs, "doc_id", F.col("text"), 4).alias("m")).distinct()
-    assert marked.select("doc_id", "m").distinct().count() == marked.count() == 7
-    with pytest.raises(ValueError, match="alike"):
-        substrings._mark(docs, "doc_id", F.col("text"), 1)
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(4)] + [(None, "a"), (None, "b"), (2, "c"), (2, "c"), (3, "d")], "doc_id long, text string")
+    rows = [(r.doc, r.mark, bytes(r.text)) for r in substrings._numbered(docs, "doc_id", "text").collect()]
+    assert len(rows) == 9 and len(set(rows)) == len({r[:2] for r in rows}) == 8
+    assert {r[0] for r in rows if r[1] % 2} == {substrings.LAST}
+
+
+def test_texts_without_an_id_go_on_in_further_ids(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "MARKS", 4)
+    docs = spark.createDataFrame([(None, f"{i}") for i in range(11)], "doc_id long, text string")
+    rows = [(r.doc, r.mark) for r in substrings._numbered(docs, "doc_id", "text").collect()]
+    assert len(set(rows)) == 11 and {d for d, _ in rows} == {substrings.LAST - i for i in range(3)} and {m for _, m in rows} == {1, 3, 5, 7}
+    with pytest.raises(ValueError, match="texts of the id 7"):
+        substrings._numbered(docs.na.fill({"doc_id": 7}), "doc_id", "text")
+
+
+@pytest.mark.parametrize("id_", [None, 5])
+def test_many_rows_of_one_id(spark, id_):
+    """100,000 different texts of one id, of which some repeat a passage: as many rows, removed as by hand."""
+    rng = random.Random(1)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(150))
+    rows = [(id_, f"text {i} " + (passage if i % 5000 == 0 else "short")) for i in range(100_000)]
+    got = substrings.removed(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = [(r.doc_id, r.n_bytes, r.n_removed) for r in got.select("doc_id", "n_bytes", "n_removed").collect()]
+    assert len(found) == 100_000 and {r[0] for r in found} == {id_}
+    gone = [r for r in found if r[2]]
+    assert len(gone) == 19 and all(r[2] >= 150 for r in gone)
 
 
 def removed_by_hand(rows, length=100):
