@@ -43,15 +43,13 @@ def main(argv: list[str] | None = None) -> None:
         with open(args.out, "w", encoding="utf-8") as f:
             f.write(report.build(readers.listings(spark, args.listings)))
     else:
-        stored = SnapshotSet(spark, args.catalogue)
-        tables = stored.read()
-        ddl = {"masters": schemas.MASTER, "offers": schemas.SITE_PRODUCT, "log": schemas.PRICE_LOG}
-        known = nightly.Catalogue(**{n: tables[n] if n in tables else spark.createDataFrame([], s) for n, s in ddl.items()})
+        stored = SnapshotSet(spark, args.catalogue, append_only=("log",))
         good, faulty = nightly.checked(readers.listings(spark, args.listings, args.domain, args.date))
-        after, matches = nightly.resolve(good, known, F.current_timestamp())
+        if args.dry_run:
+            matches = nightly.resolve(good, nightly.catalogue(spark, stored.read()), F.current_timestamp())[1]
+        else:
+            matches = nightly.stored_run(stored, good, F.current_timestamp())
         matching.run_stats(matches, faulty).show()
-        if not args.dry_run:
-            stored.write({n: getattr(after, n) for n in ddl})
 
 
 if __name__ == "__main__":

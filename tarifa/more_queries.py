@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +10,10 @@ from pyspark.sql import functions as F
 from tarifa import schemas
 from tarifa import testkit as kit
 from tarifa.functions import extract, prices, text
-from tarifa.operators import gold, matching, urlqueue, wholesale
+from tarifa.operators import chunks, gold, matching, urlqueue, wholesale
 from tarifa.plans import analytics, serve
-from tarifa.queries import FL, PL, SP, L, M, Q, W, _plain, query
-from tarifa.session import shared_dir, table
+from tarifa.queries import FL, PL, SP, L, M, Q, W, _plain, _r2, query
+from tarifa.session import folder, table
 from tarifa.sources import discovery, readers, writers
 from tarifa.streaming import rollup
 
@@ -26,17 +25,13 @@ def _now():
     return F.lit(NOW).cast("timestamp")
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # sources and sinks, written and read back
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> str:
     """Listings by site and year."""
     rows = kit.listings(spark, sf_dir).withColumn("fetched_date", F.trunc("fetched_date", "year"))
-    root = _folder(spark, "listings")
+    root = folder(spark, "listings")
     writers.write_listings(readers.with_columns_of(rows, schemas.LISTING), root)
     return root
 
@@ -70,7 +65,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bronze_roundtrip", f"SELECT domain, fetched_date, html, count(*) AS n FROM (SELECT {HOST} AS domain, CAST(DATE '2024-01-08' + CAST(event_id % 4 AS INTEGER) AS VARCHAR) AS fetched_date, '<p>' || event_type || '</p>' AS html FROM events) GROUP BY 1, 2, 3")
 def _(spark, sf_dir):
-    root = _folder(spark, "bronze")
+    root = folder(spark, "bronze")
     writers.write_bronze(_records(spark, sf_dir), root)
     out = readers.bronze(spark, root, DAY - dt.timedelta(days=5), DAY + dt.timedelta(days=5), named=True)
     return _plain(out.groupBy("domain", "fetched_date", "html").agg(F.count("*").alias("n")))
@@ -78,7 +73,7 @@ def _(spark, sf_dir):
 
 @query("bronze_window", f"SELECT {HOST} AS domain, count(*) AS n FROM events WHERE event_id % 4 IN (1, 2) GROUP BY 1")
 def _(spark, sf_dir):
-    root = _folder(spark, "bronze")
+    root = folder(spark, "bronze")
     writers.write_bronze(_records(spark, sf_dir), root)
     return readers.bronze(spark, root, DAY - dt.timedelta(days=1), DAY, named=True).groupBy("domain").agg(F.count("*").alias("n"))
 
@@ -88,7 +83,7 @@ OUTCOME = "CASE WHEN http_status_code BETWEEN 200 AND 299 THEN 'success' WHEN ht
 
 @query("fetch_log_append", f"SELECT strftime(date_trunc('month', fetched_at), '%Y-%m-%d') AS period, {OUTCOME} AS status, count(*) AS n FROM fl GROUP BY 1, 2", FL)
 def _(spark, sf_dir):
-    root, log = _folder(spark, "log"), urlqueue.fetch_logged(kit.fetch_log(spark, sf_dir), "w")
+    root, log = folder(spark, "log"), urlqueue.fetch_logged(kit.fetch_log(spark, sf_dir), "w")
     writers.append_log(log.where("url_id % 2 = 0"), root, "fetched_at")
     writers.append_log(log.where("url_id % 2 = 1"), root, "fetched_at")
     return _plain(spark.read.parquet(root).groupBy("period", "status").agg(F.count("*").alias("n")))
@@ -96,11 +91,57 @@ def _(spark, sf_dir):
 
 @query("log_compacted", "SELECT site_product_id, count(*) AS n, CAST(max(price) AS DOUBLE) AS most FROM pl GROUP BY 1", PL)
 def _(spark, sf_dir):
-    root = _folder(spark, "compacted")
+    root = folder(spark, "compacted")
     writers.compacted(kit.price_log(spark, sf_dir), ["site_product_id"], "logged_at").write.parquet(root)
     return _plain(spark.read.parquet(root).groupBy("site_product_id").agg(F.count("*").alias("n"), F.max("price").alias("most")))
 
 
+HALVES = "h AS (SELECT *, CAST(master_id AS BIGINT) % 2 AS half, strftime(date_trunc('month', fetched_date), '%Y-%m-%d') AS period FROM pl)"
+
+
+def _halves(spark, sf_dir, name: str) -> tuple[chunks.ChunkedLog, DataFrame, DataFrame]:
+    log = chunks.ChunkedLog(spark, folder(spark, name), "logged_at", "month", ("site_product_id",))
+    rows = kit.price_log(spark, sf_dir)
+    return log, rows.where("cast(master_id as long) % 2 = 0"), rows.where("cast(master_id as long) % 2 = 1")
+
+
+@query("price_chunks", "SELECT period, CAST(CASE WHEN old THEN 1 ELSE count(DISTINCT half) END AS INTEGER) AS parts, count(*) AS rows, CAST(count(DISTINCT fetched_date) AS INTEGER) AS days, CASE WHEN old THEN 'compressed' ELSE 'open' END AS state, 0 AS rewritten_again FROM (SELECT *, CAST(period AS DATE) + INTERVAL 31 DAY <= TIMESTAMP '1997-01-01' - INTERVAL 90 DAY AS old FROM h) GROUP BY period, old", PL, HALVES)
+def _(spark, sf_dir):
+    """Two appends, then the chunks that ended 90 days ago are rewritten once."""
+    log, first, second = _halves(spark, sf_dir, "chunks")
+    log.append(first)
+    log.append(second)
+    now, older = dt.datetime(1997, 1, 1), dt.timedelta(90)
+    log.compress(now, older)
+    again = len(log.compress(now, older))
+    return log.chunks().withColumn("rewritten_again", F.lit(again))
+
+
+LATE = "fetched_date BETWEEN DATE '1996-06-03' AND DATE '1996-06-09'"
+
+
+@query("price_aggregate_refresh", f"SELECT strftime(fetched_date, '%Y-%m-%d') AS day, master_id, site_id, CAST(min(price) AS DOUBLE) AS price_min, CAST(max(price) AS DOUBLE) AS price_max, {_r2('avg(price)')} AS price_avg, bool_or(in_stock) AS any_in_stock, (SELECT CAST(count(DISTINCT fetched_date) AS INTEGER) FROM h WHERE half = 1 AND {LATE}) AS days_again FROM h WHERE half = 0 OR {LATE} GROUP BY 1, 2, 3", PL, HALVES)
+def _(spark, sf_dir):
+    """Rows of a week come late: the refresh reads that week's days again and no others."""
+    log, first, second = _halves(spark, sf_dir, "aggregate")
+    daily = chunks.DailyAggregate(log)
+    log.append(first)
+    daily.refresh(dt.datetime(2010, 1, 1), None)
+    log.append(second.where("logged_at >= timestamp'1996-06-03' and logged_at < timestamp'1996-06-10'"))
+    again = daily.refresh(dt.datetime(1996, 6, 10, 1), dt.timedelta(days=7, hours=1))
+    return _plain(chunks.finished(daily.read()).withColumns({"day": F.date_format("day", "yyyy-MM-dd"), "days_again": F.lit(len(again))}))
+
+
+@query("price_aggregate_months", f"SELECT period AS day, master_id, site_id, CAST(min(price) AS DOUBLE) AS price_min, CAST(max(price) AS DOUBLE) AS price_max, {_r2('avg(price)')} AS price_avg, bool_or(in_stock) AS any_in_stock FROM h WHERE half = 0 GROUP BY 1, 2, 3", PL, HALVES)
+def _(spark, sf_dir):
+    """Months merged from the days' states; the log is not read."""
+    log, first, _second = _halves(spark, sf_dir, "months")
+    log.append(first)
+    daily = chunks.DailyAggregate(log)
+    daily.refresh(dt.datetime(2010, 1, 1), None)
+    return _plain(chunks.finished(daily.rolled("month")).withColumn("day", F.date_format("day", "yyyy-MM-dd")))
+
+
 @query("vector_text", "SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: printf('%.6f', CAST(x AS DOUBLE))), ',') || ']' AS written, len(embedding) AS dimensions FROM embeddings")
 def _(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", gold.embeddings_text(c("embedding")).alias("written"))

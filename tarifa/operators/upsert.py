@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from tarifa.operators.commits import Tables
 
 
 def last_of(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -40,64 +41,39 @@ def upsert(existing: DataFrame, changes: DataFrame, keys: list[str], only_if: Co
 
 
 def insert_missing(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` whose keys do not exist, each once."""
-    return rows.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    """``rows`` whose keys do not exist, each once: of several the last by their columns' JSON, so that reruns agree."""
+    return last_of(rows, keys, [F.to_json(F.struct(*rows.columns))]).join(existing.select(*keys), keys, "left_anti").select(*rows.columns)
 
 
 class SnapshotTable:
-    """A Parquet table of which each write is a new folder; a pointer names the current one.
+    """A Parquet table of which each write is a new folder, named by a numbered commit.
 
-    Readers keep the snapshot they began with, and a job that fails leaves the
-    pointer alone. The pointer is written last, as one small file.
+    Readers keep the snapshot they began with, and a job that fails leaves the table alone.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.tables = Tables(spark, path)
 
-    def current(self) -> str | None:
-        try:
-            rows = self.spark.read.text(f"{self.path}/pointers").orderBy(F.desc("value")).take(1)
-        except AnalysisException:
-            return None
-        return rows[0][0].split(" ")[1] if rows else None
+    def current(self) -> int | None:
+        return self.tables.store.version() or None
 
     def read(self) -> DataFrame:
-        name = self.current()
-        if name is None:
-            raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        if self.current() is None:
+            raise FileNotFoundError(self.tables.store.path)
+        return self.tables.read()["rows"]
 
     def write(self, rows: DataFrame) -> None:
-        name = f"snapshot-{uuid.uuid4().hex}"
-        rows.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
-        _point(self.spark, self.path, name)
-
-
-def _point(spark: SparkSession, path: str, name: str) -> None:
-    at = spark.sql("select date_format(current_timestamp(), 'yyyyMMddHHmmssSSSSSS')").first()[0]
-    spark.createDataFrame([(f"{at} {name}",)], "value string").coalesce(1).write.mode("append").text(f"{path}/pointers")
-
+        """New content, whatever was there."""
+        self.tables.change(lambda _: {"rows": rows})
 
-class SnapshotSet:
-    """Parquet tables that change together: a write stores all of them in one new folder, then one pointer names it.
+    def change(self, f: Callable[[DataFrame | None], DataFrame]) -> None:
+        """New content made of the current one; made again if another writer comes between."""
+        self.tables.change(lambda tables: {"rows": f(tables.get("rows"))})
 
-    Readers see all tables before a run or all after it, also where a run fails between two tables.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.of = SnapshotTable(spark, path)
 
-    def read(self) -> dict[str, DataFrame]:
-        """Tables by name; none before the first write."""
-        name = self.of.current()
-        if name is None:
-            return {}
-        folder = f"{self.of.path}/{name}"
-        return {r.value: self.of.spark.read.parquet(f"{folder}/{r.value}") for r in self.of.spark.read.text(f"{folder}/tables").collect()}
+class SnapshotSet(Tables):
+    """Parquet tables that change together: readers see all of them before a run or all after it, also where a run fails between two."""
 
     def write(self, tables: dict[str, DataFrame]) -> None:
-        name = f"snapshot-{uuid.uuid4().hex}"
-        for n, rows in tables.items():
-            rows.write.option("compression", "zstd").parquet(f"{self.of.path}/{name}/{n}")
-        self.of.spark.createDataFrame([(n,) for n in tables], "value string").coalesce(1).write.text(f"{self.of.path}/{name}/tables")
-        _point(self.of.spark, self.of.path, name)
+        """New content (of append-only tables: further rows), whatever was there."""
+        self.change(lambda _: tables)

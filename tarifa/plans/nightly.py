@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifa import schemas
 from tarifa.functions.extract import listing_fields
 from tarifa.operators import gold, matching
+from tarifa.operators.upsert import SnapshotSet, insert_missing
 from tarifa.sources.readers import with_columns_of
 from tarifa.session import written
 
@@ -19,6 +20,7 @@ class Catalogue:
     masters: DataFrame
     offers: DataFrame
     log: DataFrame
+    new_log: DataFrame | None = None  # what a run adds to the log
 
 
 def listings_from(records: DataFrame, default_currency: str = "MAD") -> DataFrame:
@@ -39,8 +41,8 @@ def checked(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def known_by_url(listings: DataFrame, offers: DataFrame, row_id: str = "scraped_url_id") -> DataFrame:
     """Matches (tier 0) of listings whose page is an offer already: it is the product that it was."""
-    own = offers.select(F.col("product_url").alias("url"), "master_id", "match_confidence").dropDuplicates(["url"])
-    found = listings.select(F.col(row_id).cast("string").alias("row_id"), "url").join(own, "url").dropDuplicates(["row_id"])
+    own = offers.groupBy(F.col("product_url").alias("url")).agg(F.max(F.struct("match_confidence", "master_id")).alias("o")).select("url", "o.*")
+    found = listings.select(F.col(row_id).cast("string").alias("row_id"), "url").join(own, "url")
     return found.select("row_id", "master_id", F.lit(0).alias("tier"), F.col("match_confidence").alias("confidence"), F.lit(False).alias("needs_review"), F.lit(False).alias("is_new"))
 
 
@@ -61,5 +63,29 @@ def resolve(listings: DataFrame, known: Catalogue, now: Column, priorities: dict
     masters = gold.enriched(known.masters, listings, found, now, priorities or {}).unionByName(made, allowMissingColumns=True)
     offers = gold.offers_after(known.offers, listings, whole, now)
     seen = listings.select(F.col("url").alias("product_url")).distinct()
-    log = gold.appended(known.log, gold.price_log_rows(offers.join(seen, "product_url", "left_semi"), now))
-    return Catalogue(masters, offers, log), matching.with_ids(whole, "row_id")
+    rows = gold.price_log_rows(offers.join(seen, "product_url", "left_semi"), now)
+    return Catalogue(masters, offers, gold.appended(known.log, rows), insert_missing(known.log, rows, ["site_product_id", "logged_at"])), matching.with_ids(whole, "row_id")
+
+
+SCHEMAS = {"masters": schemas.MASTER, "offers": schemas.SITE_PRODUCT, "log": schemas.PRICE_LOG}
+
+
+def catalogue(spark: SparkSession, tables: dict[str, DataFrame]) -> Catalogue:
+    """Stored tables, empty ones before the first run."""
+    return Catalogue(**{n: tables[n] if n in tables else spark.createDataFrame([], s) for n, s in SCHEMAS.items()})
+
+
+def stored_run(stored: SnapshotSet, listings: DataFrame, now: Column) -> DataFrame:
+    """A run over the stored catalogue, committed as a whole; on top of another run's commit if that came first. Returns the matches.
+
+    The log is append-only: a run adds its rows and can't take any away.
+    """
+    matches = []
+
+    def run(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        after, found = resolve(listings, catalogue(listings.sparkSession, tables), now)
+        matches[:] = [found]
+        return {"masters": after.masters, "offers": after.offers, "log": after.new_log}
+
+    stored.change(run)
+    return matches[0]

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tarifa import testkit as kit
 from tarifa.functions import extract, prices, similarity, text
 from tarifa.operators import gold, matching, urlqueue, vector_index, wholesale
+from tarifa.operators.upsert import SnapshotTable
 from tarifa.plans import analytics, serve
-from tarifa.session import table, written
+from tarifa.session import folder, table, written
 from tarifa.sources import readers
 from tarifa.streaming import rollup
 
@@ -621,14 +622,14 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.col("user_id").cast("string").alias("master_id"), F.col("event_type").alias("site_id"), F.col("value").cast("decimal(12,2)").alias("price"), (F.col("event_id") % 2 == 0).alias("in_stock"), F.col("ts").cast("timestamp").alias("logged_at"), "event_id")
 
 
-def _drained(stream: DataFrame, mode: str, name: str) -> DataFrame:
-    """Run a stream over all there is into the shared folder, and read the result."""
-    import uuid
-
-    from tarifa.session import shared_dir
-
+def _drained(stream: DataFrame, mode: str, name: str, keys: list[str] | None = None) -> DataFrame:
+    """Run a stream over all there is into the shared folder, and read the result; with ``keys`` a batch changes the rows of its keys."""
     spark = stream.sparkSession
-    root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    root = folder(spark, name)
+    if keys:
+        kept = SnapshotTable(spark, f"{root}/out")
+        rollup.start(stream, rollup.into_snapshot(kept, keys), f"{root}/checkpoint", mode).awaitTermination()
+        return kept.read()
 
     def sink(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={n}")
@@ -642,7 +643,7 @@ EVENTS = "e AS (SELECT CAST(user_id AS VARCHAR) AS master_id, event_type AS site
 
 @query("stream_daily_rollup", f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, site_id, CAST(min(price) AS DOUBLE) AS price_min, CAST(max(price) AS DOUBLE) AS price_max, {_r2('avg(price)')} AS price_avg, bool_or(in_stock) AS any_in_stock FROM e GROUP BY 1, 2", EVENTS)
 def _(spark, sf_dir):
-    out = _drained(rollup.daily_stream(_stream(spark, sf_dir), ("site_id",)), "complete", "rollup")
+    out = _drained(rollup.daily_stream(_stream(spark, sf_dir), ("site_id",)), "update", "rollup", ["day", "site_id"])
     return _plain(out.withColumn("day", F.date_format("day", "yyyy-MM-dd")))
 
 

@@ -72,17 +72,22 @@ def written(df, what: str):
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     survives lost executors, and gives the planner real sizes."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    path = folder(spark, what)
     df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folder(spark: SparkSession, what: str) -> str:
+    """The name of a new folder in the shared one, which ``clean`` deletes."""
+    _WRITTEN.append(f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
 _WRITTEN: list[str] = []
 
 
 def clean(spark: SparkSession) -> int:
-    """Delete the tables that ``written`` has made; call it when their results are stored. Returns their number."""
+    """Delete the folders that ``written`` and ``folder`` have made; call it when the results are stored. Returns their number."""
     conf, number = spark._jsc.hadoopConfiguration(), 0
     while _WRITTEN:
         path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())

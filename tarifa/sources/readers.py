@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tarifa import schemas
 from tarifa.functions import text
+from tarifa.session import written
 
 #: Settings for object stores with path-style addresses, to be given to the session.
 OBJECT_STORE = {"spark.hadoop.fs.s3a.path.style.access": "true", "spark.hadoop.fs.s3a.connection.ssl.enabled": "true"}
@@ -83,23 +84,20 @@ def sitemap_children(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
     return indexes.select(F.explode(entries).alias("loc")).select(F.trim("loc").alias("loc")).distinct()
 
 
-def sitemap_pages(documents: DataFrame, roots: list[str], url_col: str = "url", xml_col: str = "xml", kind: str | None = None, since: str | None = None, depth: int = 5) -> DataFrame:
+def sitemap_pages(documents: DataFrame, roots: list[str], url_col: str = "url", xml_col: str = "xml", kind: str | None = None, since: str | None = None) -> DataFrame:
     """Pages of the captured sitemaps that can be reached from the roots; ``kind`` picks child sitemaps and pages by name.
 
-    One join a level of indexes; captured documents are never collected.
+    One join a level of indexes, until a level brings no sitemap that wasn't seen (so cycles end); captured documents are never collected.
     """
     child, page = SITEMAP_KINDS.get(kind, (None, None))
-    spark = documents.sparkSession
-    level, found = spark.createDataFrame([(r,) for r in roots], "loc string"), None
-    for _ in range(depth):
-        own = documents.join(level, F.col(url_col) == F.col("loc"), "left_semi")
-        found = own if found is None else found.unionByName(own)
-        level = sitemap_children(own, xml_col)
+    seen = level = documents.sparkSession.createDataFrame([(r,) for r in roots], "loc string").distinct()
+    while not level.isEmpty():
+        children = sitemap_children(documents.join(level, F.col(url_col) == F.col("loc"), "left_semi"), xml_col)
         if child:
-            level = level.where(F.col("loc").rlike(child))
-        if level.isEmpty():
-            break
-    urls = sitemap_urls(found.dropDuplicates([url_col]), xml_col, since).select(F.col("loc").alias("url"))
+            children = children.where(F.col("loc").rlike(child))
+        level = written(children.join(seen, "loc", "left_anti"), "sitemaps")
+        seen = seen.unionByName(level)
+    urls = sitemap_urls(documents.join(seen, F.col(url_col) == F.col("loc"), "left_semi"), xml_col, since).select(F.col("loc").alias("url"))
     return (urls.where(F.col("url").rlike(page)) if page else urls).distinct()
 
 

@@ -53,7 +53,7 @@ def into_snapshot(table, keys: list[str]) -> Callable[[DataFrame, int], None]:
     from tarifa.operators.upsert import upsert
 
     def sink(batch: DataFrame, _: int) -> None:
-        table.write(upsert(table.read(), batch, keys) if table.current() else batch)
+        table.change(lambda old: batch if old is None else upsert(old, batch, keys))
 
     return sink
 
