@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,11 @@ from tarifa import schemas
 from tarifa import testkit as kit
 from tarifa.functions import extract, prices, text
 from tarifa.operators import chunks, gold, matching, urlqueue, wholesale
-from tarifa.plans import analytics, serve
+from tarifa.plans import analytics, serve, stages
 from tarifa.queries import FL, PL, SP, L, M, Q, W, _plain, _r2, query
 from tarifa.session import folder, table
-from tarifa.sources import discovery, readers, writers
-from tarifa.streaming import rollup
+from tarifa.sources import discovery, ledger, readers, writers
+from tarifa.streaming import buffers, rollup
 
 c = F.col
 NOW = "1997-01-01 00:00:00"
@@ -71,6 +72,21 @@ def _(spark, sf_dir):
     return _plain(out.groupBy("domain", "fetched_date", "html").agg(F.count("*").alias("n")))
 
 
+@query("bronze_incremental", "SELECT run, records, files_read > 0 AS reads FROM (SELECT 1 AS run, count(*) FILTER (WHERE event_id % 3 > 0) AS records, 1 AS files_read FROM events UNION ALL SELECT 2, 0, 0 UNION ALL SELECT 3, count(*) FILTER (WHERE event_id % 3 = 0), 1 FROM events)")
+def _(spark, sf_dir):
+    """Records are stored and read, read again, and read once more after further ones came: a run reads new files only."""
+    root, known = folder(spark, "bronze"), ledger.FileLedger(spark, folder(spark, "files"))
+    rows, id_ = _records(spark, sf_dir), F.regexp_extract("url", "([0-9]+)$", 1).cast("long")
+    counts = []
+    for run, came in ((1, rows.where(id_ % 3 > 0)), (2, None), (3, rows.where(id_ % 3 == 0))):
+        if came is not None:
+            writers.write_bronze(came, root)
+        found, files = ledger.new_bronze(spark, known, root)
+        counts.append((run, found.count(), not files.isEmpty()))
+        known.mark(files)
+    return spark.createDataFrame(counts, "run int, records long, reads boolean")
+
+
 @query("bronze_window", f"SELECT {HOST} AS domain, count(*) AS n FROM events WHERE event_id % 4 IN (1, 2) GROUP BY 1")
 def _(spark, sf_dir):
     root = folder(spark, "bronze")
@@ -105,6 +121,50 @@ def _halves(spark, sf_dir, name: str) -> tuple[chunks.ChunkedLog, DataFrame, Dat
     return log, rows.where("cast(master_id as long) % 2 = 0"), rows.where("cast(master_id as long) % 2 = 1")
 
 
+@query("stage_ledger", "SELECT '2024-01-10' AS day, stage, 'done' AS state, tries, rows FROM (SELECT 'good' AS stage, 1 AS tries, count(*) AS rows FROM l WHERE extraction_method <> 'failed' AND raw_name <> '' UNION ALL SELECT 'sites', 2, count(DISTINCT domain) FROM l WHERE extraction_method <> 'failed' AND raw_name <> '' UNION ALL SELECT 'brands', 1, count(DISTINCT raw_brand) FROM l WHERE extraction_method <> 'failed' AND raw_name <> '')", L)
+def _(spark, sf_dir):
+    """The second stage fails at first; the next run begins with it."""
+    days, broken = stages.Ledger(spark, folder(spark, "stages")), [True]
+
+    def sites(of, day):
+        if broken:
+            raise RuntimeError("the shop is closed")
+        return of["good"].groupBy("domain").agg(F.count("*").alias("n"))
+
+    plan = [stages.Stage("good", lambda of, day: writers.extracted_ok(kit.listings(spark, sf_dir)).select("domain", "raw_brand")), stages.Stage("sites", sites, ("good",)), stages.Stage("brands", lambda of, day: of["good"].select("raw_brand").distinct(), ("good",))]
+    with contextlib.suppress(RuntimeError):
+        days.run(plan, "2024-01-10")
+    broken.clear()
+    days.run(plan, "2024-01-10")
+    return days.entries().drop("error")
+
+
+@query("supplier_list", "SELECT CAST(l_suppkey AS VARCHAR) AS supplier, 'C' || CAST(l_partkey AS VARCHAR) AS code, p_name AS name, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS prix_pharmacien, p_size % 2 = 0 AS in_stock, l_partkey AS vendor_product_id FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN part ON l_partkey = p_partkey WHERE l_partkey % 8 < 6")
+def _(spark, sf_dir):
+    """Suppliers' lists of eight pages, of which the seventh is empty: what stands on the eighth is not the list's."""
+    pairs = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct().join(table(spark, sf_dir, "part"), c("l_partkey") == c("p_partkey"))
+    item = F.struct(F.concat(F.lit("C"), "l_partkey").alias("code"), c("p_name").alias("label"), c("p_retailprice").cast("decimal(12,2)").cast("string").alias("price"), F.when(c("p_size") % 2 == 0, "oui").otherwise("non").alias("stock"), c("l_partkey").alias("id"))
+    items = F.collect_list(F.when(c("l_partkey") % 8 != 6, item))
+    pages = pairs.groupBy(c("l_suppkey").alias("supplier"), (c("l_partkey") % 8 + 1).cast("int").alias("page")).agg(F.to_json(F.struct(items.alias("items"))).alias("body"))
+    fields = {"code": "code", "name": "label", "price": "price", "in_stock": "stock", "id": "id"}
+    return _plain(readers.supplier_list(pages, fields))
+
+
+@query("host_buffers", f"SELECT site, CAST(ceil(count(*) / 500.0) AS BIGINT) AS files, count(*) AS records, CAST(least(count(*), 500) AS BIGINT) AS most FROM (SELECT {HOST} AS site FROM events) GROUP BY site")
+def _(spark, sf_dir):
+    """Files of 500 records of a host; what waits is stored when the workers stop."""
+    root = folder(spark, "buffers")
+    site = F.concat(F.lit("u"), c("user_id") % 5, F.lit(".example"))
+    rows = table(spark, sf_dir, "events").select(site.alias("site"), c("event_id").cast("string").alias("body"), F.lit(False).alias("last"))
+    stops = rows.select("site").distinct().select("site", F.lit(None).cast("string").alias("body"), F.lit(True).alias("last"))
+    for came in (rows, stops):
+        came.write.mode("append").json(f"{root}/in")
+        stream = spark.readStream.schema("site string, body string, last boolean").json(f"{root}/in")
+        buffers.start(stream, f"{root}/out", f"{root}/checkpoint", seconds=86_400).awaitTermination()
+    files = spark.read.text(f"{root}/out").groupBy("site", "file").agg(F.count("*").alias("n"))
+    return files.groupBy("site").agg(F.count("*").alias("files"), F.sum("n").alias("records"), F.max("n").alias("most"))
+
+
 @query("price_chunks", "SELECT period, CAST(CASE WHEN old THEN 1 ELSE count(DISTINCT half) END AS INTEGER) AS parts, count(*) AS rows, CAST(count(DISTINCT fetched_date) AS INTEGER) AS days, CASE WHEN old THEN 'compressed' ELSE 'open' END AS state, 0 AS rewritten_again FROM (SELECT *, CAST(period AS DATE) + INTERVAL 31 DAY <= TIMESTAMP '1997-01-01' - INTERVAL 90 DAY AS old FROM h) GROUP BY period, old", PL, HALVES)
 def _(spark, sf_dir):
     """Two appends, then the chunks that ended 90 days ago are rewritten once."""

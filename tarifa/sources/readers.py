@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarifa import schemas
-from tarifa.functions import text
+from tarifa.functions import prices, text
 from tarifa.session import written
 
 #: Settings for object stores with path-style addresses, to be given to the session.
@@ -142,11 +142,11 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.inline(catalogue_items(F.col("value"))))
 
 
-def api_items(documents: DataFrame, body_col: str = "body") -> DataFrame:
-    """``item`` (VARIANT) of captured API documents: a list, or the first list under one of ITEM_KEYS."""
+def api_items(documents: DataFrame, body_col: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """``item`` (VARIANT) of captured API documents, beside the columns ``keep``: a list, or the first list under one of ITEM_KEYS."""
     v = F.try_parse_json(F.col(body_col))
     lists = [F.try_variant_get(v, "$", "array<variant>"), *[F.try_variant_get(v, f"$.{k}", "array<variant>") for k in ITEM_KEYS]]
-    return documents.select(F.explode(F.coalesce(*lists)).alias("item"))
+    return documents.select(*(keep or []), F.explode(F.coalesce(*lists)).alias("item"))
 
 
 def field(item: Column, path: str) -> Column:
@@ -158,6 +158,22 @@ def api_urls(documents: DataFrame, url_field: str = "url", body_col: str = "body
     return api_items(documents, body_col).select(field(F.col("item"), url_field).alias("url")).where("url is not null").distinct()
 
 
+def paged(documents: DataFrame, chain: str = "chain", page: str = "page", body_col: str = "body") -> DataFrame:
+    """The captured pages of each chain from page 1 up to the first that is missing or has no items."""
+    filled = documents.join(api_items(documents, body_col, [chain, page]).select(chain, page).distinct(), [chain, page], "left_semi")
+    steps = filled.select(chain, (F.col(page) + 1).alias(page)).unionByName(documents.select(chain, F.lit(1).cast(documents.schema[page].dataType).alias(page))).distinct()
+    stops = steps.join(filled.select(chain, page), [chain, page], "left_anti").groupBy(chain).agg(F.min(page).alias("_stop"))
+    return filled.join(stops, chain).where(F.col(page) < F.col("_stop")).drop("_stop")
+
+
+def supplier_list(documents: DataFrame, fields: dict[str, str], chain: str = "supplier", page: str = "page", body_col: str = "body") -> DataFrame:
+    """Products of suppliers' paged lists: (supplier, code, name, prix_pharmacien, in_stock, vendor_product_id), by the items' ``fields``; items without a code are left out."""
+    items = api_items(paged(documents, chain, page, body_col), body_col, [chain])
+    value = lambda n: field(F.col("item"), fields[n]) if n in fields else F.lit(None).cast("string")
+    rows = items.select(F.col(chain).cast("string").alias("supplier"), value("code").alias("code"), value("name").alias("name"), prices.positive_decimal(value("price")).cast("decimal(12,3)").alias("prix_pharmacien"), F.when(value("in_stock").isNotNull(), prices.availability(value("in_stock"))).alias("in_stock"), value("id").try_cast("bigint").alias("vendor_product_id"))
+    return rows.where("code is not null")
+
+
 def table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
