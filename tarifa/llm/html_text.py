@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tarifa.llm.common import by_bytes, type_of
+from tarifa.llm.common import by_bytes, running, type_of
 from tarifa.session import written
 
 CROWD = 2048
@@ -341,22 +341,38 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 EDGE = pa.struct([("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
 
 
-def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, at, page): the page before each range (0) and after it (2), beyond copies of its first and last page."""
-    edges = [row for batch in batches for row in batch.to_pylist()]
-    out, carried = [], None
-    for i, e in enumerate(edges):
-        if i and not _copies(edges[i - 1]["last"], e["first"]):
-            carried = edges[i - 1]["last"]
-        out.append((e["part"], 0, carried))
-        carried = e["before"] or carried
-    carried = None
-    for i in reversed(range(len(edges))):
-        if i + 1 < len(edges):
-            carried = edges[i + 1]["first"] if not _copies(edges[i]["last"], edges[i + 1]["first"]) else edges[i + 1]["start"] or carried
-        out.append((edges[i]["part"], 2, carried))
-    out = [x for x in out if x[2]]
-    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), *[pa.array([x[2][f.name] for x in out], f.type) for f in EDGE]], names=["part", "at", *[f.name for f in EDGE]])
+def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(i, same): whether a range's first page is a copy of the last one before it."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        yield pa.RecordBatch.from_pydict({"i": pa.array([r["i"] for r in rows], pa.int64()), "same": pa.array([_copies(r["previous"], r["first"]) for r in rows], pa.bool_())})
+
+
+GROUP = 1024
+
+
+def _beside(edges: DataFrame) -> DataFrame:
+    """(part, at, page): the page before each range (0) and after it (2), beyond copies of its first and last page.
+
+    Ranges are numbered, and pages are named by numbers that grow with their place: that of the last page that is no copy of its
+    successor is the largest before a range. So a running maximum finds it, and one from behind the page after it: over groups
+    of ranges, then over the groups. Only numbers, never pages, meet in one task.
+    """
+    i = F.col("i")
+    ranges = written(edges.join(running(edges.select("part"), [F.col("part")], {"i": F.lit(1).cast("long")}), "part"), "html-numbered")
+    pairs = ranges.select("i", "first").join(ranges.select((i + 1).alias("i"), F.col("last").alias("previous")), "i").mapInArrow(_same, "i bigint, same boolean")
+    flags = ranges.select("i", "part", F.col("before").isNotNull().alias("inner"), F.col("start").isNotNull().alias("opens")).join(pairs, "i", "left")
+    own = flags.withColumn("apart", F.coalesce(~F.col("same"), F.lit(False))).withColumn("group", F.floor(i / GROUP))
+    own = written(own.select("i", "part", "group", F.when(F.col("apart"), 2 * i - 1).alias("low"), F.greatest(F.when(F.col("inner"), 2 * i), F.when(F.col("apart"), 2 * i - 1)).alias("v"), F.least(F.when(F.col("apart"), 2 * i), F.when(F.col("opens"), 2 * i + 1)).alias("u")), "html-places")
+    groups = own.groupBy("group").agg(F.max("v").alias("v"), F.min("u").alias("u"))
+    before, after = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
+    far = groups.select("group", F.max("v").over(Window.orderBy("group").rowsBetween(*before)).alias("far_v"), F.min("u").over(Window.orderBy("group").rowsBetween(*after)).alias("far_u"))
+    inside = Window.partitionBy("group").orderBy("i")
+    found = own.join(far, "group").select("part", F.greatest("low", F.max("v").over(inside.rowsBetween(*before)), "far_v").alias("low"), F.least(F.min("u").over(inside.rowsBetween(*after)), "far_u").alias("high"))
+    asked = found.select("part", F.explode(F.array(F.struct(F.lit(0).alias("at"), F.col("low").alias("place")), F.struct(F.lit(2).alias("at"), F.col("high").alias("place")))).alias("x")).select("part", "x.*").where("place is not null")
+    named = [(0, 2 * i + 1, "last"), (0, 2 * i, "before"), (2, 2 * i, "first"), (2, 2 * i + 1, "start")]
+    pages = ranges.select(F.explode(F.array(*[F.struct(F.lit(at).alias("at"), place.alias("place"), F.col(page).alias("page")) for at, place, page in named])).alias("x")).select("x.*").where("page is not null")
+    return asked.join(pages, ["at", "place"]).select("part", "at", "page.*")
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,8 +407,7 @@ def shared_lines(pages: DataFrame, crowd: int = CROWD) -> DataFrame:
     ordered = lambda rows: rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", *[c for c in ("at",) if c in rows.columns], "host", "path", "key")
     page = f"struct<{PAGE.replace(' ', ':')}>".replace(",:", ",")
     edges = written(ordered(dealt).mapInArrow(_edges, f"part int, first {page}, last {page}, start {page}, before {page}"), "html-edges")  # one row a range
-    beside = edges.coalesce(1).sortWithinPartitions("part").mapInArrow(_beside, f"part int, at int, {PAGE}")
-    rows = dealt.withColumn("at", F.lit(1)).unionByName(beside, allowMissingColumns=True)
+    rows = dealt.withColumn("at", F.lit(1)).unionByName(_beside(edges), allowMissingColumns=True)
     shared = written(ordered(rows).mapInArrow(_align, "host string, mark string, shared array<int>"), "html-shared")
     return read.select("key", "host", "mark").join(shared, ["host", "mark"]).select("key", "shared")
 

@@ -125,7 +125,9 @@ def test_a_host_of_2000_pages_against_pairing_by_hand(spark):
     assert all("Shop" not in t and "Menu" not in t and "Rights" not in t for t in want.values())
 
 
-def test_copies_and_near_copies_meet_the_next_other_page(spark):
+def test_copies_and_near_copies_meet_the_next_other_page(spark, monkeypatch):
+    """Also where the run of copies fills many ranges, and groups of ranges."""
+    monkeypatch.setattr(html_text, "GROUP", 2)
     menu, foot = "<p>Our shop</p>", "<p>All rights reserved</p>"
     story = lambda what: f"<p>A long story of {what}, told here from its start.</p><p>And how {what} went on until it ended well.</p>"
     text = lambda what: f"A long story of {what}, told here from its start.\n\nAnd how {what} went on until it ended well."
