@@ -236,30 +236,31 @@ def match(listings: DataFrame, masters: DataFrame, links: DataFrame | None = Non
 
 
 def _two_sites(rows: DataFrame) -> DataFrame:
-    """(m_norm, m_brand, firsts): the first rows (row_id, domain) of a name and brand from two sites; so there is one from another site than any."""
-    each = rows.where("norm != ''").groupBy("norm", "brand_norm", "domain").agg(F.min("row_id").alias("row_id"))
-    both = each.groupBy(F.col("norm").alias("m_norm"), F.col("brand_norm").alias("m_brand")).agg(F.array_sort(F.collect_list(F.struct("row_id", "domain"))).alias("firsts"))
+    """(m_norm, m_brand, m_known, firsts): the first rows (row_id, domain) of a name and brand from two sites; so there is one from another site than any."""
+    each = rows.where("norm != ''").groupBy("norm", "brand_norm", F.col("ean").isNotNull().alias("m_known"), "domain").agg(F.min("row_id").alias("row_id"))
+    both = each.groupBy(F.col("norm").alias("m_norm"), F.col("brand_norm").alias("m_brand"), "m_known").agg(F.array_sort(F.collect_list(F.struct("row_id", "domain"))).alias("firsts"))
     return both.withColumn("firsts", F.slice("firsts", 1, 2))
 
 
 def _linked(asked: DataFrame, similar: DataFrame, others: DataFrame) -> DataFrame:
-    """(norm, brand_norm, domain, score, other): for each name, brand and site the first row of each similar name that fits and is from another site."""
-    met = asked.select("norm", "brand_norm", "domain").distinct().join(similar, "norm").join(_two_sites(others), "m_norm").where(_same_brand())
+    """(norm, brand_norm, domain, known, score, other): for each name, brand and site, with an identifier or without, the first row of each similar name that fits and is from another site."""
+    met = asked.select("norm", "brand_norm", "domain", F.col("ean").isNotNull().alias("known")).distinct().join(similar, "norm").join(_two_sites(others), "m_norm")
+    met = met.where(_same_brand() & ~(F.col("known") & F.col("m_known")))
     apart = F.try_element_at(F.filter("firsts", lambda x: ~x["domain"].eqNullSafe(F.col("domain"))), F.lit(1))
-    return met.select("norm", "brand_norm", "domain", "score", apart["row_id"].alias("other")).where("other is not null")
+    return met.select("norm", "brand_norm", "domain", "known", "score", apart["row_id"].alias("other")).where("other is not null")
 
 
 def leaders_of(rows: DataFrame, least: float = 95.0) -> DataFrame:
     """(row_id, leader) of rows (row_id, ean, norm, brand_norm, domain) that come one by one in order of row_id.
 
     A row joins the leader with its identifier, else the one of the most similar name (of equal ones the first) that reaches
-    ``least``, is from another site and has a brand that fits; a row that finds none leads from then on.
+    ``least``, is from another site, has a brand that fits and not another identifier; a row that finds none leads from then on.
 
     Who leads is settled in rounds of joins: a row that has a leader before it follows, one that has no undecided row before it
     leads. Links between rows are never listed: of each name and brand the first rows of two sites stand for all.
     """
-    keys = ["norm", "brand_norm", "domain"]
-    rows = written(rows.select("row_id", "ean", *keys), "run-rows")
+    keys = ["norm", "brand_norm", "domain", "known"]
+    rows = written(rows.select("row_id", "ean", *keys[:3], F.col("ean").isNotNull().alias("known")), "run-rows")
     names = rows.where("norm != ''").select("norm").distinct()
     similar = written(scored_names(names, names.select(F.col("norm").alias("m_norm")), least), "run-names")
     leaders, left = None, rows
