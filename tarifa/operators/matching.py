@@ -128,7 +128,7 @@ SUBSTRINGS = """explode(array_distinct(flatten(transform(sequence(0, d), i -> tr
 
 
 def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """Distinct pairs (norm, m_norm) of names that can reach ``least``; below 90 those that do.
+    """Distinct pairs (norm, m_norm) of names that can reach ``least``; below 95 those that do.
 
     With a + b letters, at most d = (a + b) * (1 - least / 100) of them are inserted or
     deleted. A name cut into d + 1 segments then has one that is found whole in the
@@ -136,7 +136,7 @@ def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     of segment, segment). For a low ``least`` segments would be single letters; then
     names meet in cells (``name_join``).
     """
-    if least < 90:
+    if least < 95:
         return name_join.scored(left, right, least).select("norm", "m_norm")
     room = 1 - least / 100
     ratio = (1 - room) / (1 + room)  # of the lengths of two names that can reach it
@@ -154,7 +154,7 @@ def similar_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
 
 def scored_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """(norm, m_norm, score) of the distinct pairs of names that reach ``least``."""
-    if least < 90:
+    if least < 95:
         return name_join.scored(left, right, least)
     score = similarity.scorer(similarity.ratio)(F.col("norm"), F.col("m_norm"))
     return similar_names(left, right, least).withColumn("score", score).where(F.col("score") >= least)
