@@ -157,5 +157,13 @@ def flag_for_review(masters: DataFrame, where: Column) -> DataFrame:
 
 
 def embeddings_text(vector: Column) -> Column:
-    """A vector as '[a,b,...]' with six places."""
-    return F.concat(F.lit("["), F.array_join(F.transform(vector, lambda x: F.format_string("%.6f", x.cast("double"))), ","), F.lit("]"))
+    """A vector as '[a,b,...]' with six places, halves to the even digit.
+
+    Java rounds halves up. Exact halves at six places are the odd multiples of 1/128; these move to the even side first.
+    """
+
+    def six(x: Column) -> Column:
+        even = F.when(F.floor(x * 1e6) % 2 == 0, -2.5e-7).otherwise(2.5e-7)
+        return F.format_string("%.6f", F.when(F.abs(x * 128 % 2) == 1, x + even).otherwise(x))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(vector, lambda x: six(x.cast("double"))), ","), F.lit("]"))

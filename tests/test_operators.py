@@ -131,6 +131,13 @@ def test_wholesale_match(spark):
     assert got["c1"] == ("m1", 1.0, True) and got["c2"][0] == "m2" and got["c2"][1] >= 0.95 and set(got) == {"c1", "c2"}
 
 
+def test_vectors_as_text_round_halves_to_even(spark):
+    values = [[k / 128 for k in range(-9, 10)], [0.1234565, -2.0000004, 1e-9, -1e-9, 3.0, 1 / 3], [12345.0078125, -77.9921875, 0.00390625]]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v array<float>")
+    got = {r.i: (r.v, r.t) for r in rows.withColumn("t", gold.embeddings_text(F.col("v"))).collect()}
+    assert all(t == "[" + ",".join(f"{x:.6f}" for x in v) + "]" for v, t in got.values()) and "0.007812," in got[0][1]
+
+
 def test_best_images(spark):
     sites = {"one.ma": 1, "two.ma": 2}
     pick = lambda old, new, d: spark.createDataFrame([(old, new, d)], "o array<string>, n array<string>, d string").select(gold.best_images(F.col("o"), F.col("n"), F.col("d"), sites).alias("x")).first().x
