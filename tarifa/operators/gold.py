@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tarifa.functions import text
 from tarifa.operators.upsert import insert_missing, last_of, upsert
@@ -86,29 +87,34 @@ def enriched(masters: DataFrame, listings: DataFrame, matches: DataFrame, now: C
 
 
 OFFER = ("id master_id site_id domain product_url external_id current_price currency in_stock match_confidence last_scraped_at").split()
+BY_URL = ("current_price", "currency", "in_stock", "match_confidence", "last_scraped_at")
+BY_PAIR = ("product_url", "current_price", "in_stock", "match_confidence", "last_scraped_at")
 
 
 def offers_after(offers: DataFrame, listings: DataFrame, matches: DataFrame, now: Column, row_id: str = "scraped_url_id") -> DataFrame:
     """Offers after a run. By URL first: price, stock and time change. Else by (product, site): only a surer match changes it. Else it is new.
 
-    Of several listings of one offer the latest counts; a (product, site) has one offer.
+    Of several listings of one offer the latest counts; a (product, site) has one offer. Offers and listings meet by URL in one join; what
+    comes out of it, offers and listings of no known URL, is dealt by (product, site) once.
     """
     rows = _row(listings, matches.where("master_id is not null"), row_id)
     made = rows.select(
-        F.md5(F.concat_ws("|", "master_id", "site_id")).alias("id"), "master_id", "site_id", "domain", F.col("url").alias("product_url"), F.substring(F.coalesce("raw_sku", F.lit("")), 1, 128).alias("external_id"),
+        "master_id", "site_id", "domain", F.col("url").alias("product_url"), F.substring(F.coalesce("raw_sku", F.lit("")), 1, 128).alias("external_id"),
         F.col("raw_price").cast("decimal(10,2)").alias("current_price"), F.substring(F.coalesce("raw_currency", F.lit("MAD")), 1, 3).alias("currency"), "in_stock",
-        F.col("confidence").alias("match_confidence"), now.alias("last_scraped_at"), F.struct(F.col("fetched_at_utc"), F.col(row_id)).alias("_at"),
+        F.col("confidence").alias("match_confidence"), F.struct(F.col("fetched_at_utc"), F.col(row_id)).alias("_at"),
     )
-    made = last_of(made, ["product_url"], [F.col("_at")])
-    known = offers.select("product_url").distinct()
-    by_url = made.join(known, "product_url", "left_semi").select("product_url", "current_price", "currency", "in_stock", "last_scraped_at", "match_confidence")
-    step = upsert(offers, by_url, ["product_url"])
-    rest = last_of(made.join(known, "product_url", "left_anti"), ["master_id", "site_id"], [F.col("match_confidence"), F.col("_at")]).drop("_at")
-    surer = F.col("new.match_confidence") > F.col("old.match_confidence")
-    pair = rest.join(step.select("master_id", "site_id"), ["master_id", "site_id"], "left_semi").select("master_id", "site_id", "product_url", "current_price", "in_stock", "match_confidence", "last_scraped_at")
-    step = upsert(step, pair, ["master_id", "site_id"], only_if=surer)
-    new = rest.join(offers.select("master_id", "site_id"), ["master_id", "site_id"], "left_anti")
-    return step.select(*OFFER).unionByName(new.select(*OFFER))
+    made = last_of(made, ["product_url"], [F.col("_at")]).withColumns({"id": F.lit(None).cast("string"), "last_scraped_at": now})
+    met = offers.select(*OFFER, F.lit(True).alias("_known")).alias("old").join(made.alias("new"), "product_url", "full_outer")
+    known, old, new = F.col("_known").isNotNull(), lambda c: F.col(f"old.{c}"), lambda c: F.col(f"new.{c}")
+    each = {c: F.coalesce(new(c), old(c)) if c in BY_URL else F.when(known, old(c)).otherwise(new(c)) for c in OFFER if c != "product_url"}
+    step = met.select("product_url", *[c.alias(name) for name, c in each.items()], "_known", F.when(~known, F.struct(new("match_confidence"), "_at")).alias("_order"))
+    pair = Window.partitionBy("master_id", "site_id")
+    step = step.withColumns({"_best": F.max_by(F.struct(*BY_PAIR), "_order").over(pair), "_held": F.max("_known").over(pair) & F.col("master_id").isNotNull() & F.col("site_id").isNotNull()})
+    surer = known & F.coalesce(F.col("_held") & (F.col("_best.match_confidence") > F.col("match_confidence")), F.lit(False))
+    fresh = ~known & F.coalesce(~F.col("_held"), F.lit(True)) & F.col("product_url").eqNullSafe(F.col("_best.product_url"))
+    change = {c: F.when(surer, F.coalesce(F.col(f"_best.{c}"), F.col(c))).otherwise(F.col(c)) for c in BY_PAIR}
+    change["id"] = F.when(known, F.col("id")).otherwise(F.md5(F.concat_ws("|", "master_id", "site_id")))
+    return step.where(known | fresh).withColumns(change).select(*OFFER)
 
 
 def price_log_rows(offers: DataFrame, now: Column) -> DataFrame:

@@ -11,9 +11,9 @@ from tarifa.operators.commits import Tables
 
 
 def last_of(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row a key, the last in the order; a partial aggregate, not a sort."""
-    best = F.max_by(F.struct(*rows.columns), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
-    return rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(best.alias("r")).select("r.*")
+    """One row a key, the last in the order; a partial aggregate, not a sort. Rows stay dealt by the keys, so a join by these needs no other shuffle."""
+    best = F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
+    return rows.groupBy(*keys).agg(best.alias("_r")).select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in rows.columns])
 
 
 def upsert(existing: DataFrame, changes: DataFrame, keys: list[str], only_if: Column | None = None, fill_only: tuple[str, ...] = ()) -> DataFrame:

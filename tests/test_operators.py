@@ -265,6 +265,47 @@ def test_offer_of_a_surer_match_only(spark):
         assert [r.current_price for r in got] == [price]
 
 
+def test_offers_after_a_run_are_those_of_row_by_row_rules(spark, capsys):
+    """Known and unknown URLs, none, sites without an id, offers that share a URL or a (product, site); dealt by row, by URL and by (product, site) once."""
+    import random
+
+    rng = random.Random(8)
+    then, urls, masters_, sites = dt.datetime(2024, 1, 1), [None, *"abcdefghij"], [None, "m", "n", "o"], [None, "1", "2"]
+    held = [(f"o{i}", rng.choice(masters_), rng.choice(sites), "a.ma", rng.choice(urls[:6]), "", rng.choice([None, Decimal("5.00")]), "MAD", True, rng.choice([0.5, 0.9]), then) for i in range(12)]
+    rows = [(f"r{i}", rng.choice(sites), rng.choice(urls), "a.ma", rng.choice([None, Decimal(i)]), rng.choice([None, "EUR"]), rng.choice([None, False]), float(rng.randint(1, 3))) for i in range(30)]
+    found = [(r[0], rng.choice(masters_), rng.choice([0.4, 0.7, 0.95])) for r in rows]
+    product, sure = {f[0]: f[1] for f in found}, {f[0]: f[2] for f in found}
+    made, best, want = {}, {}, {o[0]: list(o) for o in held}
+    for r in sorted((r for r in rows if product[r[0]]), key=lambda r: (r[7], r[0])):
+        made[r[2]] = r
+    for o in want.values():
+        if (r := made.get(o[4])) and o[4] is not None:
+            o[6:11] = [r[4] if r[4] is not None else o[6], r[5] or "MAD", o[8] if r[6] is None else r[6], sure[r[0]], "now"]
+    for r in sorted((r for u, r in made.items() if u is None or u not in {o[4] for o in held}), key=lambda r: (sure[r[0]], r[7], r[0])):
+        best[product[r[0]], r[1]] = r
+    for (m, s), r in best.items():
+        same = [o for o in want.values() if o[1] == m and o[2] == s and s is not None]
+        for o in same:
+            if sure[r[0]] > o[9]:
+                o[4], o[6], o[8:11] = r[2] or o[4], r[4] if r[4] is not None else o[6], [o[8] if r[6] is None else r[6], sure[r[0]], "now"]
+        if not same:
+            want[m, s] = [None, m, s, "a.ma", r[2], "", r[4], r[5] or "MAD", r[6], sure[r[0]], "now"]
+    listed = spark.createDataFrame(rows, "scraped_url_id string, site_id string, url string, domain string, raw_price decimal(10,2), raw_currency string, in_stock boolean, fetched_at_utc double").withColumn("raw_sku", F.lit(""))
+    matches = spark.createDataFrame(found, "row_id string, master_id string, confidence double")
+    known, threshold = offers(spark, *held), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = gold.offers_after(known, listed, matches, now())
+        capsys.readouterr()
+        out.explain()
+        assert 0 < capsys.readouterr().out.count("Exchange hashpartitioning") <= 5
+        got = [[None if not r.id.startswith("o") else r.id, *r[1:10], "now" if r.last_scraped_at != then else then] for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(got, key=str) == sorted(want.values(), key=str)
+    assert any(isinstance(k, tuple) for k in want) and any(o[10] == "now" for o in want.values() if o[0])
+
+
 def test_orphans_and_log(spark):
     m = masters(spark, ("1", "a", "", ""), ("2", "b", "", ""))
     o = spark.createDataFrame([("1",)], "master_id string")
